@@ -102,32 +102,69 @@ def ticker_from_path(path_col) -> Column:
 
 # ---------------------------------------------------------------- reproducible noise
 
+# Fixed values of the noise construction (changing any of them changes every generated copy).
 _TWO_32 = 4294967296.0
+_MASK32 = 0xFFFFFFFF
+_GOLDEN = 0x9E3779B1  # copy-id stride (2654435761)
+_MIX_MUL = 0x45D9F3B  # 32-bit mixer multiplier (73244475)
+NOISE_WORDS = 5  # one word per field: open, high, low, close, volume
 
 
-def noise_uniform(ticker, date, copy_id, seed: int, slot: int) -> Column:
-    """Uniform [0, 1) draw that is a pure function of (ticker, date, copy, seed, slot).
+def bar_hash_words(ticker, date, seed: int, n: int = NOISE_WORDS) -> list[Column]:
+    """``n`` independent 32-bit words (as BIGINT) from one SHA-256 of ``ticker|date|seed``.
 
-    One SHA-256 of ``ticker|date|copy|seed`` yields eight independent 32-bit slices; slot ``k``
-    (0..7) takes hex digits ``8k+1 .. 8k+8``. The same bars and seed always give the same copy,
-    whatever the partitioning or executor.
+    This is the only string hash of the noise; it depends on the bar, not on the copy, so it is
+    computed once per bar before the bar is replicated.
     """
-    if not 0 <= slot < 8:
-        raise ValueError("slot must be in 0..7")
-    key = F.concat_ws(
-        "|",
-        _c(ticker).cast("string"),
-        _c(date).cast("string"),
-        _c(copy_id).cast("string"),
-        F.lit(str(seed)),
-    )
+    if not 1 <= n <= 8:
+        raise ValueError("n must be in 1..8")
+    key = F.concat_ws("|", _c(ticker).cast("string"), _c(date).cast("string"), F.lit(str(seed)))
     digest = F.sha2(key, 256)
-    bits = F.conv(F.substring(digest, 8 * slot + 1, 8), 16, 10).cast("bigint")
-    return bits / F.lit(_TWO_32)
+    return [F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("bigint") for k in range(n)]
+
+
+def mix_start(word, copy_id) -> Column:
+    """Mixer input for one (bar, field) word and one copy: ``(word + copy * stride) mod 2**32``."""
+    return (_c(word) + _c(copy_id).cast("bigint") * F.lit(_GOLDEN)).bitwiseAND(F.lit(_MASK32))
+
+
+def mix_round(x) -> Column:
+    """One multiply/xor-shift round of the 32-bit mixer (products stay below 2**59: ANSI-safe)."""
+    x = _c(x)
+    return (F.shiftright(x, 16).bitwiseXOR(x) * F.lit(_MIX_MUL)).bitwiseAND(F.lit(_MASK32))
+
+
+def mix_final(x) -> Column:
+    """Last xor-shift of the mixer, scaled to a uniform [0, 1) draw."""
+    x = _c(x)
+    return F.shiftright(x, 16).bitwiseXOR(x) / F.lit(_TWO_32)
+
+
+def mix32(x: Column) -> Column:
+    """Avalanche a 32-bit value held in a BIGINT: two ``mix_round`` and a final xor-shift.
 
+    As one expression the input appears eight times; on wide frames apply the rounds as separate
+    projections (as ``add_noise`` does) so each round is evaluated once.
+    """
+    x = mix_round(mix_round(x))
+    return F.shiftright(x, 16).bitwiseXOR(x)
+
+
+def copy_uniform(word, copy_id) -> Column:
+    """Uniform [0, 1) draw for one (bar, field) word and one copy: ``mix32(word + copy * stride) / 2**32``."""
+    return mix32(mix_start(word, copy_id)) / F.lit(_TWO_32)
+
+
+def noise_factor(word, copy_id, amplitude: float, *, uniform=None) -> Column:
+    """Multiplicative noise ``1 + U(-amplitude, amplitude)``; exactly 1 for copy 0 (the original).
 
-def noise_factor(ticker, date, copy_id, seed: int, slot: int, amplitude: float) -> Column:
-    """Multiplicative noise ``1 + U(-amplitude, amplitude)``; exactly 1 for copy 0 (the original)."""
-    u = noise_uniform(ticker, date, copy_id, seed, slot)
+    ``uniform`` may pass an already computed draw (a column); otherwise it is derived from ``word``.
+    """
+    u = _c(uniform) if uniform is not None else copy_uniform(word, copy_id)
     factor = F.lit(1.0) + F.lit(float(amplitude)) * (F.lit(2.0) * u - F.lit(1.0))
     return F.when(_c(copy_id) == 0, F.lit(1.0)).otherwise(factor)
+
+
+def noise_uniform(ticker, date, copy_id, seed: int, slot: int) -> Column:
+    """The draw of field ``slot`` for (ticker, date, copy, seed), computed from scratch (no precomputed word)."""
+    return copy_uniform(bar_hash_words(ticker, date, seed, slot + 1)[slot], copy_id)

@@ -1,10 +1,20 @@
 """Data multiplication with reproducible noise.
 
-Each bar becomes ``copies + 1`` rows through ``explode(sequence(0, copies))`` — a generator in
-the same stage as the scan, no join, no shuffle and no Python worker. Copy 0 is the untouched
-original; copies 1..N get independent multiplicative noise per field, drawn from a hash of
-(ticker, date, copy, seed), so a re-run (or a recomputed task after an executor loss) produces
-exactly the same rows.
+Each bar becomes ``copies + 1`` rows through ``explode(sequence(0, copies))`` — a generator, no
+join and no Python worker. Copy 0 is the untouched original; copies 1..N get independent
+multiplicative noise per field, a pure function of (ticker, date, copy, field, seed), so a re-run
+(or a recomputed task after an executor loss) produces exactly the same rows.
+
+Cost: the one string hash (SHA-256 of ticker|date|seed -> one 32-bit word per field) is taken
+per *bar*, before the explode; each copy then derives its draws with a few integer operations
+(``mix32``), so the per-output-row work is integer arithmetic inside whole-stage codegen.
+
+Partitioning: the output is ``copies + 1`` times the input, and a small input (the original
+landing) often arrives in very few partitions — adaptive execution coalesces it, since it cannot
+know that a generator follows. The input is therefore hash-partitioned on (ticker, date) into
+``partitions`` parts *before* the explode, so generation is spread over every core; the shuffle
+moves the input once, a ``1/(copies+1)`` fraction of the output. Hashing on the date as well
+keeps a ticker holding a third of the rows from landing in one task.
 """
 
 from __future__ import annotations
@@ -12,35 +22,76 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barframe.functions.expressions import noise_factor
+from barframe.functions.expressions import bar_hash_words, mix_final, mix_round, mix_start, noise_factor
 
 # Noise amplitudes and the number of copies of the large data set.
 PRICE_NOISE = 0.02  # prices times 1 + U(-0.02, 0.02)
 VOLUME_NOISE = 0.05  # volume times 1 + U(-0.05, 0.05)
 DEFAULT_COPIES = 500
 NOISE_SLOTS = {"open": 0, "high": 1, "low": 2, "close": 3, "volume": 4}
+_WORD = "_noise_w{}"
+
 
+def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    if partitions is None:
+        partitions = df.sparkSession.sparkContext.defaultParallelism
+    if not partitions:
+        return df
+    keys = [c for c in ("ticker", "date") if c in df.columns]
+    return df.repartition(int(partitions), *keys) if keys else df.repartition(int(partitions))
 
-def replicate(df: DataFrame, copies: int, *, include_original: bool = True) -> DataFrame:
-    """``copy_id`` 0..copies (or 1..copies) for every row."""
+
+def _explode_copies(df: DataFrame, copies: int, include_original: bool) -> DataFrame:
     first = 0 if include_original else 1
     return df.select("*", F.explode(F.sequence(F.lit(first), F.lit(int(copies)))).alias("copy_id"))
 
 
+def with_noise_words(df: DataFrame, seed: int) -> DataFrame:
+    """Attach the per-bar hash words (one per field) the noise is derived from."""
+    words = bar_hash_words("ticker", "date", seed, len(NOISE_SLOTS))
+    return df.withColumns({_WORD.format(k): w for k, w in enumerate(words)})
+
+
+def replicate(df: DataFrame, copies: int, *, include_original: bool = True, partitions: int | None = None) -> DataFrame:
+    """``copy_id`` 0..copies (or 1..copies) for every row.
+
+    ``partitions``: number of hash partitions on (ticker, date) the input is spread over before
+    the explode; default is the cluster's default parallelism (all cores); 0 keeps the input
+    partitioning as it is (for an input that is already large and well spread).
+    """
+    return _explode_copies(_spread(df, partitions), copies, include_original)
+
+
 def add_noise(df: DataFrame, seed: int = 42, *, price_noise: float = PRICE_NOISE, volume_noise: float = VOLUME_NOISE) -> DataFrame:
-    """Multiply each present price/volume column by its own noise factor.
+    """Multiply each present price/volume column of a frame with ``copy_id`` by its own noise
+    factor (R2, R3, R5). Columns that are absent are skipped; NULL values stay NULL.
 
-    Columns that are absent are skipped; NULL values stay NULL.
+    Uses the hash words attached by ``with_noise_words`` when present, else computes them here.
     """
+    if _WORD.format(0) not in df.columns:
+        df = with_noise_words(df, seed)
+    present = {name: slot for name, slot in NOISE_SLOTS.items() if name in df.columns}
+    # One projection per mixer stage: each stage reads the previous one twice, so the optimizer
+    # keeps the stages apart and every value is computed once per row.
+    u = {name: f"_noise_u{slot}" for name, slot in present.items()}
+    df = df.withColumns({c: mix_start(_WORD.format(present[n]), "copy_id") for n, c in u.items()})
+    df = df.withColumns({c: mix_round(c) for c in u.values()})
+    df = df.withColumns({c: mix_round(c) for c in u.values()})
+    df = df.withColumns({c: mix_final(c) for c in u.values()})
     cols = {}
-    for name, slot in NOISE_SLOTS.items():
-        if name not in df.columns:
-            continue
+    for name in present:
         amp = volume_noise if name == "volume" else price_noise
-        cols[name] = F.col(name) * noise_factor("ticker", "date", "copy_id", seed, slot, amp)
-    return df.withColumns(cols) if cols else df
+        cols[name] = F.col(name) * noise_factor(None, "copy_id", amp, uniform=u[name])
+    out = df.withColumns(cols)
+    return out.drop(*u.values(), *[_WORD.format(k) for k in range(len(NOISE_SLOTS))])
+
 
+def multiply_bars(
+    df: DataFrame, copies: int = DEFAULT_COPIES, seed: int = 42, *, include_original: bool = True, partitions: int | None = None
+) -> DataFrame:
+    """Original plus ``copies`` noisy copies of every bar, keyed by ``copy_id``.
 
-def multiply_bars(df: DataFrame, copies: int = DEFAULT_COPIES, seed: int = 42, *, include_original: bool = True) -> DataFrame:
-    """Original plus ``copies`` noisy copies of every bar, keyed by ``copy_id``."""
-    return add_noise(replicate(df, copies, include_original=include_original), seed)
+    Plan: spread the input (hash on ticker, date) → hash words per bar → explode → integer noise.
+    """
+    spread = with_noise_words(_spread(df, partitions), seed)
+    return add_noise(_explode_copies(spread, copies, include_original), seed)

@@ -716,20 +716,30 @@ def q_lag_regression(spark, sf):
 # ================================================================== multiplication
 
 
+def sql_mix32(x: str) -> str:
+    """DuckDB form of ``mix32``."""
+    r1 = f"((xor(({x}) >> 16, ({x})) * 73244475) & 4294967295)"
+    r2 = f"((xor({r1} >> 16, {r1}) * 73244475) & 4294967295)"
+    return f"xor({r2} >> 16, {r2})"
+
+
 def sql_multiply(fixture: str, copies: int, seed: int = SEED) -> str:
     def fac(slot: int, amp: float) -> str:
-        bits = f"CAST(('0x' || substr(h, {8 * slot + 1}, 8)) AS BIGINT)"
+        x = f"((w{slot} + CAST(copy_id AS BIGINT) * 2654435761) & 4294967295)"
+        u = f"({sql_mix32(x)} / 4294967296.0::DOUBLE)"
         return (
             f"CASE WHEN copy_id = 0 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE + {amp}::DOUBLE * "
-            f"(2.0::DOUBLE * ({bits} / 4294967296.0::DOUBLE) - 1.0::DOUBLE) END"
+            f"(2.0::DOUBLE * {u} - 1.0::DOUBLE) END"
         )
 
+    words = ", ".join(f"CAST(('0x' || substr(h, {8 * k + 1}, 8)) AS BIGINT) AS w{k}" for k in range(5))
     return with_bars(
         fixture,
         f"""SELECT ticker, date, copy_id, open * {fac(0, 0.02)} AS open, high * {fac(1, 0.02)} AS high,
-  low * {fac(2, 0.02)} AS low, close * {fac(3, 0.02)} AS close, volume * {fac(4, 0.05)} AS volume FROM hx""",
-        f"rep AS (SELECT bars.*, CAST(c.range AS INTEGER) AS copy_id FROM bars, range(0, {copies + 1}) c)",
-        f"hx AS (SELECT *, sha256(concat_ws('|', ticker, CAST(date AS VARCHAR), CAST(copy_id AS VARCHAR), '{seed}')) AS h FROM rep)",
+  low * {fac(2, 0.02)} AS low, close * {fac(3, 0.02)} AS close, volume * {fac(4, 0.05)} AS volume FROM rep""",
+        f"hx AS (SELECT *, sha256(concat_ws('|', ticker, CAST(date AS VARCHAR), '{seed}')) AS h FROM bars)",
+        f"wd AS (SELECT *, {words} FROM hx)",
+        f"rep AS (SELECT wd.*, CAST(c.range AS INTEGER) AS copy_id FROM wd, range(0, {copies + 1}) c)",
     )
 
 
