@@ -852,3 +852,17 @@ def q_copies_to_yearly(spark, sf):
     jobs.land_copies(bars_lineitem(spark, sf), f"{base}/landing", copies=COPIES_SMALL, seed=SEED)
     res = jobs.copies_to_yearly(spark, f"{base}/landing", f"{base}/out", exact=("avg_volatility",))
     return rounded(res.yearly, {"avg_close": 4})
+
+
+# ================================================================== streaming
+
+
+@register("stream_yearly", _sql_yearly("lineitem"))
+def q_stream_yearly(spark, sf):
+    """The small plan under Structured Streaming: line-JSON landing → file stream → clean → enrich →
+    stateful yearly means (complete mode, foreachBatch sink), run with an availableNow trigger."""
+    from barframe.streaming.ingest import run_available
+
+    base = scratch_path(spark, "stream")
+    write_line_json(bars_lineitem(spark, sf), f"{base}/landing", partition_by=["ticker"])
+    return run_available(spark, f"{base}/landing", f"{base}/out")
