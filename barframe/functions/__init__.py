@@ -14,5 +14,6 @@ from barframe.functions.expressions import (  # noqa: F401
     safe_div,
     ticker_from_path,
     to_bar_date,
+    to_bar_timestamp,
     volatility_ratio,
 )

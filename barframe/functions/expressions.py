@@ -31,6 +31,11 @@ def to_bar_date(c) -> Column:
     return _c(c).try_cast("date")
 
 
+def to_bar_timestamp(c) -> Column:
+    """ISO string or date -> timestamp (P5); malformed strings become NULL."""
+    return _c(c).try_cast("timestamp")
+
+
 def day_of_week(c) -> Column:
     """Day of week with 1 = Sunday ... 7 = Saturday (Spark's ``dayofweek``)."""
     return F.dayofweek(_c(c))

@@ -41,7 +41,7 @@ from barframe.operators.clean import (
     restrict_dates,
     select_series,
 )
-from barframe.operators.enrich import add_volatility, enrich
+from barframe.operators.enrich import add_volatility, enrich, tag_ticker
 from barframe.operators.indicators import FEATURES, add_moving_averages, add_price_changes, add_rsi, indicators
 from barframe.operators.modeling import (
     ar1_coefficients,
@@ -268,6 +268,12 @@ def q_volatility_unrounded(spark, sf):
     return add_volatility(bars_lineitem(spark, sf))
 
 
+@register("tagged_bars", f"SELECT 'EVENTS' AS ticker, * EXCLUDE (ticker) FROM ({SQL_BARS['events']})")
+def q_tagged_bars(spark, sf):
+    """A table read without a ticker column, tagged with a constant ticker."""
+    return tag_ticker(bars_events(spark, sf).drop("ticker"), "EVENTS")
+
+
 # ================================================================== aggregates
 
 
@@ -612,7 +618,8 @@ def q_last_window(spark, sf):
 
 SQL_AR1_FIT = """co AS (SELECT ticker, regr_slope(CASE WHEN split = 'train' THEN label END, CASE WHEN split = 'train' THEN prev_target END) AS slope,
   regr_intercept(CASE WHEN split = 'train' THEN label END, CASE WHEN split = 'train' THEN prev_target END) AS intercept,
-  regr_count(CASE WHEN split = 'train' THEN label END, CASE WHEN split = 'train' THEN prev_target END) AS n_fit FROM fr GROUP BY ticker)"""
+  CAST(regr_count(CASE WHEN split = 'train' THEN label END, CASE WHEN split = 'train' THEN prev_target END) AS BIGINT) AS n_fit
+FROM fr GROUP BY ticker)"""
 
 
 @register(

@@ -108,3 +108,29 @@ def test_union_by_name_keeps_values_in_place(spark):
     u = union_by_name([a, b, bars(spark, ROWS[:1]).withColumn("extra", F.lit("x"))])
     assert u.count() == 4 and u.filter("extra is null").count() == 3
     assert sorted(r.close for r in u.collect()) == [52.0, 105.0, 105.0, 106.0]
+
+
+def test_reference_copy_layout_single_glob(spark, tmp_dir):
+    """One Spark output directory per copy (<TICKER>_<n>.json/, <TICKER>_original.json/), all read by one glob."""
+    from barframe.operators.multiply import multiply_bars
+    from barframe.sources.writers import landed_records
+
+    src = multiply_bars(bars(spark, ROWS), copies=2, seed=3)
+    for (t, c) in [(r.ticker, r.copy_id) for r in src.select("ticker", "copy_id").distinct().collect()]:
+        name = f"{t}_original.json" if c == 0 else f"{t}_{c}.json"
+        part = landed_records(src.filter((F.col("ticker") == t) & (F.col("copy_id") == c))).drop("ticker", "copy_id")
+        part.coalesce(1).write.json(f"{tmp_dir}/raw/{name}")
+    back = read_bars_json(spark, f"{tmp_dir}/raw/*_*.json")
+    key = ["ticker", "copy_id", "date", "open", "close", "volume"]
+    assert sorted(tuple(r) for r in back.select(*key).collect()) == sorted(tuple(r) for r in src.select(*key).collect())
+
+
+def test_iso_strings_to_date_and_timestamp(spark):
+    import datetime as dt
+
+    from barframe.functions.expressions import to_bar_date, to_bar_timestamp
+
+    df = spark.createDataFrame([("2000-01-03T00:00:00.000",), ("not a date",)], "s string")
+    got = df.select(to_bar_date("s").alias("d"), to_bar_timestamp("s").alias("t")).collect()
+    assert got[0].d == dt.date(2000, 1, 3) and got[0].t == dt.datetime(2000, 1, 3)
+    assert got[1].d is None and got[1].t is None
