@@ -509,6 +509,23 @@ def q_indicators(spark, sf):
     return rounded(out, {c: 6 for c in _IND_DERIVED})
 
 
+@register(
+    "indicators_blocked",
+    with_bars(
+        "lineitem",
+        "SELECT ticker, date, open, high, low, close, volume, " + ", ".join(f"{sql_round(c)} AS {c}" for c in _IND_DERIVED) + " FROM ind_clean",
+        *sql_indicator_ctes(),
+    ),
+)
+def q_indicators_blocked(spark, sf):
+    """W10 for long series: each series cut into calendar-year blocks with a 20-row halo, windows per
+    (ticker, year) — the three return-flag series each hold a third of the rows."""
+    from barframe.operators.blocked import indicators_blocked
+
+    out = indicators_blocked(bars_lineitem(spark, sf)).select(*BAR_COLS, *_IND_DERIVED)
+    return rounded(out, {c: 6 for c in _IND_DERIVED})
+
+
 # ================================================================== modelling
 
 
