@@ -15,6 +15,10 @@ Cost and bounds:
 * the block table (one row per series and block) is small and joins on equality keys;
 * one extra shuffle compared with the whole-series window, in exchange for spreading a long
   series (a ticker holding a third of all rows) over one task per block.
+
+The input is read by several branches (block table, candidates, core rows) that need different
+columns, so Spark scans it once per branch. Feed it a materialized bar table (Parquet): the extra
+branches are then column-pruned scans, not recomputations of an upstream aggregate.
 """
 
 from __future__ import annotations

@@ -27,15 +27,26 @@ class SmallResult:
     yearly: DataFrame  # (year, ticker, avg_close, avg_volatility)
 
 
+def land_as_parquet(spark: SparkSession, landing: str, out: str, *, multiline: bool) -> DataFrame:
+    """Parse the JSON landing once into a Parquet table and return a scan of it.
+
+    JSON parsing is the expensive part of the scan; every later step (profile, cleaning, coverage)
+    then reads Parquet with column pruning and pushed filters instead of re-parsing text.
+    """
+    raw = read_bars_json(spark, landing, multiline=multiline)
+    write_parquet(raw, out)
+    return read_bars_parquet(spark, out, raw.schema)
+
+
 def landing_to_yearly(
     spark: SparkSession, landing: str, out_dir: str, *, multiline: bool = True, profile: str = "strict", exact: bool = False
 ) -> SmallResult:
-    """Small job: JSON landing → profile → clean → enrich → Parquet (by year) → yearly means.
+    """Small job: JSON landing → Parquet → profile → clean → enrich → Parquet (by year) → yearly means.
 
-    One scan of the landing feeds the profile (one conditional aggregate) and the clean table;
-    both yearly means come from one ``groupBy`` over the written table.
+    The landing is parsed once; the profile (one conditional aggregate) and the clean table read
+    the Parquet copy; both yearly means come from one ``groupBy`` over the written clean table.
     """
-    raw = read_bars_json(spark, landing, multiline=multiline)
+    raw = land_as_parquet(spark, landing, f"{out_dir}/raw", multiline=multiline)
     prof = describe_before_after(raw, profile, exact=exact)
     clean = enrich(filter_outliers(raw, profile), returns=True)
     clean_path = f"{out_dir}/clean"
@@ -66,8 +77,8 @@ def copies_to_yearly(
     profile: str = "close_volume",
     exact: bool | tuple[str, ...] = False,
 ) -> LargeResult:
-    """Large job: all landed copies in one scan → clean → enrich → Parquet → yearly means + coverage."""
-    raw = read_bars_json(spark, landing, multiline=False)
+    """Large job: all landed copies in one scan → Parquet → clean → enrich → Parquet → yearly means + coverage."""
+    raw = land_as_parquet(spark, landing, f"{out_dir}/raw", multiline=False)
     clean = enrich(filter_outliers(raw, profile), returns=False)
     clean_path = f"{out_dir}/clean"
     write_parquet(clean, clean_path, partition_by=["year"])
