@@ -93,3 +93,98 @@ def indicators_blocked(
     h = with_halo(df, INDICATOR_HALO, keys=keys, block=block)
     out = indicators(h, dropna=False, keys=[*keys, BLOCK]).filter(F.col(CORE)).drop(CORE, BLOCK)
     return drop_incomplete(out, subset=FEATURES) if dropna else out
+
+
+def model_frame_blocked(
+    bars: DataFrame,
+    target: str = "close",
+    *,
+    keys: Sequence[str] | None = None,
+    block: str | Column = "year",
+    with_arrays: bool = False,
+    checkpoint: bool = True,
+) -> DataFrame:
+    """``model_frame`` (fit_on='all') for long series, with no window over a whole series.
+
+    * indicators per (series, block) with a halo (``indicators_blocked``);
+    * per-series count and min/max of the 12 features as a partial aggregate joined back on the
+      series keys (one row per series on the small side: broadcast, or a skew-split shuffle join);
+    * the scaled frame is checkpointed into the shared checkpoint folder (``checkpoint=True``),
+      because the next steps read it from several branches;
+    * global row positions from a small block table (rows in earlier blocks) plus the rank
+      within the block; ``prev_target`` and the sequence history from a 1- or 60-row halo;
+    * the chronological split from the position and the series count.
+
+    Returns the same columns and values as ``model_frame(bars, target, fit_on='all')``.
+    """
+    from barframe.operators.modeling import (
+        MAX_SEQUENCE_LENGTH,
+        SEQUENCE_RATIO,
+        TEST_SIZE,
+        VALIDATION_SPLIT,
+        sequence_length,
+    )
+    from barframe.plans.workspace import cut_lineage
+
+    keys = list(keys) if keys is not None else series_keys(bars)
+    tgt = f"{target}_scaled"
+    ind = indicators_blocked(bars, keys=keys, block=block)
+    base_cols = ind.columns
+
+    stats = ind.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.min(c).alias(f"min_{c}") for c in FEATURES],
+        *[F.max(c).alias(f"max_{c}") for c in FEATURES],
+    )
+    scaled = ind.join(stats, keys)
+    scaled = scaled.withColumns(
+        {
+            f"{c}_scaled": F.when(F.col(f"max_{c}") > F.col(f"min_{c}"), (F.col(c) - F.col(f"min_{c}")) / (F.col(f"max_{c}") - F.col(f"min_{c}"))).otherwise(F.lit(0.0))
+            for c in FEATURES
+        }
+    )
+    scaled = scaled.drop(*[f"{b}_{c}" for c in FEATURES if c != target for b in ("min", "max")])
+    if checkpoint:
+        scaled = cut_lineage(scaled)
+
+    # Rows of the earlier blocks of each series (small table).
+    bt = scaled.withColumn(BLOCK, block_of(block)).groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("_bn"))
+    wbt = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0)
+    bt = bt.withColumn("_pos0", F.sum("_bn").over(wbt) - F.col("_bn")).drop("_bn")
+
+    halo = MAX_SEQUENCE_LENGTH if with_arrays else 1
+    h = with_halo(scaled, halo, keys=keys, block=block)
+    w = Window.partitionBy(*keys, BLOCK).orderBy("date")
+    cols = {
+        "prev_target": F.lag(tgt, 1).over(w),
+        "_rn": F.row_number().over(w),
+        "_nh": F.count(F.when(~F.col(CORE), F.lit(1))).over(Window.partitionBy(*keys, BLOCK)),
+    }
+    if with_arrays:
+        step = F.array(*[F.col(f"{c}_scaled").cast("double") for c in FEATURES])
+        cols["_hist"] = F.collect_list(step).over(w.rowsBetween(-MAX_SEQUENCE_LENGTH, -1))
+    out = h.withColumns(cols).filter(F.col(CORE))
+    out = out.join(bt, [*keys, BLOCK])
+    out = out.withColumns(
+        {
+            "seq_len": sequence_length(F.col("_n"), MAX_SEQUENCE_LENGTH, SEQUENCE_RATIO),
+            "pos": (F.col("_pos0") + F.col("_rn") - F.col("_nh") - 1).cast("int"),
+        }
+    )
+    if with_arrays:
+        out = out.withColumn("sequence", F.slice("_hist", F.size("_hist") - F.col("seq_len") + 1, F.col("seq_len")))
+    out = out.withColumn("label", F.col(tgt)).filter((F.col("seq_len") >= 1) & (F.col("pos") >= F.col("seq_len")))
+
+    m = F.col("_n") - F.col("seq_len")
+    k = F.col("pos") - F.col("seq_len") + 1
+    n_test = F.ceil(m * F.lit(float(TEST_SIZE)))
+    n_rest = m - n_test
+    n_train = F.floor(n_rest * F.lit(float(1.0 - VALIDATION_SPLIT)))
+    split = F.when(k > n_rest, F.lit("test")).when(k > n_train, F.lit("validation")).otherwise(F.lit("train"))
+    out = out.withColumn("split", split)
+
+    scaled_cols = [f"{c}_scaled" for c in FEATURES]
+    order = [*base_cols, f"min_{target}", f"max_{target}", *scaled_cols, "seq_len", "pos", "prev_target"]
+    if with_arrays:
+        order.append("sequence")
+    return out.select(*order, "label", "split")

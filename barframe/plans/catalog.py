@@ -694,7 +694,7 @@ def q_forecast_metrics(spark, sf):
     return rounded(m, {"mse": 2, "rmse": 4, "mae": 4, "mse_last_value": 2, "rmse_last_value": 4, "mae_last_value": 4})
 
 
-def _sql_forecast(business_days: bool) -> str:
+def _sql_forecast(business_days: bool, fixture: str = "supplier") -> str:
     if business_days:
         dates = """(SELECT ticker, d AS date, row_number() OVER (PARTITION BY ticker ORDER BY d) AS step
   FROM (SELECT ticker, unnest(generate_series(last_date + 1, last_date + 67, INTERVAL 1 DAY))::DATE AS d FROM st)
@@ -702,7 +702,7 @@ def _sql_forecast(business_days: bool) -> str:
     else:
         dates = "(SELECT ticker, CAST(last_date + CAST(s AS INTEGER) AS DATE) AS date, s AS step FROM st, range(1, 31) r(s))"
     return with_bars(
-        "supplier",
+        fixture,
         f"""SELECT p.ticker, CAST(p.step AS INTEGER) AS step, dt.date, {sql_round('p.x * (st.max_close - st.min_close) + st.min_close', 2)} AS predicted_close
 FROM path p JOIN st USING (ticker) JOIN {dates} dt ON dt.ticker = p.ticker AND dt.step = p.step""",
         *sql_model_ctes(),
@@ -729,6 +729,16 @@ def q_ar1_forecast_business_days(spark, sf):
     return rounded(recursive_forecast(_frame(spark, sf), "close", horizon=30, business_days=True), {"predicted_close": 2})
 
 
+@register("ar1_forecast_blocked", _sql_forecast(False, "lineitem"))
+def q_ar1_forecast_blocked(spark, sf):
+    """M8 for long series: the modelling frame built per (ticker, year) block with halos and
+    per-series aggregates (no window spans a whole series), then the recursive AR(1) forecast —
+    over the three return-flag series that each hold a third of the rows."""
+    from barframe.operators.blocked import model_frame_blocked
+
+    return rounded(recursive_forecast(model_frame_blocked(bars_lineitem(spark, sf), "close"), "close", horizon=30), {"predicted_close": 2})
+
+
 @register("lag_regression", None)
 def q_lag_regression(spark, sf):
     """M3 (b): one Spark ML linear regression on 5 lags over the training rows of all series;

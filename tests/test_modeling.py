@@ -112,3 +112,16 @@ def test_fit_on_train_bounds_use_only_early_rows(spark):
     assert test_rows.count() > 0
     w = Window.partitionBy("ticker")
     assert frame.select(F.max("max_close").over(w)).first()[0] is not None
+
+
+def test_blocked_model_frame_equals_model_frame(spark):
+    from barframe.operators.blocked import model_frame_blocked
+
+    df = _ar_series(spark, n=700).unionByName(
+        series(spark, [float(10 + (i % 7)) for i in range(300)], ticker="U", start="2021-03-01")
+    )
+    whole = model_frame(df, "close", with_arrays=True)
+    for block in ("year", "month"):
+        blocked = model_frame_blocked(df, "close", block=block, with_arrays=True)
+        assert blocked.columns == whole.columns
+        assert sorted(map(tuple, blocked.collect())) == sorted(map(tuple, whole.collect()))
