@@ -1,6 +1,5 @@
 import hashlib
 
-import pytest
 from pyspark.sql import functions as F
 
 from barframe.operators.multiply import add_noise, multiply_bars, replicate
@@ -66,4 +65,3 @@ def test_independent_of_precomputed_words(spark):
     fast = sorted(multiply_bars(df, 4, seed=9).collect())
     slow = sorted(add_noise(replicate(df, 4, partitions=0), 9).collect())
     assert fast == slow
-    _ = pytest
