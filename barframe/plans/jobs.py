@@ -17,6 +17,7 @@ from barframe.operators.enrich import enrich
 from barframe.operators.modeling import HORIZON, ar1_predictions, evaluate, model_frame, recursive_forecast
 from barframe.operators.multiply import DEFAULT_COPIES, multiply_bars
 from barframe.sources.readers import read_bars_json, read_bars_parquet
+from barframe.plans.workspace import cut_lineage
 from barframe.sources.writers import write_line_json, write_parquet
 
 
@@ -96,8 +97,23 @@ class ForecastResult:
     forecast: DataFrame
 
 
-def forecast_all(bars: DataFrame, target: str = "close", horizon: int = HORIZON, *, fit_on: str = "all", business_days: bool = False) -> ForecastResult:
-    """Prediction job for every series: model frame, test predictions, metrics, recursive forecast."""
+def forecast_all(
+    bars: DataFrame,
+    target: str = "close",
+    horizon: int = HORIZON,
+    *,
+    fit_on: str = "all",
+    business_days: bool = False,
+    checkpoint: bool = True,
+) -> ForecastResult:
+    """Prediction job for every series: model frame, test predictions, metrics, recursive forecast.
+
+    The three products all derive from the modelling frame; with ``checkpoint`` the frame is
+    materialized once in the shared checkpoint folder, so the window chain runs once instead of
+    once per product, and a lost executor re-reads the checkpoint.
+    """
     frame = model_frame(bars, target, fit_on=fit_on)
+    if checkpoint:
+        frame = cut_lineage(frame)
     preds = ar1_predictions(frame, target)
     return ForecastResult(frame, preds, evaluate(preds), recursive_forecast(frame, target, horizon=horizon, business_days=business_days))

@@ -73,7 +73,9 @@ def read_bars_json(
     """Scan landed JSON bars (S1 with ``multiline=True`` for array files, S2/S3 for line JSON).
 
     ``path`` may be a folder, a glob over every ticker (``raw/*_*.json``) or a list of paths:
-    one scan covers all tickers and copies, instead of one job per ticker.
+    one scan covers all tickers and copies, instead of one job per ticker. A multi-line file is
+    parsed whole by one task (it cannot be split), so large landings should be line JSON — which
+    is what ``write_line_json`` produces — and split at ``spark.sql.files.maxPartitionBytes``.
     """
     raw = spark.read.schema(schema).option("multiLine", multiline).json(path)
     return normalize_landed(_with_source(raw))

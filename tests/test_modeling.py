@@ -125,3 +125,12 @@ def test_blocked_model_frame_equals_model_frame(spark):
         blocked = model_frame_blocked(df, "close", block=block, with_arrays=True)
         assert blocked.columns == whole.columns
         assert sorted(map(tuple, blocked.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_forecast_job_products(spark):
+    from barframe.plans.jobs import forecast_all
+
+    res = forecast_all(_ar_series(spark), "close", horizon=7)
+    assert res.forecast.count() == 7
+    assert res.metrics.count() == 1
+    assert res.predictions.count() == res.frame.filter(F.col("split") == "test").count()
