@@ -526,6 +526,27 @@ def q_indicators_blocked(spark, sf):
     return rounded(out, {c: 6 for c in _IND_DERIVED})
 
 
+@register(
+    "indicators_bucketed",
+    with_bars(
+        "supplier",
+        "SELECT ticker, date, open, high, low, close, volume, " + ", ".join(f"{sql_round(c)} AS {c}" for c in _IND_DERIVED) + " FROM ind_clean",
+        *sql_indicator_ctes(),
+    ),
+)
+def q_indicators_bucketed(spark, sf):
+    """W10 over a bar table written bucketed by ticker (sorted by date in each bucket): the
+    windows read partitions already hash-partitioned on the series key — no exchange."""
+    import uuid
+
+    from barframe.sources.writers import write_bucketed_bars
+
+    table = f"barframe_bars_{uuid.uuid4().hex[:12]}"
+    write_bucketed_bars(bars_supplier(spark, sf), table, scratch_path(spark, "bucketed"), buckets=16, keys=["ticker"])
+    out = indicators(spark.table(table)).select(*BAR_COLS, *_IND_DERIVED)
+    return rounded(out, {c: 6 for c in _IND_DERIVED})
+
+
 # ================================================================== modelling
 
 

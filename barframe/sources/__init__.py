@@ -10,6 +10,7 @@ from barframe.sources.readers import (  # noqa: F401
 )
 from barframe.sources.writers import (  # noqa: F401
     to_json_records,
+    write_bucketed_bars,
     write_json_arrays,
     write_line_json,
     write_parquet,

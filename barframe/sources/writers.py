@@ -111,3 +111,25 @@ def write_wrapped_json(df: DataFrame, path: str, *, mode: str = "overwrite", col
     recs = to_json_records(df).withColumnRenamed("json", column)
     keys = [c for c in recs.columns if c != column]
     _rebalanced(recs, keys).write.mode(mode).partitionBy(*keys).json(path)
+
+
+def write_bucketed_bars(
+    df: DataFrame, table: str, path: str, *, buckets: int, keys: Sequence[str] | None = None, mode: str = "overwrite"
+) -> None:
+    """Bar table bucketed by the series keys and sorted by date inside each bucket (an external
+    table at ``path``, registered in the session catalog as ``table``).
+
+    Every later window over the series (indicators, scaling, sequences, split) then reads
+    partitions that are already hash-partitioned on the keys, so its exchange disappears: the
+    partitioning is paid once at write time and reused by every modelling run.
+    """
+    if keys is None:
+        keys = [c for c in ("ticker", "copy_id") if c in df.columns]
+    (
+        df.write.mode(mode)
+        .option("path", path)
+        .bucketBy(int(buckets), keys[0], *keys[1:])
+        .sortBy(keys[0], *keys[1:], "date")
+        .format("parquet")
+        .saveAsTable(table)
+    )

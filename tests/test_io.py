@@ -134,3 +134,17 @@ def test_iso_strings_to_date_and_timestamp(spark):
     got = df.select(to_bar_date("s").alias("d"), to_bar_timestamp("s").alias("t")).collect()
     assert got[0].d == dt.date(2000, 1, 3) and got[0].t == dt.datetime(2000, 1, 3)
     assert got[1].d is None and got[1].t is None
+
+
+def test_bucketed_bars_remove_window_exchange(spark, tmp_dir):
+    import uuid
+
+    from barframe.operators.indicators import indicators
+    from barframe.sources.writers import write_bucketed_bars
+
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    write_bucketed_bars(bars(spark, ROWS), name, f"{tmp_dir}/bucketed", buckets=4, keys=["ticker"])
+    ind = indicators(spark.table(name), dropna=False)
+    plan = ind._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert sorted(map(tuple, ind.collect())) == sorted(map(tuple, indicators(bars(spark, ROWS), dropna=False).collect()))
