@@ -95,6 +95,17 @@ def indicators_blocked(
     return drop_incomplete(out, subset=FEATURES) if dropna else out
 
 
+def _positions(df: DataFrame, keys: Sequence[str], block: str | Column) -> DataFrame:
+    """0-based row position of every row in its series (``_pos``) without a whole-series window:
+    rows of the earlier blocks (small block table) plus the rank inside the row's own block."""
+    b = df.withColumn(BLOCK, block_of(block))
+    bt = b.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("_bn"))
+    wbt = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0)
+    bt = bt.withColumn("_pos0", F.sum("_bn").over(wbt) - F.col("_bn")).drop("_bn")
+    ranked = b.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, BLOCK).orderBy("date")))
+    return ranked.join(bt, [*keys, BLOCK]).withColumn("_pos", F.col("_pos0") + F.col("_lrn") - 1).drop("_pos0", "_lrn", BLOCK)
+
+
 def model_frame_blocked(
     bars: DataFrame,
     target: str = "close",
@@ -103,8 +114,9 @@ def model_frame_blocked(
     block: str | Column = "year",
     with_arrays: bool = False,
     checkpoint: bool = True,
+    fit_on: str = "all",
 ) -> DataFrame:
-    """``model_frame`` (fit_on='all') for long series, with no window over a whole series.
+    """``model_frame`` for long series, with no window over a whole series.
 
     * indicators per (series, block) with a halo (``indicators_blocked``);
     * per-series count and min/max of the 12 features as a partial aggregate joined back on the
@@ -115,7 +127,10 @@ def model_frame_blocked(
       within the block; ``prev_target`` and the sequence history from a 1- or 60-row halo;
     * the chronological split from the position and the series count.
 
-    Returns the same columns and values as ``model_frame(bars, target, fit_on='all')``.
+    ``fit_on='train'`` fits the scaling bounds on the rows before the first test label only; the
+    row positions for that mask come from the same block table.
+
+    Returns the same columns and values as ``model_frame(bars, target, fit_on=fit_on)``.
     """
     from barframe.operators.modeling import (
         MAX_SEQUENCE_LENGTH,
@@ -131,11 +146,25 @@ def model_frame_blocked(
     ind = indicators_blocked(bars, keys=keys, block=block)
     base_cols = ind.columns
 
-    stats = ind.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.min(c).alias(f"min_{c}") for c in FEATURES],
-        *[F.max(c).alias(f"max_{c}") for c in FEATURES],
-    )
+    if fit_on == "all":
+        stats = ind.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.min(c).alias(f"min_{c}") for c in FEATURES],
+            *[F.max(c).alias(f"max_{c}") for c in FEATURES],
+        )
+    elif fit_on == "train":
+        # Fit rows: positions below n - ceil(test_size * (n - L)), positions from a block table.
+        counts = ind.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        pos = _positions(ind, keys, block).join(counts, keys)
+        cutoff = F.col("_n") - F.ceil((F.col("_n") - sequence_length(F.col("_n"), MAX_SEQUENCE_LENGTH, SEQUENCE_RATIO)) * F.lit(TEST_SIZE))
+        fit = F.col("_pos") < cutoff
+        stats = pos.groupBy(*keys).agg(
+            F.first("_n").alias("_n"),
+            *[F.min(F.when(fit, F.col(c))).alias(f"min_{c}") for c in FEATURES],
+            *[F.max(F.when(fit, F.col(c))).alias(f"max_{c}") for c in FEATURES],
+        )
+    else:
+        raise ValueError("fit_on must be 'all' or 'train'")
     scaled = ind.join(stats, keys)
     scaled = scaled.withColumns(
         {

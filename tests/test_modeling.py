@@ -134,3 +134,13 @@ def test_forecast_job_products(spark):
     assert res.forecast.count() == 7
     assert res.metrics.count() == 1
     assert res.predictions.count() == res.frame.filter(F.col("split") == "test").count()
+
+
+def test_blocked_model_frame_fit_on_train(spark):
+    from barframe.operators.blocked import model_frame_blocked
+
+    df = _ar_series(spark, n=500)
+    whole = model_frame(df, "close", fit_on="train")
+    blocked = model_frame_blocked(df, "close", block="month", fit_on="train")
+    assert blocked.columns == whole.columns
+    assert sorted(map(tuple, blocked.collect())) == sorted(map(tuple, whole.collect()))
