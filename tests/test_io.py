@@ -148,3 +148,36 @@ def test_bucketed_bars_remove_window_exchange(spark, tmp_dir):
     plan = ind._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert sorted(map(tuple, ind.collect())) == sorted(map(tuple, indicators(bars(spark, ROWS), dropna=False).collect()))
+
+
+def test_path_parsing_property(spark):
+    """Generated tickers and copy numbers survive every landing layout, checked in one Spark pass."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    tickers = st.from_regex(r"[A-Z0-9][A-Z0-9.\-]{0,7}", fullmatch=True)
+    layouts = st.sampled_from(["flat", "copy", "original", "merged", "hive"])
+    cases_seen = []
+
+    @settings(max_examples=1, deadline=None)
+    @given(st.lists(st.tuples(tickers, st.integers(1, 100000), layouts), min_size=200, max_size=200))
+    def check(cases):
+        rows, expected = [], []
+        for t, c, layout in cases:
+            if layout == "flat":
+                rows.append(f"file:/d/raw/{t}.json"), expected.append((t, None))
+            elif layout == "copy":
+                rows.append(f"hdfs://nn/raw/{t}_{c}.json/part-00000-x.json"), expected.append((t, c))
+            elif layout == "original":
+                rows.append(f"hdfs://nn/raw/{t}_original.json/part-00000.txt"), expected.append((t, 0))
+            elif layout == "merged":
+                rows.append(f"file:/d/merged/{t}_merged.json/part-1.json"), expected.append((t, None))
+            else:
+                rows.append(f"s3a://b/land/ticker={t}/copy_id={c}/part-0.json"), expected.append((t, c))
+        df = spark.createDataFrame([(i, p) for i, p in enumerate(rows)], "i int, p string")
+        got = df.select("i", ticker_from_path("p").alias("t"), copy_from_path("p").alias("c")).orderBy("i").collect()
+        assert [(r.t, r.c) for r in got] == expected
+        cases_seen.append(len(cases))
+
+    check()
+    assert cases_seen == [200]
