@@ -8,7 +8,7 @@ from barframe.operators.aggregate import (  # noqa: F401
     series_stats,
     yearly_summary,
 )
-from barframe.operators.blocked import indicators_blocked, model_frame_blocked, with_halo  # noqa: F401
+from barframe.operators.blocked import indicators_between, indicators_blocked, model_frame_blocked, with_halo  # noqa: F401
 from barframe.operators.charts import actual_vs_predicted, close_by_year, close_history, volatility_by_ticker  # noqa: F401
 from barframe.operators.clean import (  # noqa: F401
     PROFILES,

@@ -217,3 +217,36 @@ def model_frame_blocked(
     if with_arrays:
         order.append("sequence")
     return out.select(*order, "label", "split")
+
+
+def indicators_between(
+    df: DataFrame,
+    start,
+    end=None,
+    *,
+    keys: Sequence[str] | None = None,
+    lookback_days: int = 4 * INDICATOR_HALO,
+) -> DataFrame:
+    """The indicator frame (W10) for rows with ``start <= date < end`` only — exact, without
+    sorting and shuffling the whole history.
+
+    Date predicates cannot be pushed below the windows (they would change rolling values), so the
+    range is applied *before* them with a warm-up: rows from ``start - lookback_days`` on enter the
+    window stage. A series with fewer than ``INDICATOR_HALO`` rows in that warm-up that also has
+    older rows (a sparse series) gets its full history back through a semi join against that small
+    set of series; every other series is served by the warm-up alone. The date filters reach the
+    Parquet scan as pushed filters; the per-series check is a partial aggregate of two columns.
+    """
+    keys = list(keys) if keys is not None else series_keys(df)
+    s = F.lit(start).cast("date")
+    warm_from = F.date_sub(s, int(lookback_days))
+    upto = df.filter(F.col("date") < F.lit(end).cast("date")) if end is not None else df
+
+    before = upto.filter(F.col("date") < s).groupBy(*keys).agg(
+        F.count(F.when(F.col("date") >= warm_from, F.lit(1))).alias("_nwarm"), F.min("date").alias("_first")
+    )
+    short = before.filter((F.col("_nwarm") < INDICATOR_HALO) & (F.col("_first") < warm_from)).select(*keys)
+    near = upto.filter(F.col("date") >= warm_from)
+    far = upto.filter(F.col("date") < warm_from).join(short, keys, "left_semi")
+    frame = indicators(near.unionByName(far), dropna=False, keys=keys).filter(F.col("date") >= s)
+    return drop_incomplete(frame, subset=FEATURES)

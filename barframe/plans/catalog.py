@@ -527,6 +527,24 @@ def q_indicators_blocked(spark, sf):
     return rounded(out, {c: 6 for c in _IND_DERIVED})
 
 
+@register(
+    "indicators_recent",
+    with_bars(
+        "supplier",
+        "SELECT ticker, date, open, high, low, close, volume, " + ", ".join(f"{sql_round(c)} AS {c}" for c in _IND_DERIVED)
+        + " FROM ind_clean WHERE date >= DATE '2001-01-01' AND date < DATE '2001-07-01'",
+        *sql_indicator_ctes(),
+    ),
+)
+def q_indicators_recent(spark, sf):
+    """W10 for one half-year only (date range applied before the windows with a warm-up halo;
+    sparse series fall back to their full history) — equal to the full frame filtered afterwards."""
+    from barframe.operators.blocked import indicators_between
+
+    out = indicators_between(bars_supplier(spark, sf), "2001-01-01", "2001-07-01").select(*BAR_COLS, *_IND_DERIVED)
+    return rounded(out, {c: 6 for c in _IND_DERIVED})
+
+
 @register(
     "indicators_bucketed",
     with_bars(
