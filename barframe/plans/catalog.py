@@ -20,9 +20,10 @@ most operators; ``bars_lineitem`` (three long, dense series) where intraday rang
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barframe.operators.aggregate import (
@@ -32,6 +33,7 @@ from barframe.operators.aggregate import (
     series_stats,
     yearly_summary,
 )
+from barframe.operators.blocked import indicators_between, indicators_blocked, model_frame_blocked
 from barframe.operators.charts import close_by_year, close_history, volatility_by_ticker
 from barframe.operators.clean import (
     coverage_report,
@@ -46,6 +48,7 @@ from barframe.operators.indicators import FEATURES, add_moving_averages, add_pri
 from barframe.operators.modeling import (
     ar1_coefficients,
     ar1_predictions,
+    chronological_split,
     evaluate,
     fit_lag_regression,
     inverse_scale,
@@ -62,8 +65,10 @@ from barframe.plans import jobs
 from barframe.plans.workspace import scratch_path
 from barframe.sources.fixtures import bars_events, bars_lineitem, bars_supplier, expected_suppliers
 from barframe.sources.readers import read_bars_json, read_bars_parquet, read_wrapped_json
+from barframe.streaming.ingest import run_available
 from barframe.sources.writers import (
     to_json_records,
+    write_bucketed_bars,
     write_json_arrays,
     write_line_json,
     write_parquet,
@@ -521,8 +526,6 @@ def q_indicators(spark, sf):
 def q_indicators_blocked(spark, sf):
     """W10 for long series: each series cut into calendar-year blocks with a 20-row halo, windows per
     (ticker, year) — the three return-flag series each hold a third of the rows."""
-    from barframe.operators.blocked import indicators_blocked
-
     out = indicators_blocked(bars_lineitem(spark, sf)).select(*BAR_COLS, *_IND_DERIVED)
     return rounded(out, {c: 6 for c in _IND_DERIVED})
 
@@ -539,8 +542,6 @@ def q_indicators_blocked(spark, sf):
 def q_indicators_recent(spark, sf):
     """W10 for one half-year only (date range applied before the windows with a warm-up halo;
     sparse series fall back to their full history) — equal to the full frame filtered afterwards."""
-    from barframe.operators.blocked import indicators_between
-
     out = indicators_between(bars_supplier(spark, sf), "2001-01-01", "2001-07-01").select(*BAR_COLS, *_IND_DERIVED)
     return rounded(out, {c: 6 for c in _IND_DERIVED})
 
@@ -556,10 +557,6 @@ def q_indicators_recent(spark, sf):
 def q_indicators_bucketed(spark, sf):
     """W10 over a bar table written bucketed by ticker (sorted by date in each bucket): the
     windows read partitions already hash-partitioned on the series key — no exchange."""
-    import uuid
-
-    from barframe.sources.writers import write_bucketed_bars
-
     table = f"barframe_bars_{uuid.uuid4().hex[:12]}"
     write_bucketed_bars(bars_supplier(spark, sf), table, scratch_path(spark, "bucketed"), buckets=16, keys=["ticker"])
     out = indicators(spark.table(table)).select(*BAR_COLS, *_IND_DERIVED)
@@ -593,8 +590,6 @@ def _frame(spark, sf, fixture: str = "supplier", with_arrays: bool = False) -> D
     bars = FIXTURE[fixture](spark, sf)
     if not with_arrays:
         return model_frame(bars, "close")
-    from barframe.operators.modeling import chronological_split  # local: only this query needs arrays
-
     ind = indicators(bars)
     scaled = min_max_scale(ind, FEATURES)
     seqs = make_sequences(scaled, [f"{c}_scaled" for c in FEATURES], "close_scaled", with_arrays=True)
@@ -665,8 +660,6 @@ def q_train_test_split(spark, sf):
 )
 def q_last_window(spark, sf):
     """The last L scaled rows of each series (the seed of the recursive forecast)."""
-    from pyspark.sql import Window
-
     scaled = min_max_scale(indicators(bars_supplier(spark, sf)), FEATURES)
     n = F.count(F.lit(1)).over(Window.partitionBy("ticker"))
     tail = last_rows(scaled.withColumn("seq_len", sequence_length(n)), F.col("seq_len"))
@@ -774,8 +767,6 @@ def q_ar1_forecast_blocked(spark, sf):
     """M8 for long series: the modelling frame built per (ticker, year) block with halos and
     per-series aggregates (no window spans a whole series), then the recursive AR(1) forecast —
     over the three return-flag series that each hold a third of the rows."""
-    from barframe.operators.blocked import model_frame_blocked
-
     return rounded(recursive_forecast(model_frame_blocked(bars_lineitem(spark, sf), "close"), "close", horizon=30), {"predicted_close": 2})
 
 
@@ -937,8 +928,6 @@ def q_copies_to_yearly(spark, sf):
 def q_stream_yearly(spark, sf):
     """The small plan under Structured Streaming: line-JSON landing → file stream → clean → enrich →
     stateful yearly means (complete mode, foreachBatch sink), run with an availableNow trigger."""
-    from barframe.streaming.ingest import run_available
-
     base = scratch_path(spark, "stream")
     write_line_json(bars_lineitem(spark, sf), f"{base}/landing", partition_by=["ticker"])
     return run_available(spark, f"{base}/landing", f"{base}/out")
