@@ -8,7 +8,7 @@ substring's ends may depend on what surrounds it. Every symbol therefore carries
 words that decides it (its context).
 
 Each window of ``window`` words is given one symbol that its own words decide: of the highest
-level with such a symbol, the one with the smallest hash. Equal windows get equal symbols at equal
+level with such a symbol, the longest one (of equally long ones that with the smallest hash). Equal windows get equal symbols at equal
 offsets. Occurrences of one symbol meet by one shuffle, each with the hashes of its windows, and
 all but the first of equal windows are marked; words that marked windows cover are removed.
 Equality rests on the symbol's 64-bit name and 32 further bits for each window.
@@ -37,6 +37,15 @@ ROUNDS = 2
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _salt(i: int) -> np.uint64:
+    return np.uint64(i * int(_PAIR) & 0xFFFFFFFFFFFFFFFF)
+
+
+def _window_keys(name: np.ndarray, before: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A window is known by its symbol's name, the words before the symbol, and its own hash."""
+    return mix(name ^ mix((hashes.astype(np.uint64) << np.uint64(16)) + before.astype(np.uint64)))
+
+
 class Symbols:
     """One level: names, spans and contexts (word ranges) of the symbols of several documents.
 
@@ -81,7 +90,7 @@ class Symbols:
         if not n:
             return self
         near = self.neighbours()
-        is_left = mix(self.name + np.uint64(coin) * _PAIR) & np.uint64(1) == 1
+        is_left = mix(self.name + _salt(coin)) & np.uint64(1) == 1
         pair = near & is_left[:-1] & ~is_left[1:]
         second = np.concatenate([[False], pair])
         first = np.flatnonzero(~second)
@@ -141,19 +150,26 @@ def window_symbols(hashes: np.ndarray, first: np.ndarray, window: int = WINDOW,
         # Symbols whose context is not within their document have none of the words to decide them.
         sound = np.flatnonzero(~symbols.edge)
         low, high = symbols.low[sound], symbols.high[sound]
-        named = mix(symbols.name[sound] + np.uint64(level + 1) * _PAIR)
+        named = mix(symbols.name[sound] + _salt(level + 1))
         p = starts[todo]
+        # The longest symbol first: the more words a symbol stands for, the fewer places share it.
+        words = np.minimum(symbols.end[sound] - symbols.start[sound], 63).astype(np.uint64)
+        priority = ((np.uint64(63) - words) << np.uint64(58)) | (named >> np.uint64(6))
         begin, end = np.searchsorted(low, p), np.searchsorted(high, p + window, side="right")
         some = begin < end
         own = todo[some]
-        best = _lowest(named, begin[some], end[some])
+        best = _lowest(priority, begin[some], end[some])
         name[own], at[own] = named[best], symbols.start[sound][best]
         todo = todo[~some]
     return starts, name, at
 
 
 def _anchors(window: int, rounds: int):
-    """A mapper from ``id, text`` to one row for each chosen symbol, with its windows' hashes."""
+    """A mapper from ``id, text`` to one row for each chosen symbol, with its windows' hashes.
+
+    Windows that occurred before in their own document are settled here; they come as ranges, rows
+    with the negative length as ``offset``. So a document gives a symbol's task nothing twice.
+    """
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
@@ -164,14 +180,31 @@ def _anchors(window: int, rounds: int):
                 if not len(starts):
                     continue
                 own = (mix(span_hashes(hashes, starts, starts + window)) >> np.uint64(32)).astype(np.uint32)
+                rows = np.searchsorted(first, starts, side="right") - 1
+                key = mix(_window_keys(name, at - starts, own) + mix(rows))
+                again = np.ones(len(starts), bool)
+                again[np.unique(key, return_index=True)[1]] = False
+                ids = batch.column(0).slice(row, len(first) - 1)
+                if again.any():
+                    where = np.flatnonzero(again)
+                    cut = np.flatnonzero(np.concatenate([[True], (np.diff(starts[where]) != 1) | (np.diff(rows[where]) != 0)]))
+                    low = where[cut]
+                    length = starts[where[np.concatenate([cut[1:], [len(where)]]) - 1]] - starts[low] + 1
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(key[low].view(np.int64)), ids.take(pa.array(rows[low])), pa.array(starts[low] - first[rows[low]]),
+                            pa.array((-length).astype(np.int32)), pa.array([b""] * len(low), pa.binary()),
+                        ],
+                        names=["name", "id", "start", "offset", "hashes"],
+                    )
+                    starts, name, at, own, rows = (x[~again] for x in (starts, name, at, own, rows))
                 new = np.concatenate([[True], (at[1:] != at[:-1]) | (name[1:] != name[:-1]) | (starts[1:] != starts[:-1] + 1)])
                 cut = np.flatnonzero(new)
                 sizes = np.concatenate([cut, [len(starts)]]).astype(np.int32) * 4
-                rows = np.searchsorted(first, starts[cut], side="right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(name[cut].view(np.int64)), batch.column(0).slice(row, len(first) - 1).take(pa.array(rows)),
-                        pa.array((starts[cut] - first[rows]).astype(np.int64)), pa.array((at[cut] - starts[cut]).astype(np.int32)),
+                        pa.array(name[cut].view(np.int64)), ids.take(pa.array(rows[cut])), pa.array(starts[cut] - first[rows[cut]]),
+                        pa.array((at[cut] - starts[cut]).astype(np.int32)),
                         pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(sizes.tobytes()), pa.py_buffer(own.tobytes())]),
                     ],
                     names=["name", "id", "start", "offset", "hashes"],
@@ -188,6 +221,13 @@ def _repeats(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     held_name, held_keys, held_ids, held_starts = None, np.zeros(0, np.uint64), [], np.zeros(0, np.int64)
     for batch in found:
+        settled = pa.compute.less(batch.column(3), 0)
+        if pa.compute.any(settled).as_py():
+            ranges = batch.filter(settled)
+            low = ranges.column(2).to_numpy()
+            high = low - ranges.column(3).to_numpy() - 1
+            yield pa.RecordBatch.from_arrays([ranges.column(1), pa.array(low), pa.array(high)], names=["id", "low", "high"])
+            batch = batch.filter(pa.compute.invert(settled))
         if not batch.num_rows:
             continue
         name = batch.column(0).to_numpy()
@@ -199,8 +239,7 @@ def _repeats(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.diff(bounds) // 4
         row = np.repeat(np.arange(len(name)), sizes)
         step = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        # A window is known by the symbol's name, where the symbol stands in it, and its hash.
-        key = mix(name.view(np.uint64)[row] ^ mix((hashes.astype(np.uint64) << np.uint64(16)) + (offset[row] - step).astype(np.uint64)))
+        key = _window_keys(name.view(np.uint64)[row], offset[row] - step, hashes)
         at = start[row] + step
         code = pa.compute.dictionary_encode(ids, null_encoding="encode").indices.to_numpy()[row]
         kinds, index, inverse = np.unique(key, return_index=True, return_inverse=True)
@@ -210,14 +249,16 @@ def _repeats(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held_name is not None and name[0] == held_name:
             here = np.searchsorted(held_keys, kinds)
             known = (here < len(held_keys)) & (held_keys[np.minimum(here, len(held_keys) - 1)] == kinds)
-            for i in np.flatnonzero(known[inverse]):
-                j = here[inverse[i]]
-                again[i] = not (held_starts[j] == at[i] and held_ids[j] == ids[row[i]].as_py())
+            seen = known[inverse]
+            again |= seen
+            same_start = np.flatnonzero(seen & (held_starts[np.minimum(here, len(held_keys) - 1)][inverse] == at))
+            for i in same_start:  # perhaps the first occurrence itself, in a repeated row
+                again[i] = held_ids[here[inverse[i]]] != ids[int(row[i])].as_py()
         else:
             known = np.zeros(len(kinds), bool)
         tail = name[row[index]] == name[-1]
         keep = tail & ~known
-        new_ids = [ids[i].as_py() for i in row[index[keep]]]
+        new_ids = [ids[int(i)].as_py() for i in row[index[keep]]]
         if held_name is not None and held_name == name[-1]:
             keys = np.concatenate([held_keys, kinds[keep]])
             order = np.argsort(keys)
