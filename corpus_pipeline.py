@@ -26,7 +26,7 @@ from barframe.llm.words import BATCH_ROWS
 from barframe.plans.workspace import scratch_path
 
 #: A text whose most probable language stays below this mean probability is rejected.
-MIN_SCORE = 0.35
+MIN_SCORE = 0.3
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
