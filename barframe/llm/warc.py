@@ -225,7 +225,7 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = False)
     folder = _uri(folder)
     files = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
     # Archives are large though their names are not: a task for each, up to a thousand at a time.
-    names = files.select("file").repartition(max(min(files.count(), 1000), 1), "file")
+    names = files.select("file").repartition(max(min(files.count(), 1000), 1))
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = _open_fs(folder)
