@@ -19,16 +19,20 @@ from barframe.schema import VALUE_COLUMNS
 STAT_NAMES = ("count", "mean", "stddev", "min", "max")
 
 
-def mean(c, *, exact: bool = False) -> Column:
+def mean(c, *, exact: bool = False, wide: bool = False) -> Column:
     """Mean of a column. ``exact=True`` sums the values as ``decimal(18,4)`` — exact and independent
     of partitioning or summation order — then divides once in double. Use it for values with at
     most 4 decimals (prices, 2-dp percentages, volumes): the result is then reproducible bit for
     bit across runs, cluster sizes and engines. The default is the plain double ``avg``.
+    NaN and infinite values count as missing in the exact mean; ``wide`` sums ``decimal(28,4)`` for
+    input that may hold values beyond 1e13.
     """
     c = F.col(c) if isinstance(c, str) else c
     if not exact:
         return F.avg(c)
-    return F.try_divide(F.sum(c.cast("decimal(18,4)")).cast("double"), F.count(c))
+    as_double = c.cast("double")
+    finite = F.when(~F.isnan(as_double) & (F.abs(as_double) < F.lit(float("inf"))), c)
+    return F.try_divide(F.sum(finite.cast("decimal(28,4)" if wide else "decimal(18,4)")).cast("double"), F.count(finite))
 
 
 def yearly_summary(
@@ -62,7 +66,7 @@ def yearly_summary(
 
 
 def _stats(c: Column, exact: bool = False) -> list[Column]:
-    return [F.count(c), mean(c, exact=exact), F.stddev_samp(c), F.min(c), F.max(c)]
+    return [F.count(c), mean(c, exact=exact, wide=True), F.stddev_samp(c), F.min(c), F.max(c)]
 
 
 def _unpivot_stats(one_row: DataFrame, stages: Sequence[str], columns: Sequence[str]) -> DataFrame:

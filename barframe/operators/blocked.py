@@ -51,6 +51,16 @@ def block_of(block: str | Column = "year") -> Column:
     raise ValueError("block must be 'year', 'month' or a Column")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on columns of one name in which NULL equals NULL; the columns come once."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    condition = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
+    matched = condition[0]
+    for c in condition[1:]:
+        matched = matched & c
+    return left.join(renamed, matched).drop(*[f"_r_{c}" for c in on])
+
+
 def with_halo(df: DataFrame, halo: int, *, keys: Sequence[str] | None = None, block: str | Column = "year") -> DataFrame:
     """Core rows (``_core`` true, in their own ``_block``) plus halo rows (``_core`` false), where
     every block receives the ``halo`` rows that precede it in its series, ordered by ``date``.
@@ -69,7 +79,7 @@ def with_halo(df: DataFrame, halo: int, *, keys: Sequence[str] | None = None, bl
     # Candidates: the last `halo` rows of each block (reverse rank 1 = last row).
     wrev = Window.partitionBy(*keys, BLOCK).orderBy(F.col("date").desc())
     cand = b.withColumn("_rr", F.row_number().over(wrev)).filter(F.col("_rr") <= halo)
-    cand = cand.join(bt.select(*keys, BLOCK, "_bi", "_cum"), [*keys, BLOCK])
+    cand = null_safe_join(cand, bt.select(*keys, BLOCK, "_bi", "_cum"), [*keys, BLOCK])
     cand = cand.withColumn("_j", F.explode(F.sequence(F.lit(1), F.lit(halo + 1) - F.col("_rr"))))
     cand = cand.withColumn("_tbi", F.col("_bi") + F.col("_j"))
 
@@ -77,7 +87,7 @@ def with_halo(df: DataFrame, halo: int, *, keys: Sequence[str] | None = None, bl
     # the first row of t: (rr - 1) + (rows of the blocks strictly between) < halo.
     tgt = bt.select(*keys, F.col("_bi").alias("_tbi"), F.col(BLOCK).alias("_tblock"), (F.col("_cum") - F.col("_n")).alias("_tcum0"))
     halo_rows = (
-        cand.join(tgt, [*keys, "_tbi"])
+        null_safe_join(cand, tgt, [*keys, "_tbi"])
         .filter((F.col("_rr") - 1) + (F.col("_tcum0") - F.col("_cum")) < halo)
         .select(*cols, F.col("_tblock").alias(BLOCK), F.lit(False).alias(CORE))
     )
@@ -103,7 +113,7 @@ def _positions(df: DataFrame, keys: Sequence[str], block: str | Column) -> DataF
     wbt = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0)
     bt = bt.withColumn("_pos0", F.sum("_bn").over(wbt) - F.col("_bn")).drop("_bn")
     ranked = b.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, BLOCK).orderBy("date")))
-    return ranked.join(bt, [*keys, BLOCK]).withColumn("_pos", F.col("_pos0") + F.col("_lrn") - 1).drop("_pos0", "_lrn", BLOCK)
+    return null_safe_join(ranked, bt, [*keys, BLOCK]).withColumn("_pos", F.col("_pos0") + F.col("_lrn") - 1).drop("_pos0", "_lrn", BLOCK)
 
 
 def model_frame_blocked(
@@ -155,7 +165,7 @@ def model_frame_blocked(
     elif fit_on == "train":
         # Fit rows: positions below n - ceil(test_size * (n - L)), positions from a block table.
         counts = ind.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        pos = _positions(ind, keys, block).join(counts, keys)
+        pos = null_safe_join(_positions(ind, keys, block), counts, keys)
         cutoff = F.col("_n") - F.ceil((F.col("_n") - sequence_length(F.col("_n"), MAX_SEQUENCE_LENGTH, SEQUENCE_RATIO)) * F.lit(TEST_SIZE))
         fit = F.col("_pos") < cutoff
         stats = pos.groupBy(*keys).agg(
@@ -165,7 +175,7 @@ def model_frame_blocked(
         )
     else:
         raise ValueError("fit_on must be 'all' or 'train'")
-    scaled = ind.join(stats, keys)
+    scaled = null_safe_join(ind, stats, keys)
     scaled = scaled.withColumns(
         {
             f"{c}_scaled": F.when(F.col(f"max_{c}") > F.col(f"min_{c}"), (F.col(c) - F.col(f"min_{c}")) / (F.col(f"max_{c}") - F.col(f"min_{c}"))).otherwise(F.lit(0.0))
@@ -193,7 +203,7 @@ def model_frame_blocked(
         step = F.array(*[F.col(f"{c}_scaled").cast("double") for c in FEATURES])
         cols["_hist"] = F.collect_list(step).over(w.rowsBetween(-MAX_SEQUENCE_LENGTH, -1))
     out = h.withColumns(cols).filter(F.col(CORE))
-    out = out.join(bt, [*keys, BLOCK])
+    out = null_safe_join(out, bt, [*keys, BLOCK])
     out = out.withColumns(
         {
             "seq_len": sequence_length(F.col("_n"), MAX_SEQUENCE_LENGTH, SEQUENCE_RATIO),

@@ -33,8 +33,6 @@ _WORD = "_noise_w{}"
 
 
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
-    if partitions is None:
-        partitions = df.sparkSession.sparkContext.defaultParallelism
     if not partitions:
         return df
     keys = [c for c in ("ticker", "date") if c in df.columns]
@@ -56,8 +54,7 @@ def replicate(df: DataFrame, copies: int, *, include_original: bool = True, part
     """``copy_id`` 0..copies (or 1..copies) for every row.
 
     ``partitions``: number of hash partitions on (ticker, date) the input is spread over before
-    the explode; default is the cluster's default parallelism (all cores); 0 keeps the input
-    partitioning as it is (for an input that is already large and well spread).
+    the explode, for a small input in few partitions; by default the input's partitions stay.
     """
     return _explode_copies(_spread(df, partitions), copies, include_original)
 
@@ -91,7 +88,7 @@ def multiply_bars(
 ) -> DataFrame:
     """Original plus ``copies`` noisy copies of every bar, keyed by ``copy_id``.
 
-    Plan: spread the input (hash on ticker, date) → hash words per bar → explode → integer noise.
+    Plan: hash words per bar → explode → integer noise.
     """
     spread = with_noise_words(_spread(df, partitions), seed)
     return add_noise(_explode_copies(spread, copies, include_original), seed)

@@ -73,20 +73,19 @@ def copies_to_yearly(
     spark: SparkSession,
     landing: str,
     out_dir: str,
-    expected: DataFrame | None = None,
+    expected: DataFrame,
     *,
     profile: str = "close_volume",
     exact: bool | tuple[str, ...] = False,
 ) -> LargeResult:
-    """Large job: all landed copies in one scan → Parquet → clean → enrich → Parquet → yearly means + coverage."""
+    """Large job: all landed copies in one scan → Parquet → clean → enrich → Parquet → yearly means + coverage of the ``expected`` tickers."""
     raw = land_as_parquet(spark, landing, f"{out_dir}/raw", multiline=False)
     clean = enrich(filter_outliers(raw, profile), returns=False)
     clean_path = f"{out_dir}/clean"
     write_parquet(clean, clean_path, partition_by=["year"])
     clean_back = read_bars_parquet(spark, clean_path, clean.schema)
     yearly = yearly_summary(clean_back, keys=("year", "ticker"), exact=exact)
-    exp = expected if expected is not None else raw.select("ticker").distinct()
-    return LargeResult(coverage_report(exp, raw, profile), clean_back, yearly)
+    return LargeResult(coverage_report(expected, raw, profile), clean_back, yearly)
 
 
 @dataclass

@@ -1,13 +1,13 @@
 """The shared work folder for intermediate tables and round trips.
 
 On a cluster the folder must be shared storage, so it is read from the session's
-``spark.checkpoint.dir`` (the setting the cluster provides). Only a local-mode session without
-that setting — tests, a laptop — gets a fresh temporary folder, registered as its checkpoint dir.
+``spark.checkpoint.dir`` (the setting the cluster provides), else from the checkpoint folder set on
+the context, else it lies in the warehouse folder, which is shared as well. No setting leads to a
+temporary folder of one machine.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,10 +35,7 @@ def work_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover
             base = None
     if not base:
-        master = _conf(spark, "spark.master") or ""
-        if not master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage (HDFS/S3/…)")
-        base = tempfile.mkdtemp(prefix="barframe-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 

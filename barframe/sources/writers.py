@@ -17,7 +17,7 @@ ISO_DATETIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
 def _rebalanced(df: DataFrame, partition_by: Sequence[str] | None) -> DataFrame:
-    return df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def write_parquet(
@@ -121,12 +121,14 @@ def write_bucketed_bars(
 
     Every later window over the series (indicators, scaling, sequences, split) then reads
     partitions that are already hash-partitioned on the keys, so its exchange disappears: the
-    partitioning is paid once at write time and reused by every modelling run.
+    partitioning is paid once at write time and reused by every modelling run. The rows are dealt
+    out by bucket first, so that a bucket is one file however many tasks made the rows.
     """
     if keys is None:
         keys = [c for c in ("ticker", "copy_id") if c in df.columns]
     (
-        df.write.mode(mode)
+        df.repartition(int(buckets), *keys)
+        .write.mode(mode)
         .option("path", path)
         .bucketBy(int(buckets), keys[0], *keys[1:])
         .sortBy(keys[0], *keys[1:], "date")

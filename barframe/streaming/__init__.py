@@ -4,9 +4,7 @@ from barframe.streaming.ingest import (  # noqa: F401
     clean_enriched_stream,
     run_available,
     start_clean_sink,
-    start_final_yearly_sink,
     start_yearly_sink,
     stream_landed_bars,
     yearly_stream,
-    yearly_stream_final,
 )

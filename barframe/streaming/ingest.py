@@ -12,6 +12,8 @@ replayed batch rewrites the same result. Checkpoints live under the shared check
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -51,34 +53,6 @@ def yearly_stream(enriched: DataFrame, *, exact: bool = True) -> DataFrame:
     )
 
 
-def yearly_stream_final(enriched: DataFrame, *, delay: str = "1 day", exact: bool = True) -> DataFrame:
-    """Yearly means emitted once, when the year is closed by event time (append mode).
-
-    ``year_start`` (the first instant of the bar's year) carries the watermark and is a grouping
-    key. The watermark is the newest ``year_start`` seen minus ``delay``; a group is final —
-    emitted and its state dropped — once the watermark reaches its ``year_start``. With any delay
-    between zero (exclusive) and one year, a year therefore closes exactly when a bar of a later
-    year arrives. Bars that arrive for a closed year are discarded. State holds only the open
-    years instead of the whole history.
-    """
-    with_ts = enriched.withColumn("year_start", F.make_timestamp_ntz(F.col("year"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("timestamp"))
-    return (
-        with_ts.withWatermark("year_start", delay)
-        .groupBy("year_start", "year", "ticker")
-        .agg(mean("close", exact=exact).alias("avg_close"), mean("intra_day_volatility", exact=exact).alias("avg_volatility"))
-        .drop("year_start")
-    )
-
-
-def start_final_yearly_sink(yearly_final: DataFrame, path: str, checkpoint: str | None = None, *, available_now: bool = True) -> StreamingQuery:
-    """Append closed years to a Parquet table (file sink: exactly-once through its commit log)."""
-    spark = yearly_final.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "stream-final-ckpt")
-    w = yearly_final.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.outputMode("append").start()
-
-
 def start_clean_sink(enriched: DataFrame, path: str, checkpoint: str | None = None, *, available_now: bool = True) -> StreamingQuery:
     """Append the enriched bars to Parquet partitioned by year."""
     spark = enriched.sparkSession
@@ -102,10 +76,15 @@ def start_yearly_sink(yearly: DataFrame, path: str, checkpoint: str | None = Non
 
 
 def run_available(spark: SparkSession, landing: str, out_dir: str, *, multiline: bool = False, profile: str = "strict") -> DataFrame:
-    """Process everything currently in ``landing`` (``availableNow``) and return the yearly table."""
+    """Process everything currently in ``landing`` (``availableNow``) and return the yearly table.
+
+    The landing is read by one stream; the yearly means are made from the clean table, so both
+    always agree. They go to a new folder below ``yearly`` in each run: readers of an earlier one
+    keep a whole table.
+    """
     enriched = clean_enriched_stream(stream_landed_bars(spark, landing, multiline=multiline), profile)
-    q1 = start_clean_sink(enriched, f"{out_dir}/clean", f"{out_dir}/_ckpt_clean")
-    q2 = start_yearly_sink(yearly_stream(enriched), f"{out_dir}/yearly", f"{out_dir}/_ckpt_yearly")
-    q1.awaitTermination()
-    q2.awaitTermination()
-    return spark.read.parquet(f"{out_dir}/yearly")
+    start_clean_sink(enriched, f"{out_dir}/clean", f"{out_dir}/_ckpt_clean").awaitTermination()
+    clean = spark.read.schema(enriched.schema).parquet(f"{out_dir}/clean")
+    path = f"{out_dir}/yearly/run={uuid.uuid4().hex}"
+    yearly_stream(clean).write.parquet(path)
+    return spark.read.parquet(path)

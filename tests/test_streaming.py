@@ -37,32 +37,3 @@ def test_incremental_stream_equals_batch(spark, tmp_dir):
     second = run()  # same checkpoint: only the new files are read, state carries the first batch
     expected = yearly_summary(enrich(filter_outliers(bars(spark, ROWS_1 + ROWS_2))), exact=True)
     assert _sorted(second) == _sorted(expected)
-
-
-def test_watermarked_years_are_emitted_once_closed(spark, tmp_dir):
-    from barframe.streaming.ingest import start_final_yearly_sink, yearly_stream_final
-
-    landing, out, ckpt = f"{tmp_dir}/landing", f"{tmp_dir}/final", f"{tmp_dir}/ckpt"
-
-    def run():
-        q = start_final_yearly_sink(yearly_stream_final(clean_enriched_stream(stream_landed_bars(spark, landing))), out, ckpt)
-        q.awaitTermination()
-
-    def emitted():
-        try:
-            return _sorted(spark.read.parquet(out))
-        except Exception:  # nothing written yet
-            return []
-
-    write_line_json(bars(spark, ROWS_1), f"{landing}/batch=1", partition_by=["ticker"])  # 2023 only
-    run()
-    assert emitted() == []  # 2023 still open
-    write_line_json(bars(spark, [r for r in ROWS_2 if r[1].startswith("2024")]), f"{landing}/batch=2", partition_by=["ticker"])
-    run()
-    run()  # a following (empty) batch applies the advanced watermark and emits the closed year
-    exp_2023 = _sorted(yearly_summary(enrich(filter_outliers(bars(spark, ROWS_1))), exact=True))
-    assert emitted() == exp_2023  # 2023 final, 2024 still open
-    late = [("AAPL", "2023-06-01", 1.0, 1.0, 1.0, 1.0, 1.0)]
-    write_line_json(bars(spark, late), f"{landing}/batch=3", partition_by=["ticker"])
-    run()
-    assert emitted() == exp_2023  # a bar for a closed year is dropped
