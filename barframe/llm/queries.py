@@ -113,4 +113,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": rf"""
+WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
+k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM l),
+b AS (SELECT key, min((doc_id, pos)) AS first FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= {line_dedup.MIN_SITES}),
+f AS (SELECT k.*, b.key IS NOT NULL AND (k.doc_id, k.pos) <> b.first AS gone FROM k LEFT JOIN b USING (key)),
+d AS (SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS r, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS kept FROM f GROUP BY doc_id)
+SELECT documents.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_lines, CAST(coalesce(r, 0) AS BIGINT) AS n_removed_lines, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN d USING (doc_id)""",
+    "op3_warc": f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS size, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT *, CASE WHEN size >= {warc.MIN_REVISIT_BYTES} THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM p)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM f""",
+}
