@@ -89,6 +89,7 @@ def full_window_mean(c, w: WindowSpec, n: int) -> Column:
 #   <TICKER>_original.json   unmodified copy
 #   <TICKER>_merged.json     all copies of a ticker merged
 #   ticker=<TICKER>/         Hive-style partition directory
+_HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 _HIVE_TICKER = r"/ticker=([^/]+)(?:/|$)"
 _FILE_TICKER = r"/([^/]+?)(?:_(?:original|merged|[0-9]+))?\.json(?:/|$)"
 
@@ -102,7 +103,14 @@ def ticker_from_path(path_col) -> Column:
     p = _c(path_col)
     hive = F.regexp_extract(p, _HIVE_TICKER, 1)
     named = F.regexp_extract(p, _FILE_TICKER, 1)
-    return F.when(hive != "", hive).when(named != "", named)
+    # Scanned paths are URL-encoded; Spark's partition folders escape the value once more before.
+    value = F.when(hive != _HIVE_NULL, _url_decoded(_url_decoded(hive)))
+    return F.when(hive != "", value).when(named != "", _url_decoded(named))
+
+
+def _url_decoded(c: Column) -> Column:
+    """Percent escapes resolved ('+' stays); a text with broken escapes stays as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
 
 
 # ---------------------------------------------------------------- reproducible noise

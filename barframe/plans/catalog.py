@@ -896,6 +896,21 @@ def q_landing_roundtrip(spark, sf):
     return copy_sums(read_bars_json(spark, path))
 
 
+SQL_ODD_TICKER = "CASE ticker WHEN 'A' THEN '^G+ SPC' WHEN 'N' THEN 'EUR/USD=X%5E' END"
+
+
+@register(
+    "odd_ticker_roundtrip",
+    with_bars("lineitem", f"SELECT {SQL_ODD_TICKER} AS ticker, date, open, high, low, close, volume FROM bars"),
+)
+def q_odd_ticker_roundtrip(spark, sf):
+    """Tickers with reserved characters, and NULL, survive the partitioned line-JSON landing."""
+    path = scratch_path(spark, "odd-tickers")
+    odd = bars_lineitem(spark, sf).withColumn("ticker", F.expr(SQL_ODD_TICKER))
+    write_line_json(odd, path, partition_by=["ticker"])
+    return read_bars_json(spark, path).select(*BAR_COLS)
+
+
 @register("wrapped_json_roundtrip", SQL_BARS["events"])
 def q_wrapped_json_roundtrip(spark, sf):
     """Series written as a JSON-array string inside a JSON record, unwrapped with from_json + explode."""

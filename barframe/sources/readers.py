@@ -77,7 +77,8 @@ def read_bars_json(
     parsed whole by one task (it cannot be split), so large landings should be line JSON — which
     is what ``write_line_json`` produces — and split at ``spark.sql.files.maxPartitionBytes``.
     """
-    raw = spark.read.schema(schema).option("multiLine", multiline).json(path)
+    # Folders of any layout below the path are read; ticker and copy come from the file paths.
+    raw = spark.read.schema(schema).option("multiLine", multiline).option("recursiveFileLookup", True).json(path)
     return normalize_landed(_with_source(raw))
 
 

@@ -181,3 +181,19 @@ def test_path_parsing_property(spark):
 
     check()
     assert cases_seen == [200]
+
+
+def test_odd_tickers_survive_the_landing(spark, tmp_dir):
+    names = ["^GSPC", "EURUSD=X", "BRK B", "A/B", "100%", "A+B", "%5E", None]
+    rows = [(t, "2024-01-02", 1.0, 2.0, 0.5, 1.5, 10.0 + i) for i, t in enumerate(names)]
+    write_line_json(bars(spark, rows), f"{tmp_dir}/landing", partition_by=["ticker"])
+    back = {r.volume: r.ticker for r in read_bars_json(spark, f"{tmp_dir}/landing").collect()}
+    assert [back[10.0 + i] for i in range(len(names))] == names
+
+
+def test_folder_of_copy_directories_is_read_whole(spark, tmp_dir):
+    row = [("AAPL", "2024-01-02", 1.0, 2.0, 0.5, 1.5, 10.0)]
+    for name in ("AAPL_original.json", "AAPL_1.json", "AAPL_2.json"):
+        write_line_json(bars(spark, row), f"{tmp_dir}/raw/{name}", partition_by=None)
+    back = sorted((r.ticker, r.copy_id) for r in read_bars_json(spark, f"{tmp_dir}/raw").collect())
+    assert back == [("AAPL", 0), ("AAPL", 1), ("AAPL", 2)]
