@@ -52,6 +52,7 @@ from barframe.operators.modeling import (
     evaluate,
     N_LAGS,
     fit_lag_regression,
+    forecast_status,
     inverse_scale,
     last_rows,
     make_sequences,
@@ -246,6 +247,45 @@ def q_missing_tickers(spark, sf):
     return missing_tickers(expected_suppliers(spark, sf), filter_outliers(bars_supplier(spark, sf), "strict"))
 
 
+def gapped_bars(spark, sf: str) -> DataFrame:
+    """Supplier bars of which the tickers that end in 3 have no plausible close."""
+    bars = bars_supplier(spark, sf)
+    return bars.withColumn("close", F.when(F.col("ticker").endswith("3"), -F.col("close")).otherwise(F.col("close")))
+
+
+def listed_tickers(spark, sf: str) -> DataFrame:
+    """A list longer than the bars: every part key."""
+    return spark.read.parquet(f"{sf}/part.parquet").select(F.col("p_partkey").cast("string").alias("ticker"))
+
+
+SQL_GAPPED = [
+    "gb AS (SELECT ticker, date, open, high, low, CASE WHEN ticker LIKE '%3' THEN -close ELSE close END AS close, volume FROM bars)",
+    f"gk AS (SELECT ticker, count(*) AS n_bars, count(*) FILTER (WHERE {SQL_STRICT}) AS n_clean FROM gb GROUP BY ticker)",
+    "ge AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS ticker FROM part)",
+]
+
+
+@register(
+    "coverage_gaps",
+    with_bars(
+        "supplier",
+        """SELECT ticker, CAST(coalesce(n_bars, 0) AS BIGINT) AS n_bars, CAST(coalesce(n_clean, 0) AS BIGINT) AS n_clean,
+  CASE WHEN coalesce(n_bars, 0) = 0 THEN 'no data' WHEN n_clean = 0 THEN 'no clean data' ELSE 'ok' END AS status
+FROM ge LEFT JOIN gk USING (ticker)""",
+        *SQL_GAPPED,
+    ),
+)
+def q_coverage_gaps(spark, sf):
+    """V1, F6, F7, E3 over a list with true gaps: all three statuses occur."""
+    return coverage_report(listed_tickers(spark, sf), gapped_bars(spark, sf), "strict")
+
+
+@register("missing_tickers_gaps", with_bars("supplier", "SELECT ticker FROM ge WHERE ticker NOT IN (SELECT ticker FROM gb)", *SQL_GAPPED))
+def q_missing_tickers_gaps(spark, sf):
+    """V1 over a list with true gaps."""
+    return missing_tickers(listed_tickers(spark, sf), gapped_bars(spark, sf))
+
+
 # ================================================================== enrichment
 
 
@@ -681,6 +721,23 @@ def q_ar1_coefficients(spark, sf):
     return rounded(co, {"slope": 6, "intercept": 6})
 
 
+@register(
+    "forecast_status",
+    with_bars(
+        "lineitem",
+        """SELECT ticker, CAST(coalesce(n_rows, 0) AS BIGINT) AS n_rows, coalesce(n_fit, 0) AS n_fit,
+  CASE WHEN co.n_fit IS NULL THEN 'too short' WHEN slope IS NULL THEN 'no fit' ELSE 'ok' END AS status
+FROM (SELECT DISTINCT ticker FROM bars) LEFT JOIN (SELECT ticker, count(*) AS n_rows FROM sc GROUP BY ticker) USING (ticker) LEFT JOIN co USING (ticker)""",
+        *sql_model_ctes("lineitem"),
+        SQL_AR1_FIT,
+    ),
+)
+def q_forecast_status(spark, sf):
+    """M8: every series with whether it has a forecast, and if not why."""
+    bars = bars_lineitem(spark, sf)
+    return forecast_status(bars, model_frame(bars, "close"))
+
+
 SQL_AR1_PRED = """pr AS (SELECT fr.ticker, fr.date,
   label * (max_close - min_close) + min_close AS actual,
   (co.intercept + co.slope * prev_target) * (max_close - min_close) + min_close AS predicted,

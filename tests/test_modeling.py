@@ -144,3 +144,39 @@ def test_blocked_model_frame_fit_on_train(spark):
     blocked = model_frame_blocked(df, "close", block="month", fit_on="train")
     assert blocked.columns == whole.columns
     assert sorted(map(tuple, blocked.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_forecast_status_lists_every_series(spark):
+    from barframe.operators.modeling import forecast_status
+
+    long = series(spark, [100.0 + (i * 7 % 11) for i in range(80)], ticker="LONG")
+    both = long.unionByName(series(spark, [1.0, 2.0, 3.0], ticker="SHORT")).unionByName(series(spark, [5.0] * 60, ticker="FLAT"))
+    got = {r.ticker: r.status for r in forecast_status(both, model_frame(both, "close")).collect()}
+    assert got["LONG"] == "ok" and got["SHORT"] == "too short" and set(got) == {"LONG", "SHORT", "FLAT"}
+
+
+def test_lags_use_the_history_before_the_sequences(spark):
+    from barframe.operators.modeling import lag_features
+
+    frame = model_frame(series(spark, [100.0 + (i * 7 % 11) for i in range(80)]), "close", n_lags=5)
+    assert lag_features(frame).count() == frame.count() > 0
+
+
+def test_blocked_windows_keep_rows_with_null_keys_and_dates(spark):
+    from pyspark.sql import functions as F
+
+    from barframe.operators.blocked import indicators_blocked
+    from barframe.operators.indicators import indicators
+
+    rows = series(spark, [100.0 + (i * 7 % 11) for i in range(400)])
+    rows = rows.withColumn("ticker", F.lit(None).cast("string")).withColumn("date", F.when(F.col("date") > "2024-01-01", F.col("date")))
+    assert indicators_blocked(rows).count() == indicators(rows).count() > 0
+
+
+def test_exact_mean_of_dirty_values(spark):
+    from barframe.operators.aggregate import describe_bars, mean
+
+    frame = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (3.0,)], "close double")
+    assert frame.agg(mean("close", exact=True)).first()[0] == 2.0
+    far = spark.createDataFrame([(1e15,), (1.0,)], "close double")
+    assert describe_bars(far, ["close"], exact=True).first()["mean"] == (1e15 + 1) / 2
