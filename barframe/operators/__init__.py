@@ -35,6 +35,8 @@ from barframe.operators.modeling import (  # noqa: F401
     ar1_predictions,
     chronological_split,
     evaluate,
+    feature_forecast,
+    fit_feature_regression,
     fit_lag_regression,
     forecast,
     future_dates,

@@ -9,10 +9,10 @@ Core rows get exactly the values a whole-series window would give; halo rows are
 Cost and bounds:
 
 * the halo candidates are the last ``H`` rows of each block (a top-k per block);
-* a candidate is offered to at most ``H - rank + 1`` later blocks (each block between holds at
-  least one row), so the expansion is at most ``H(H+1)/2`` rows per block — independent of the
-  series length, never all pairs of a group;
-* the block table (one row per series and block) is small and joins on equality keys;
+* the block table (one row per series and block) holds with each block the later blocks that its
+  rows can still reach (a bounded window, at most ``H`` of them; one for blocks of ``H`` rows or
+  more), and a candidate is copied to exactly those that need it — never all pairs of a group;
+* the block table is small and joins once, on equality keys;
 * one extra shuffle compared with the whole-series window, in exchange for spreading a long
   series (a ticker holding a third of all rows) over one task per block.
 
@@ -69,28 +69,22 @@ def with_halo(df: DataFrame, halo: int, *, keys: Sequence[str] | None = None, bl
     cols = df.columns
     b = df.withColumn(BLOCK, block_of(block))
 
-    # Block table: rows per block, block index and cumulative rows per series (small).
+    # Block table: rows up to each block's end, and the later blocks fewer than `halo` rows away,
+    # each with the rows before its begin.
     bt = b.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
     wbt = Window.partitionBy(*keys).orderBy(BLOCK)
-    bt = bt.withColumns(
-        {"_bi": F.row_number().over(wbt), "_cum": F.sum("_n").over(wbt.rowsBetween(Window.unboundedPreceding, 0))}
-    )
+    bt = bt.withColumn("_cum", F.sum("_n").over(wbt.rowsBetween(Window.unboundedPreceding, 0)))
+    later = F.struct(F.col(BLOCK).alias("block"), (F.col("_cum") - F.col("_n")).alias("before"))
+    bt = bt.withColumn("_later", F.collect_list(later).over(wbt.rowsBetween(1, halo)))
+    bt = bt.withColumn("_later", F.filter("_later", lambda t: t["before"] - F.col("_cum") < halo))
 
-    # Candidates: the last `halo` rows of each block (reverse rank 1 = last row).
+    # Candidates: the last `halo` rows of each block (reverse rank 1 = last row). One serves a block
+    # when fewer than `halo` rows lie between: (rank - 1) + the rows of the blocks strictly between.
     wrev = Window.partitionBy(*keys, BLOCK).orderBy(F.col("date").desc())
     cand = b.withColumn("_rr", F.row_number().over(wrev)).filter(F.col("_rr") <= halo)
-    cand = null_safe_join(cand, bt.select(*keys, BLOCK, "_bi", "_cum"), [*keys, BLOCK])
-    cand = cand.withColumn("_j", F.explode(F.sequence(F.lit(1), F.lit(halo + 1) - F.col("_rr"))))
-    cand = cand.withColumn("_tbi", F.col("_bi") + F.col("_j"))
-
-    # Target blocks: a candidate serves block t when fewer than `halo` rows lie between it and
-    # the first row of t: (rr - 1) + (rows of the blocks strictly between) < halo.
-    tgt = bt.select(*keys, F.col("_bi").alias("_tbi"), F.col(BLOCK).alias("_tblock"), (F.col("_cum") - F.col("_n")).alias("_tcum0"))
-    halo_rows = (
-        null_safe_join(cand, tgt, [*keys, "_tbi"])
-        .filter((F.col("_rr") - 1) + (F.col("_tcum0") - F.col("_cum")) < halo)
-        .select(*cols, F.col("_tblock").alias(BLOCK), F.lit(False).alias(CORE))
-    )
+    cand = null_safe_join(cand, bt.select(*keys, BLOCK, "_cum", "_later"), [*keys, BLOCK])
+    served = F.filter("_later", lambda t: (F.col("_rr") - 1) + (t["before"] - F.col("_cum")) < halo)
+    halo_rows = cand.withColumn("_target", F.explode(served)).select(*cols, F.col("_target.block").alias(BLOCK), F.lit(False).alias(CORE))
     core = b.withColumn(CORE, F.lit(True))
     return core.unionByName(halo_rows)
 
@@ -229,34 +223,23 @@ def model_frame_blocked(
     return out.select(*order, "label", "split")
 
 
-def indicators_between(
-    df: DataFrame,
-    start,
-    end=None,
-    *,
-    keys: Sequence[str] | None = None,
-    lookback_days: int = 4 * INDICATOR_HALO,
-) -> DataFrame:
-    """The indicator frame (W10) for rows with ``start <= date < end`` only — exact, without
-    sorting and shuffling the whole history.
+def indicators_between(df: DataFrame, start, end=None, *, keys: Sequence[str] | None = None) -> DataFrame:
+    """The indicator frame (W10) for rows with ``start <= date < end`` only, equal to the full frame
+    filtered afterwards.
 
     Date predicates cannot be pushed below the windows (they would change rolling values), so the
-    range is applied *before* them with a warm-up: rows from ``start - lookback_days`` on enter the
-    window stage. A series with fewer than ``INDICATOR_HALO`` rows in that warm-up that also has
-    older rows (a sparse series) gets its full history back through a semi join against that small
-    set of series; every other series is served by the warm-up alone. The date filters reach the
-    Parquet scan as pushed filters; the per-series check is a partial aggregate of two columns.
+    range is applied *before* them, with the last ``INDICATOR_HALO`` earlier rows of every series as
+    a warm-up: a top-k per series, which each task cuts to that many rows before the shuffle. The
+    earlier history is scanned, but neither shuffled nor sorted whole. Rows without a date come
+    before all others.
     """
     keys = list(keys) if keys is not None else series_keys(df)
     s = F.lit(start).cast("date")
-    warm_from = F.date_sub(s, int(lookback_days))
-    upto = df.filter(F.col("date") < F.lit(end).cast("date")) if end is not None else df
-
-    before = upto.filter(F.col("date") < s).groupBy(*keys).agg(
-        F.count(F.when(F.col("date") >= warm_from, F.lit(1))).alias("_nwarm"), F.min("date").alias("_first")
-    )
-    short = before.filter((F.col("_nwarm") < INDICATOR_HALO) & (F.col("_first") < warm_from)).select(*keys)
-    near = upto.filter(F.col("date") >= warm_from)
-    far = upto.filter(F.col("date") < warm_from).join(short, keys, "left_semi")
-    frame = indicators(near.unionByName(far), dropna=False, keys=keys).filter(F.col("date") >= s)
+    within = F.col("date") >= s
+    if end is not None:
+        within = within & (F.col("date") < F.lit(end).cast("date"))
+    latest = Window.partitionBy(*keys).orderBy(F.col("date").desc())
+    earlier = df.filter((F.col("date") < s) | F.col("date").isNull())
+    warm = earlier.withColumn("_rk", F.row_number().over(latest)).filter(F.col("_rk") <= INDICATOR_HALO).drop("_rk")
+    frame = indicators(df.filter(within).unionByName(warm), dropna=False, keys=keys).filter(F.col("date") >= s)
     return drop_incomplete(frame, subset=FEATURES)

@@ -15,20 +15,24 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class OutlierProfile:
-    """Which prices are bounded, the open price interval, and the minimum volume."""
+    """Which prices are bounded, the open price interval, the minimum volume, and whether a row
+    also needs a date and a volume that is a number (NaN passes a plain ``>=``)."""
 
     price_columns: tuple[str, ...]
     lower: float = 0.0  # exclusive
     upper: float = 100000.0  # exclusive
     min_volume: float = 0.0  # inclusive
+    complete: bool = False
 
 
 # The two cleaning profiles and their bounds.
 #   strict        open, high, low, close each in (0, 100000); volume >= 0
 #   close_volume  close in (0, 100000); volume >= 0
+# and the strict rule that also rejects rows without a readable date or with a NaN volume:
 PROFILES = {
     "strict": OutlierProfile(("open", "high", "low", "close")),
     "close_volume": OutlierProfile(("close",)),
+    "strict_complete": OutlierProfile(("open", "high", "low", "close"), complete=True),
 }
 
 
@@ -44,6 +48,8 @@ def outlier_predicate(profile: str | OutlierProfile = "strict") -> Column:
         term = (F.col(c) > F.lit(p.lower)) & (F.col(c) < F.lit(p.upper))
         cond = term if cond is None else cond & term
     vol = F.col("volume") >= F.lit(p.min_volume)
+    if p.complete:
+        vol = vol & ~F.isnan("volume") & F.col("date").isNotNull()
     return vol if cond is None else cond & vol
 
 
@@ -55,17 +61,16 @@ def filter_outliers(df: DataFrame, profile: str | OutlierProfile = "strict") ->
 def reject_reasons(profile: str | OutlierProfile = "strict") -> Column:
     """Comma-separated reasons a row fails the profile (empty string when it passes)."""
     p = _profile(profile)
-    parts = []
+    parts = [F.when(F.col("date").isNull(), F.lit("date:null"))] if p.complete else []
     for c in p.price_columns:
         parts.append(
             F.when(F.col(c).isNull(), F.lit(f"{c}:null"))
             .when(~((F.col(c) > F.lit(p.lower)) & (F.col(c) < F.lit(p.upper))), F.lit(f"{c}:out_of_range"))
         )
-    parts.append(
-        F.when(F.col("volume").isNull(), F.lit("volume:null")).when(
-            F.col("volume") < F.lit(p.min_volume), F.lit("volume:below_min")
-        )
+    volume = F.when(F.col("volume").isNull(), F.lit("volume:null")).when(
+        F.col("volume") < F.lit(p.min_volume), F.lit("volume:below_min")
     )
+    parts.append(volume.when(F.isnan("volume"), F.lit("volume:nan")) if p.complete else volume)
     return F.concat_ws(",", *parts)
 
 

@@ -152,6 +152,13 @@ def sql_enrich(src: str, returns: bool = True) -> str:
 FROM {src}"""
 
 
+def written(spark, df: DataFrame, name: str) -> DataFrame:
+    """The frame as a Parquet table of the work folder, for plans that read it in several branches."""
+    path = scratch_path(spark, name)
+    write_parquet(df, path)
+    return read_bars_parquet(spark, path, df.schema)
+
+
 def _clean_enriched(spark, sf, fixture: str, profile: str = "strict", returns: bool = True) -> DataFrame:
     return enrich(filter_outliers(FIXTURE[fixture](spark, sf), profile), returns=returns)
 
@@ -565,7 +572,7 @@ def q_indicators(spark, sf):
 def q_indicators_blocked(spark, sf):
     """W10 for long series: each series cut into calendar-year blocks with a 20-row halo, windows per
     (ticker, year) — the three return-flag series each hold a third of the rows."""
-    out = indicators_blocked(bars_lineitem(spark, sf)).select(*BAR_COLS, *_IND_DERIVED)
+    out = indicators_blocked(written(spark, bars_lineitem(spark, sf), "bars")).select(*BAR_COLS, *_IND_DERIVED)
     return rounded(out, {c: 6 for c in _IND_DERIVED})
 
 
@@ -579,8 +586,8 @@ def q_indicators_blocked(spark, sf):
     ),
 )
 def q_indicators_recent(spark, sf):
-    """W10 for one half-year only (date range applied before the windows with a warm-up halo;
-    sparse series fall back to their full history) — equal to the full frame filtered afterwards."""
+    """W10 for one half-year only (date range and the 20 rows before it, taken before the windows)
+    — equal to the full frame filtered afterwards."""
     out = indicators_between(bars_supplier(spark, sf), "2001-01-01", "2001-07-01").select(*BAR_COLS, *_IND_DERIVED)
     return rounded(out, {c: 6 for c in _IND_DERIVED})
 
@@ -605,18 +612,21 @@ def q_indicators_bucketed(spark, sf):
 # ================================================================== modelling
 
 
-def sql_model_ctes(fixture: str = "supplier") -> list[str]:
+def sql_model_ctes(target: str = "close", bounds_where: str = "") -> list[str]:
     """Indicators → per-series min-max scaling → sequence positions → split (DuckDB)."""
-    bounds = ", ".join(f"min({c}) OVER p AS min_{c}, max({c}) OVER p AS max_{c}" for c in FEATURES)
+    bounds = ", ".join(f"{f}({c}){bounds_where} OVER p AS {f}_{c}" for c in FEATURES for f in ("min", "max"))
     scaled = ", ".join(
         f"CASE WHEN max_{c} > min_{c} THEN ({c} - min_{c}) / (max_{c} - min_{c}) ELSE 0.0 END AS {c}_scaled" for c in FEATURES
     )
     return sql_indicator_ctes() + [
-        f"b AS (SELECT *, count(*) OVER p AS n, {bounds} FROM ind_clean WINDOW p AS (PARTITION BY ticker))",
+        """pz AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS place, count(*) OVER (PARTITION BY ticker) AS n
+FROM ind_clean)""",
+        "pq AS (SELECT *, n - ceil((n - least(60, floor(n * 0.2::DOUBLE))) * 0.2::DOUBLE) AS cutoff FROM pz)",
+        f"b AS (SELECT * EXCLUDE (place, cutoff), {bounds} FROM pq WINDOW p AS (PARTITION BY ticker))",
         f"sc AS (SELECT *, {scaled} FROM b)",
-        """sq AS (SELECT *, CAST(least(60, floor(n * 0.2::DOUBLE)) AS INTEGER) AS seq_len,
-  CAST(row_number() OVER s - 1 AS INTEGER) AS pos, lag(close_scaled) OVER s AS prev_target, close_scaled AS label,
-  list(close_scaled) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS hist
+        f"""sq AS (SELECT *, CAST(least(60, floor(n * 0.2::DOUBLE)) AS INTEGER) AS seq_len,
+  CAST(row_number() OVER s - 1 AS INTEGER) AS pos, lag({target}_scaled) OVER s AS prev_target, {target}_scaled AS label,
+  list([{', '.join(f'{c}_scaled' for c in FEATURES)}]) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS hist
 FROM sc WINDOW s AS (PARTITION BY ticker ORDER BY date))""",
         "seqs AS (SELECT * FROM sq WHERE seq_len >= 1 AND pos >= seq_len)",
         """sp AS (SELECT *, count(*) OVER (PARTITION BY ticker) AS m, row_number() OVER (PARTITION BY ticker ORDER BY date) AS k FROM seqs)""",
@@ -656,12 +666,22 @@ def q_inverse_scaled(spark, sf):
     return rounded(out, {"close_restored": 6})
 
 
+#: Every feature of every step, in millionths, times its place in the sequence.
+SQL_CHECKSUM = """CAST(list_sum([CAST(floor(v * 1e6::DOUBLE + 0.5::DOUBLE) AS BIGINT) * i
+    for v, i in flatten(list_slice(hist, len(hist) - seq_len + 1, len(hist)))]) AS BIGINT)"""
+
+
+def checksum(sequence: str) -> F.Column:
+    weighted = F.transform(F.flatten(sequence), lambda v, i: F.floor(v * F.lit(1e6) + F.lit(0.5)).cast("bigint") * (i + 1))
+    return F.aggregate(weighted, F.lit(0).cast("bigint"), lambda a, v: a + v)
+
+
 @register(
     "sequences",
     with_bars(
         "supplier",
         f"""SELECT ticker, date, seq_len, pos, CAST(seq_len AS INTEGER) AS n_steps,
-  {sql_round('hist[len(hist) - seq_len + 1]', 9)} AS first_close, {sql_round('hist[len(hist)]', 9)} AS last_close,
+  {SQL_CHECKSUM} AS checksum,
   {sql_round('label', 9)} AS label FROM seqs""",
         *sql_model_ctes()[:-2],
     ),
@@ -675,11 +695,10 @@ def q_sequences(spark, sf):
         "seq_len",
         "pos",
         F.size("sequence").cast("int").alias("n_steps"),
-        F.col("sequence")[0][FEATURES.index("close")].alias("first_close"),
-        F.element_at("sequence", -1)[FEATURES.index("close")].alias("last_close"),
+        checksum("sequence").alias("checksum"),
         "label",
     )
-    return rounded(out, {"first_close": 9, "last_close": 9, "label": 9})
+    return rounded(out, {"label": 9})
 
 
 @register("train_test_split", with_bars("supplier", "SELECT ticker, date, split FROM fr", *sql_model_ctes()))
@@ -728,7 +747,7 @@ def q_ar1_coefficients(spark, sf):
         """SELECT ticker, CAST(coalesce(n_rows, 0) AS BIGINT) AS n_rows, coalesce(n_fit, 0) AS n_fit,
   CASE WHEN co.n_fit IS NULL THEN 'too short' WHEN slope IS NULL THEN 'no fit' ELSE 'ok' END AS status
 FROM (SELECT DISTINCT ticker FROM bars) LEFT JOIN (SELECT ticker, count(*) AS n_rows FROM sc GROUP BY ticker) USING (ticker) LEFT JOIN co USING (ticker)""",
-        *sql_model_ctes("lineitem"),
+        *sql_model_ctes(),
         SQL_AR1_FIT,
     ),
 )
@@ -783,7 +802,7 @@ def q_forecast_metrics(spark, sf):
     return rounded(m, {"mse": 2, "rmse": 4, "mae": 4, "mse_last_value": 2, "rmse_last_value": 4, "mae_last_value": 4})
 
 
-def _sql_forecast(business_days: bool, fixture: str = "supplier") -> str:
+def _sql_forecast(business_days: bool, fixture: str = "supplier", target: str = "close") -> str:
     if business_days:
         dates = """(SELECT ticker, d AS date, row_number() OVER (PARTITION BY ticker ORDER BY d) AS step
   FROM (SELECT ticker, unnest(generate_series(last_date + 1, last_date + 67, INTERVAL 1 DAY))::DATE AS d FROM st)
@@ -792,12 +811,12 @@ def _sql_forecast(business_days: bool, fixture: str = "supplier") -> str:
         dates = "(SELECT ticker, CAST(last_date + CAST(s AS INTEGER) AS DATE) AS date, s AS step FROM st, range(1, 31) r(s))"
     return with_bars(
         fixture,
-        f"""SELECT p.ticker, CAST(p.step AS INTEGER) AS step, dt.date, {sql_round('p.x * (st.max_close - st.min_close) + st.min_close', 2)} AS predicted_close
+        f"""SELECT p.ticker, CAST(p.step AS INTEGER) AS step, dt.date, {sql_round(f'p.x * (st.max_{target} - st.min_{target}) + st.min_{target}', 2)} AS predicted_{target}
 FROM path p JOIN st USING (ticker) JOIN {dates} dt ON dt.ticker = p.ticker AND dt.step = p.step""",
-        *sql_model_ctes(),
+        *sql_model_ctes(target),
         SQL_AR1_FIT,
-        """st AS (SELECT fr.ticker, arg_max(label, date) AS x_last, max(date) AS last_date, first(min_close) AS min_close, first(max_close) AS max_close
-  FROM fr GROUP BY fr.ticker)""",
+        f"""st AS (SELECT fr.ticker, arg_max(label, date) AS x_last, max(date) AS last_date,
+  first(min_{target}) AS min_{target}, first(max_{target}) AS max_{target} FROM fr GROUP BY fr.ticker)""",
         """path AS (SELECT * FROM (WITH RECURSIVE it(ticker, step, x) AS (
     SELECT st.ticker, 0, st.x_last FROM st JOIN co USING (ticker) WHERE co.slope IS NOT NULL
     UNION ALL
@@ -823,18 +842,23 @@ def q_ar1_forecast_blocked(spark, sf):
     """M8 for long series: the modelling frame built per (ticker, year) block with halos and
     per-series aggregates (no window spans a whole series), then the recursive AR(1) forecast —
     over the three return-flag series that each hold a third of the rows."""
-    return rounded(recursive_forecast(model_frame_blocked(bars_lineitem(spark, sf), "close"), "close", horizon=30), {"predicted_close": 2})
+    return rounded(recursive_forecast(model_frame_blocked(written(spark, bars_lineitem(spark, sf), "bars"), "close"), "close", horizon=30), {"predicted_close": 2})
 
 
 def _sql_lag_regression(n: int = N_LAGS) -> list[str]:
-    """Least squares on ``n`` lags as CTEs: centred normal equations, elimination, back substitution."""
+    lags = ", ".join(f"lag(close_scaled, {i}) OVER w AS x{i}" for i in range(1, n + 1))
+    return [f"lg AS (SELECT ticker, date, {lags} FROM sc WINDOW w AS (PARTITION BY ticker ORDER BY date))", *sql_least_squares(n)]
+
+
+def sql_least_squares(n: int) -> list[str]:
+    """Least squares of the labels on ``x1 .. xn`` of ``lg`` as CTEs: centred normal equations,
+    elimination, back substitution (``c1`` has the coefficients, ``mn`` the means, ``pd`` the
+    predictions)."""
     xs = range(1, n + 1)
-    lags = ", ".join(f"lag(close_scaled, {i}) OVER w AS x{i}" for i in xs)
     known = " AND ".join(f"x{i} IS NOT NULL" for i in xs)
     column = lambda j: "y" if j == n + 1 else f"x{j}"
     sums = ", ".join(f"sum((x{i} - m{i}) * ({column(j)} - m{j})) AS a{i}_{j}" for i in xs for j in range(1, n + 2))
     out = [
-        f"lg AS (SELECT ticker, date, {lags} FROM sc WINDOW w AS (PARTITION BY ticker ORDER BY date))",
         f"rw AS (SELECT fr.ticker, fr.date, split, label AS y, {', '.join(f'x{i}' for i in xs)} FROM fr JOIN lg USING (ticker, date) WHERE {known})",
         f"mn AS (SELECT {', '.join(f'avg({column(j)}) AS m{j}' for j in range(1, n + 2))} FROM rw WHERE split = 'train')",
         f"g0 AS (SELECT {sums} FROM rw, mn WHERE split = 'train')",

@@ -16,7 +16,7 @@ from barframe.operators.clean import coverage_report, filter_outliers
 from barframe.operators.enrich import enrich
 from barframe.operators.modeling import HORIZON, ar1_predictions, evaluate, model_frame, recursive_forecast
 from barframe.operators.multiply import DEFAULT_COPIES, multiply_bars
-from barframe.sources.readers import read_bars_json, read_bars_parquet
+from barframe.sources.readers import file_report, read_bars_json, read_bars_parquet
 from barframe.plans.workspace import cut_lineage
 from barframe.sources.writers import write_line_json, write_parquet
 
@@ -34,9 +34,13 @@ def land_as_parquet(spark: SparkSession, landing: str, out: str, *, multiline: b
     JSON parsing is the expensive part of the scan; every later step (profile, cleaning, coverage)
     then reads Parquet with column pruning and pushed filters instead of re-parsing text.
     """
-    raw = read_bars_json(spark, landing, multiline=multiline)
-    write_parquet(raw, out)
-    return read_bars_parquet(spark, out, raw.schema)
+    return _written(spark, read_bars_json(spark, landing, multiline=multiline), out)
+
+
+def _written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """A product of a job as a Parquet table, read back."""
+    write_parquet(df, path)
+    return read_bars_parquet(spark, path, df.schema)
 
 
 def landing_to_yearly(
@@ -53,13 +57,13 @@ def landing_to_yearly(
     clean_path = f"{out_dir}/clean"
     write_parquet(clean, clean_path, partition_by=["year"])
     clean_back = read_bars_parquet(spark, clean_path, clean.schema)
-    yearly = yearly_summary(clean_back, exact=exact)
+    yearly = _written(spark, yearly_summary(clean_back, exact=exact), f"{out_dir}/yearly")
     return SmallResult(prof, clean_back, yearly)
 
 
 def land_copies(bars: DataFrame, out: str, *, copies: int = DEFAULT_COPIES, seed: int = 42) -> None:
-    """Multiply bars and land every copy as line JSON in ``ticker=…/copy_id=…`` folders — one write."""
-    write_line_json(multiply_bars(bars, copies, seed), out, partition_by=("ticker", "copy_id"))
+    """Multiply bars and land every copy as line JSON in ``ticker=…`` folders — one write."""
+    write_line_json(multiply_bars(bars, copies, seed), out)
 
 
 @dataclass
@@ -67,6 +71,7 @@ class LargeResult:
     coverage: DataFrame
     clean: DataFrame
     yearly: DataFrame
+    files: DataFrame  # one row per landed file with its faulty records
 
 
 def copies_to_yearly(
@@ -84,8 +89,8 @@ def copies_to_yearly(
     clean_path = f"{out_dir}/clean"
     write_parquet(clean, clean_path, partition_by=["year"])
     clean_back = read_bars_parquet(spark, clean_path, clean.schema)
-    yearly = yearly_summary(clean_back, keys=("year", "ticker"), exact=exact)
-    return LargeResult(coverage_report(expected, raw, profile), clean_back, yearly)
+    yearly = _written(spark, yearly_summary(clean_back, keys=("year", "ticker"), exact=exact), f"{out_dir}/yearly")
+    return LargeResult(coverage_report(expected, raw, profile), clean_back, yearly, file_report(spark, landing))
 
 
 @dataclass

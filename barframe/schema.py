@@ -37,6 +37,11 @@ RAW_BAR_SCHEMA = T.StructType(
     ]
 )
 
+# As read: the records may carry their own ticker and copy number (merged landings do).
+LANDED_SCHEMA = T.StructType(
+    [*RAW_BAR_SCHEMA.fields, T.StructField("ticker", T.StringType(), True), T.StructField("copy_id", T.IntegerType(), True)]
+)
+
 # JSON array of landed records held in one string column (the "wrapped" landing).
 RAW_BAR_ARRAY_DDL = "array<struct<Date:string,Open:double,High:double,Low:double,Close:double,Volume:double>>"
 

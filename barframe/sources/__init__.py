@@ -2,7 +2,9 @@
 
 from barframe.sources.fixtures import FIXTURES, bars_events, bars_lineitem, bars_supplier, expected_suppliers  # noqa: F401
 from barframe.sources.readers import (  # noqa: F401
+    checked_records,
     copy_from_path,
+    file_report,
     normalize_landed,
     read_bars_json,
     read_bars_parquet,

@@ -1,8 +1,9 @@
-"""Readers for landed bars.
+"""Readers for landed bars (S1-S4, J1, P1, P2, P4) and the report of their files.
 
 All readers take an explicit schema (no inference pass over every file) and return the
 canonical bar layout ``ticker, [copy_id,] date, open, high, low, close, volume, source``.
-The ticker comes from the data path (Hive partition or file name), never from a loop literal.
+Ticker and copy come from the records if they carry them, else from the data path (Hive partition
+or file name), never from a loop literal.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barframe.functions.expressions import ticker_from_path, to_bar_date
-from barframe.schema import RAW_BAR_ARRAY_DDL, RAW_BAR_SCHEMA
+from barframe.schema import LANDED_SCHEMA, RAW_BAR_ARRAY_DDL, VALUE_COLUMNS
 
 _COPY_FROM_PATH = r"/[^/]+?_([0-9]+|original)\.json(?:/|$)"
 _HIVE_COPY = r"/copy_id=([0-9]+)(?:/|$)"
@@ -30,22 +31,28 @@ def copy_from_path(path_col) -> F.Column:
     )
 
 
-def normalize_landed(df: DataFrame, source_col: str | None = "source") -> DataFrame:
+def normalize_landed(df: DataFrame, source_col: str | None = "source", *, records_first: bool = False) -> DataFrame:
     """Landed records (``Date, Open, High, Low, Close, Volume``) -> canonical lower-case bars.
 
     ``ticker``/``copy_id`` are parsed from ``source_col`` (the file path) when it is present —
     Hive folders or file names, so partition-type inference never turns a ticker like ``007``
-    into a number — and fall back to same-named data columns. Column lookup is case-insensitive.
+    into a number — and fall back to same-named data columns. ``records_first`` turns that order
+    round, for a scan whose ``ticker`` and ``copy_id`` are fields of the records. Column lookup is
+    case-insensitive.
     """
     cols = {c.lower(): c for c in df.columns}
     src = F.col(cols[source_col.lower()]) if source_col and source_col.lower() in cols else None
     ticker_parts = [ticker_from_path(src)] if src is not None else []
     if "ticker" in cols:
         ticker_parts.append(F.col(cols["ticker"]).cast("string"))
+    if records_first:
+        ticker_parts.reverse()
     out = [(F.coalesce(*ticker_parts) if ticker_parts else F.lit(None).cast("string")).alias("ticker")]
     copy_parts = [copy_from_path(src)] if src is not None else []
     if "copy_id" in cols:
         copy_parts.append(F.col(cols["copy_id"]).cast("int"))
+    if records_first:
+        copy_parts.reverse()
     if copy_parts:
         out.append(F.coalesce(*copy_parts, F.lit(0)).alias("copy_id"))
     out.append(to_bar_date(F.col(cols["date"])).alias("date"))
@@ -68,7 +75,7 @@ def read_bars_json(
     path: str | list[str],
     *,
     multiline: bool = False,
-    schema: T.StructType = RAW_BAR_SCHEMA,
+    schema: T.StructType = LANDED_SCHEMA,
 ) -> DataFrame:
     """Scan landed JSON bars (S1 with ``multiline=True`` for array files, S2/S3 for line JSON).
 
@@ -77,9 +84,60 @@ def read_bars_json(
     parsed whole by one task (it cannot be split), so large landings should be line JSON — which
     is what ``write_line_json`` produces — and split at ``spark.sql.files.maxPartitionBytes``.
     """
-    # Folders of any layout below the path are read; ticker and copy come from the file paths.
+    # Folders of any layout below the path are read; they give no columns of their own.
     raw = spark.read.schema(schema).option("multiLine", multiline).option("recursiveFileLookup", True).json(path)
-    return normalize_landed(_with_source(raw))
+    return normalize_landed(_with_source(raw), records_first=True)
+
+
+_CORRUPT = "_corrupt_record"
+
+
+def checked_records(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> DataFrame:
+    """Every landed record with its file and what is wrong with it.
+
+    ``source, ticker, record, problem, complete``: ``problem`` is ``malformed`` (no JSON of the
+    landed layout; its text is in ``record``), ``date`` (no readable date) or NULL; ``complete``
+    tells whether all five values are there.
+    """
+    schema = T.StructType([*LANDED_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    raw = (
+        spark.read.schema(schema).option("multiLine", multiline).option("recursiveFileLookup", True)
+        .option("columnNameOfCorruptRecord", _CORRUPT).json(path)
+    )
+    source = F.col("_metadata.file_path")
+    complete = F.lit(True)
+    for c in VALUE_COLUMNS:
+        complete = complete & F.col(c.capitalize()).isNotNull()
+    problem = F.when(F.col(_CORRUPT).isNotNull(), "malformed").when(to_bar_date(F.col("Date")).isNull(), "date")
+    return raw.select(
+        source.alias("source"), F.coalesce("ticker", ticker_from_path(source)).alias("ticker"), F.col(_CORRUPT).alias("record"),
+        problem.alias("problem"), complete.alias("complete"),
+    )
+
+
+def file_report(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> DataFrame:
+    """One row per landed file: its records, the faulty ones, and a status.
+
+    Status: ``ok``; ``empty`` (no record); ``faulty`` (some records malformed or without a date);
+    ``broken`` (no readable record at all). One aggregation by file; the files themselves are
+    listed without reading their contents, so that one of blank lines has a row as well. Spark's
+    scans skip files of zero bytes: their tickers appear as ``no data`` in the coverage report.
+    """
+    n = lambda cond: F.count(F.when(cond, F.lit(1)))
+    counts = checked_records(spark, path, multiline=multiline).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        n(F.col("problem") == "malformed").alias("n_malformed"),
+        n(F.col("problem") == "date").alias("n_no_date"),
+        n(F.col("problem").isNull() & ~F.col("complete")).alias("n_incomplete"),
+    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    listed = files.select(F.col("_metadata.file_path").alias("source"), F.col("length").alias("n_bytes"))
+    out = listed.join(counts, "source", "left").na.fill(0, ["n_records", "n_malformed", "n_no_date", "n_incomplete"])
+    faulty = F.col("n_malformed") + F.col("n_no_date")
+    status = (
+        F.when(F.col("n_records") == 0, "empty").when(faulty == F.col("n_records"), "broken").when(faulty > 0, "faulty").otherwise("ok")
+    )
+    return out.withColumns({"ticker": ticker_from_path("source"), "status": status})
 
 
 def read_wrapped_json(spark: SparkSession, path: str | list[str], *, column: str = "json_string", text: bool = False) -> DataFrame:

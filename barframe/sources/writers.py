@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 ISO_DATETIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
+# Rows of one array: a series' calendar year.
+CHUNK = "year"
+
+
 def _rebalanced(df: DataFrame, partition_by: Sequence[str] | None) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
@@ -53,10 +57,13 @@ def write_line_json(
     path: str,
     *,
     mode: str = "overwrite",
-    partition_by: Sequence[str] | None = ("ticker", "copy_id"),
+    partition_by: Sequence[str] | None = ("ticker",),
     landed: bool = True,
 ) -> None:
-    """Line-JSON sink (K3): one write for every ticker and copy, partitioned by them.
+    """Line-JSON sink (K3, U2): one write for every ticker and copy, in a folder for each ticker.
+
+    ``copy_id`` stays a field of the records, so the number of folders does not grow with the
+    copies; the reader takes it from there.
 
     ``landed=True`` writes the landed record layout, so the files read back with the same
     reader as the original landing; ``False`` writes the frame's columns as they are.
@@ -70,12 +77,12 @@ def write_line_json(
     w.json(path)
 
 
-def to_json_records(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """One JSON array of records per series, dates in ISO format, sorted by date (K5).
+def to_json_records(df: DataFrame, keys: Sequence[str] | None = None, *, chunk: str | None = CHUNK) -> DataFrame:
+    """JSON arrays of records, dates in ISO format, sorted by date (K5): one per series and year.
 
-    Output: ``keys..., json``. The array for a series holds one element per trading day of that
-    series — (ticker, copy_id, date) is unique — so a group is bounded by the calendar, not by
-    the table size.
+    Output: ``keys..., json``. An array holds one element per trading day of its year, so a group
+    is bounded by the calendar year however long the series is. ``chunk=None`` makes one array of a
+    whole series.
     """
     if keys is None:
         keys = [c for c in ("ticker", "copy_id") if c in df.columns]
@@ -87,14 +94,15 @@ def to_json_records(df: DataFrame, keys: Sequence[str] | None = None) -> DataFra
         F.col("close").alias("Close"),
         F.col("volume").alias("Volume"),
     )
-    return df.groupBy(*keys).agg(F.to_json(F.array_sort(F.collect_list(rec))).alias("json"))
+    chunks = [F.year("date").alias("_chunk")] if chunk == CHUNK else []
+    return df.groupBy(*keys, *chunks).agg(F.to_json(F.array_sort(F.collect_list(rec))).alias("json")).drop("_chunk")
 
 
 def write_json_arrays(df: DataFrame, path: str, *, mode: str = "overwrite", keys: Sequence[str] | None = None) -> None:
-    """Landing layout: one JSON array per series, in Hive folders ``ticker=…/[copy_id=…/]`` (K5 + K4)."""
+    """Landing layout: a JSON array per file, series and year, in Hive folders ``ticker=…/[copy_id=…/]`` (K5 + K4)."""
     recs = to_json_records(df, keys)
     keys = [c for c in recs.columns if c != "json"]
-    _rebalanced(recs, keys).write.mode(mode).partitionBy(*keys).text(path)
+    _rebalanced(recs, keys).write.mode(mode).option("maxRecordsPerFile", 1).partitionBy(*keys).text(path)
 
 
 def write_text(df: DataFrame, path: str, column: str, *, mode: str = "overwrite", partition_by: Sequence[str] | None = None) -> None:
@@ -107,7 +115,7 @@ def write_text(df: DataFrame, path: str, column: str, *, mode: str = "overwrite"
 
 
 def write_wrapped_json(df: DataFrame, path: str, *, mode: str = "overwrite", column: str = "json_string") -> None:
-    """The "wrapped" landing: line JSON records whose ``column`` holds a whole series as a JSON string."""
+    """The "wrapped" landing: line JSON records whose ``column`` holds a series' year as a JSON string."""
     recs = to_json_records(df).withColumnRenamed("json", column)
     keys = [c for c in recs.columns if c != column]
     _rebalanced(recs, keys).write.mode(mode).partitionBy(*keys).json(path)

@@ -22,7 +22,7 @@ from barframe.operators.aggregate import mean
 from barframe.operators.clean import filter_outliers
 from barframe.operators.enrich import enrich
 from barframe.plans.workspace import scratch_path
-from barframe.schema import RAW_BAR_SCHEMA
+from barframe.schema import LANDED_SCHEMA
 from barframe.sources.readers import normalize_landed
 
 
@@ -33,7 +33,7 @@ def stream_landed_bars(spark: SparkSession, landing: str, *, multiline: bool = F
     discovered on every trigger (a glob over partition folders is not supported by the file
     stream source together with file metadata).
     """
-    reader = spark.readStream.schema(RAW_BAR_SCHEMA).option("multiLine", multiline)
+    reader = spark.readStream.schema(LANDED_SCHEMA).option("multiLine", multiline)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     raw = reader.json(landing).withColumn("source", F.col("_metadata.file_path"))

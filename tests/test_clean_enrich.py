@@ -129,3 +129,16 @@ def test_enrich_is_one_projection(spark):
     df = bars(spark, [("A", "2024-01-02", 1.0, 1.0, 1.0, 1.0, 1.0)])
     plan = enrich(filter_outliers(df))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Project") == 1
+
+
+def test_complete_profile_rejects_missing_dates_and_nan_volumes(spark):
+    from pyspark.sql import functions as F
+
+    from barframe.operators.clean import filter_outliers, rejected_rows
+
+    base = bars(spark, [("A", f"2024-01-0{d}", 1.0, 2.0, 0.5, 1.5, 10.0) for d in (1, 2, 3)])
+    day = F.dayofmonth("date")
+    dirty = base.withColumns({"volume": F.when(day == 2, F.lit(float("nan"))).otherwise(F.col("volume")), "date": F.when(day != 3, F.col("date"))})
+    assert filter_outliers(dirty, "strict").count() == 3
+    assert filter_outliers(dirty, "strict_complete").count() == 1
+    assert sorted(r.reasons for r in rejected_rows(dirty, "strict_complete").collect()) == ["date:null", "volume:nan"]

@@ -197,3 +197,61 @@ def test_folder_of_copy_directories_is_read_whole(spark, tmp_dir):
         write_line_json(bars(spark, row), f"{tmp_dir}/raw/{name}", partition_by=None)
     back = sorted((r.ticker, r.copy_id) for r in read_bars_json(spark, f"{tmp_dir}/raw").collect())
     assert back == [("AAPL", 0), ("AAPL", 1), ("AAPL", 2)]
+
+
+def test_merged_landing_keeps_the_copies(spark, tmp_dir):
+    from barframe.operators.multiply import multiply_bars
+
+    src = multiply_bars(bars(spark, ROWS), copies=2, seed=4)
+    write_line_json(src, f"{tmp_dir}/copies", partition_by=["ticker", "copy_id"])
+    write_line_json(read_bars_json(spark, f"{tmp_dir}/copies"), f"{tmp_dir}/merged")
+    key = ["ticker", "copy_id", "date", "open", "close", "volume"]
+    back = read_bars_json(spark, f"{tmp_dir}/merged")
+    assert sorted(tuple(r) for r in back.select(*key).collect()) == sorted(tuple(r) for r in src.select(*key).collect())
+
+
+def test_flat_merged_file_keeps_the_copies(spark, tmp_dir):
+    src = bars(spark, ROWS[:1]).withColumn("copy_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(7))))
+    write_line_json(src.drop("ticker"), f"{tmp_dir}/raw/AAPL_merged.json", partition_by=None)
+    back = sorted((r.ticker, r.copy_id) for r in read_bars_json(spark, f"{tmp_dir}/raw").collect())
+    assert back == [("AAPL", 0), ("AAPL", 1), ("AAPL", 7)]
+
+
+def test_arrays_are_cut_by_year(spark, tmp_dir):
+    rows = [("AAPL", f"{y}-01-0{d}", 1.0, 2.0, 0.5, 1.5, 10.0 * d + y) for y in (2020, 2021, 2022) for d in (2, 3)]
+    src = bars(spark, rows)
+    assert to_json_records(src).count() == 3 and to_json_records(src, chunk=None).count() == 1
+    write_json_arrays(src, f"{tmp_dir}/arr")
+    assert _canon(read_bars_json(spark, f"{tmp_dir}/arr", multiline=True)) == _canon(src)
+    write_wrapped_json(src, f"{tmp_dir}/wrapped")
+    assert _canon(read_wrapped_json(spark, f"{tmp_dir}/wrapped")) == _canon(src)
+
+
+def test_file_report_names_every_fault(spark, tmp_dir):
+    import os
+
+    from barframe.sources.readers import checked_records, file_report
+
+    good = '{"Date":"2024-01-02T00:00:00.000","Open":1.0,"High":2.0,"Low":0.5,"Close":1.5,"Volume":10.0}'
+    files = {
+        "GOOD": [good, good],
+        "PART": [good, good[:40], good.replace("2024-01-02T00:00:00.000", "soon"), good.replace("10.0", "null")],
+        "BAD": ["{", "not json"],
+        "TEXT": [good.replace("1.5", '"much"')],
+        "NONE": ["", ""],
+    }
+    os.makedirs(f"{tmp_dir}/raw")
+    for name, lines in files.items():
+        with open(f"{tmp_dir}/raw/{name}.json", "w") as f:
+            f.write("\n".join(lines))
+    cols = ["status", "n_records", "n_malformed", "n_no_date", "n_incomplete"]
+    got = {r.ticker: tuple(r[c] for c in cols) for r in file_report(spark, f"{tmp_dir}/raw").collect()}
+    assert got == {
+        "GOOD": ("ok", 2, 0, 0, 0),
+        "PART": ("faulty", 4, 1, 1, 1),
+        "BAD": ("broken", 2, 2, 0, 0),
+        "TEXT": ("broken", 1, 1, 0, 0),
+        "NONE": ("empty", 0, 0, 0, 0),
+    }
+    texts = {r.record for r in checked_records(spark, f"{tmp_dir}/raw").where("problem = 'malformed'").collect()}
+    assert texts == {good[:40], "{", "not json", files["TEXT"][0]}

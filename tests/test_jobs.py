@@ -19,6 +19,8 @@ def test_large_job_with_coverage(spark, tmp_dir):
     assert cov == {"AAPL": (8, 8, "ok"), "MSFT": (4, 0, "no clean data"), "NFLX": (0, 0, "no data")}
     assert res.clean.count() == 8 and set(res.clean.columns) >= {"year", "intra_day_volatility"}
     assert [r.ticker for r in res.yearly.collect()] == ["AAPL"]
+    assert spark.read.parquet(f"{tmp_dir}/out/yearly").count() == 1
+    assert {(r.ticker, r.status) for r in res.files.collect()} == {("AAPL", "ok"), ("MSFT", "ok")}
 
 
 def test_small_job_profile_and_yearly(spark, tmp_dir):

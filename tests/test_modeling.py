@@ -180,3 +180,42 @@ def test_exact_mean_of_dirty_values(spark):
     assert frame.agg(mean("close", exact=True)).first()[0] == 2.0
     far = spark.createDataFrame([(1e15,), (1.0,)], "close double")
     assert describe_bars(far, ["close"], exact=True).first()["mean"] == (1e15 + 1) / 2
+
+
+def test_feature_forecast_follows_its_recursion(spark):
+    """First step from every feature of the last row, then the target alone with the others at 0."""
+    import math
+
+    from barframe.operators.modeling import SCALED_FEATURES, feature_forecast, fit_feature_regression, model_frame
+    from tests.conftest import bars as make_bars
+    import datetime as dt
+
+    rows = []
+    for i in range(120):
+        c = 50 + 10 * math.sin(i / 7) + (i * 37 % 11) / 3
+        day = (dt.date(2024, 1, 1) + dt.timedelta(days=i)).isoformat()
+        rows.append(("T", day, c + (i * 13 % 7) / 5, c + 3 + (i * 17 % 5) / 4, c - 3 - (i * 7 % 3) / 2, c, 100.0 + (i * 29 % 23)))
+    frame = model_frame(make_bars(spark, rows), "close", previous=SCALED_FEATURES)
+    model, scored = fit_feature_regression(frame)
+    assert scored.count() == frame.where("split = 'test'").count() > 0
+    last = frame.orderBy("date", ascending=False).first()
+    weights = list(model.coefficients)
+    x = model.intercept + sum(w * last[c] for w, c in zip(weights, SCALED_FEATURES))
+    expected = []
+    for _ in range(4):
+        expected.append(x * (last.max_close - last.min_close) + last.min_close)
+        x = model.intercept + weights[SCALED_FEATURES.index("close_scaled")] * x
+    got = feature_forecast(frame, model, "close", horizon=4).orderBy("step").collect()
+    assert [r.step for r in got] == [1, 2, 3, 4] and got[0].date == last.date + dt.timedelta(days=1)
+    assert all(abs(r.predicted_close - e) < 1e-9 for r, e in zip(got, expected))
+    assert feature_forecast(frame, model, "close", horizon=1).count() == 1
+
+
+def test_feature_regression_needs_the_previous_rows(spark):
+    import pytest
+
+    from barframe.operators.modeling import fit_feature_regression, model_frame
+    from tests.conftest import series
+
+    with pytest.raises(ValueError):
+        fit_feature_regression(model_frame(series(spark, [1.0 + i % 5 for i in range(60)]), "close"))
