@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barframe.operators.aggregate import describe_before_after, yearly_summary
 from barframe.operators.clean import coverage_report, filter_outliers
 from barframe.operators.enrich import enrich
-from barframe.operators.modeling import HORIZON, ar1_predictions, evaluate, model_frame, recursive_forecast
+from barframe.operators.modeling import HORIZON, any_model_frame, ar1_predictions, evaluate, recursive_forecast
 from barframe.operators.multiply import DEFAULT_COPIES, multiply_bars
 from barframe.sources.readers import file_report, read_bars_json, read_bars_parquet
 from barframe.plans.workspace import cut_lineage
@@ -109,14 +109,16 @@ def forecast_all(
     fit_on: str = "all",
     business_days: bool = False,
     checkpoint: bool = True,
+    block: str | None = None,
 ) -> ForecastResult:
     """Prediction job for every series: model frame, test predictions, metrics, recursive forecast.
 
     The three products all derive from the modelling frame; with ``checkpoint`` the frame is
     materialized once in the shared checkpoint folder, so the window chain runs once instead of
-    once per product, and a lost executor re-reads the checkpoint.
+    once per product, and a lost executor re-reads the checkpoint. ``block`` cuts long series into
+    calendar blocks (``'year'`` or ``'month'``), so that no task holds a whole one.
     """
-    frame = model_frame(bars, target, fit_on=fit_on)
+    frame = any_model_frame(bars, target, fit_on=fit_on, block=block)
     if checkpoint:
         frame = cut_lineage(frame)
     preds = ar1_predictions(frame, target)

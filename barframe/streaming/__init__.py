@@ -2,6 +2,7 @@
 
 from barframe.streaming.ingest import (  # noqa: F401
     clean_enriched_stream,
+    read_yearly,
     run_available,
     start_clean_sink,
     start_yearly_sink,

@@ -6,8 +6,8 @@ apply unchanged. The yearly means are a streaming aggregation whose state is one
 (year, ticker) — bounded by the number of tickers times years, not by the data volume.
 
 Exactly-once output: the enriched bars go to a Parquet sink (append, file-sink log); the yearly
-means are written per micro-batch by ``foreachBatch`` as a full overwrite of a small table, so a
-replayed batch rewrites the same result. Checkpoints live under the shared checkpoint folder.
+means are written per micro-batch by ``foreachBatch`` into a folder of the batch, so a replayed
+batch rewrites the same result and readers of an earlier one keep a whole table. Checkpoints live under the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -63,18 +63,27 @@ def start_clean_sink(enriched: DataFrame, path: str, checkpoint: str | None = No
 
 
 def start_yearly_sink(yearly: DataFrame, path: str, checkpoint: str | None = None, *, available_now: bool = True) -> StreamingQuery:
-    """Maintain the yearly means as a Parquet table, overwritten with the complete result per batch."""
+    """Maintain the yearly means below ``path``: the complete result of each batch in a folder of its
+    own, then the batch's number in a table of finished batches. Read them with ``read_yearly``."""
     spark = yearly.sparkSession
     checkpoint = checkpoint or scratch_path(spark, "stream-yearly-ckpt")
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        # A batch that runs again after a failure writes the same folders again.
+        batch.write.mode("overwrite").parquet(f"{path}/means/batch={epoch}")
+        batch.sparkSession.range(1).select(F.lit(epoch).alias("finished")).write.mode("overwrite").parquet(f"{path}/finished/batch={epoch}")
 
     w = yearly.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(write_batch)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
+def read_yearly(spark: SparkSession, path: str) -> DataFrame:
+    """The yearly means of the last finished batch; a batch under way is not seen."""
+    last = spark.read.parquet(f"{path}/finished").agg(F.max("finished")).first()[0]
+    return spark.read.parquet(f"{path}/means/batch={last}")
+
+
 def run_available(spark: SparkSession, landing: str, out_dir: str, *, multiline: bool = False, profile: str = "strict") -> DataFrame:
     """Process everything currently in ``landing`` (``availableNow``) and return the yearly table.
 

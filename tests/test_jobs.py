@@ -31,3 +31,21 @@ def test_small_job_profile_and_yearly(spark, tmp_dir):
     y = res.yearly.first()
     assert (y.year, y.ticker, y.avg_close) == (2023, "AAPL", 105.5)
     assert res.clean.filter(F.col("ticker") == "MSFT").count() == 0
+
+
+def test_forecast_job_in_blocks_equals_the_whole_series(spark):
+    import datetime as dt
+
+    from barframe.operators.modeling import forecast
+    from barframe.plans.jobs import forecast_all
+
+    rows = []
+    for t, n in (("A", 420), ("B", 90)):
+        for i in range(n):
+            c = 50.0 + (i * 37 % 11) + i / 20
+            rows.append((t, (dt.date(2022, 6, 1) + dt.timedelta(days=i)).isoformat(), c - 1, c + 2, c - 2, c, 100.0 + i % 7))
+    src = bars(spark, rows)
+    key = lambda df: sorted((r.ticker, r.step, r.date, round(r.predicted_close, 9)) for r in df.collect())
+    whole = key(forecast(src, horizon=5))
+    assert len(whole) == 10 and key(forecast(src, horizon=5, block="month")) == whole
+    assert key(forecast_all(src, horizon=5, block="year").forecast) == whole

@@ -2,7 +2,7 @@ from barframe.operators.aggregate import yearly_summary
 from barframe.operators.clean import filter_outliers
 from barframe.operators.enrich import enrich
 from barframe.sources.writers import write_line_json
-from barframe.streaming.ingest import clean_enriched_stream, start_yearly_sink, stream_landed_bars, yearly_stream
+from barframe.streaming.ingest import clean_enriched_stream, read_yearly, start_yearly_sink, stream_landed_bars, yearly_stream
 from tests.conftest import bars
 
 ROWS_1 = [
@@ -29,7 +29,7 @@ def test_incremental_stream_equals_batch(spark, tmp_dir):
         stream = yearly_stream(clean_enriched_stream(stream_landed_bars(spark, landing)))
         q = start_yearly_sink(stream, out, ckpt)
         q.awaitTermination()
-        return spark.read.parquet(out)
+        return read_yearly(spark, out)
 
     first = run()
     assert _sorted(first) == _sorted(yearly_summary(enrich(filter_outliers(bars(spark, ROWS_1))), exact=True))
@@ -37,3 +37,5 @@ def test_incremental_stream_equals_batch(spark, tmp_dir):
     second = run()  # same checkpoint: only the new files are read, state carries the first batch
     expected = yearly_summary(enrich(filter_outliers(bars(spark, ROWS_1 + ROWS_2))), exact=True)
     assert _sorted(second) == _sorted(expected)
+    # Readers of the first batch keep their table.
+    assert _sorted(first) == _sorted(yearly_summary(enrich(filter_outliers(bars(spark, ROWS_1))), exact=True))
