@@ -7,11 +7,13 @@ backoff weight. A text is read once from left to right; a word without an arc fo
 and adds their weights. The root gives every word its add-one-half probability, exactly
 ``(c + 0.5) / (N + 0.5 (V + 1))``, which is also the base model.
 
-The model's size is bounded by parameters whatever the corpus: contexts are the ``CONTEXTS`` most
-frequent words (pairs of the ``PAIR_CONTEXTS`` most frequent for order 3), their arcs lead to the
-``TARGETS`` (``PAIR_TARGETS``) most frequent. Unigrams have no bound: the counts of the most
-frequent words, ``DICTIONARY`` at most, go to the tasks, and every other word is looked up by a
-join with the table of all counts.
+Every pair and triple of the training texts is a candidate, whatever its words. An n-gram becomes an
+arc when it occurs at least ``max(MIN_COUNT, MIN_SHARE * N)`` times among ``N`` tokens, the same
+relative cutoff at every size; so there are at most ``1 / MIN_SHARE`` arcs of an order, which bounds
+what goes to every task. An n-gram is counted only if its shorter parts reach the cutoff, without
+which it cannot. Unigrams have no cutoff: the counts of the most frequent words, ``DICTIONARY`` and
+those above the cutoff, go to the tasks, and every other word is looked up by a join with the table
+of all counts.
 
 Words are known by 64-bit hashes. Edge cases: a NULL text is the empty text, whose only token is
 the end; without training texts N = V = 0 and every token has probability 1; repeated rows are
@@ -35,9 +37,8 @@ from barframe.llm.words import find_words, lower_ascii, span_hashes, text_slices
 from barframe.plans.workspace import scratch_path
 
 DICTIONARY = 1 << 18
-CONTEXTS, TARGETS = 512, 8192
-PAIR_CONTEXTS, PAIR_TARGETS = 64, 1024
 MIN_COUNT = 2
+MIN_SHARE = 2.5e-7
 DISCOUNT = 0.75
 #: Lanes of the traversal hold so many tokens; a lane begins with the state that its text has there.
 LANE = 512
@@ -116,11 +117,32 @@ def _ranks(dictionary: Dictionary, hashes: np.ndarray) -> tuple[np.ndarray, np.n
     return at, np.where(at >= 0, ranks, np.iinfo(np.int64).max)
 
 
+def _indices(ordered: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Place of each key in the sorted array, or -1."""
+    if not len(ordered):
+        return np.full(len(keys), -1)
+    at = np.minimum(np.searchsorted(ordered, keys), len(ordered) - 1)
+    return np.where(ordered[at] == keys, at, -1)
+
+
+def pair_codes(rank: np.ndarray, first: np.ndarray, words: int, frequent: int) -> np.ndarray:
+    """``context * (words + 1) + word`` at each token, -1 where a word is not among the ``frequent``.
+
+    ``rank`` are the tokens' ranks, ``first`` each text's first token; the begin of a text is the
+    context ``words``.
+    """
+    before = np.concatenate([[words], rank[:-1]])
+    before[first] = words
+    usable = (rank < frequent) & ((before < frequent) | (before == words))
+    return np.where(usable, np.where(usable, before, 0) * (words + 1) + np.where(usable, rank, 0), -1)
+
+
 def ngram_counts(texts: DataFrame, shared) -> DataFrame:
-    """``ngram, n`` of the pairs and triples inside the model's contexts and targets.
+    """``ngram, n`` of the pairs of frequent words, or of the triples whose two pairs are frequent.
 
-    Pairs are ``context * TARGETS + word`` with ``CONTEXTS`` for the begin of a text; triples are
-    negative: ``-1 - ((first * PAIR_CONTEXTS + second) * PAIR_TARGETS + word)``.
+    ``shared`` holds the dictionary's parts, how many of its words are frequent, and the sorted codes
+    of the frequent pairs (None to count pairs). A pair's code is ``pair_codes``'; a triple's is the
+    place of its first pair times ``words + 1``, plus the word.
     """
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,26 +152,23 @@ def ngram_counts(texts: DataFrame, shared) -> DataFrame:
             kinds, inverse = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
             return kinds, np.bincount(inverse, np.concatenate([n for _, n in held])).astype(np.int64)
 
-        dictionary = Dictionary(*shared.value)
+        parts, frequent, pairs = shared.value
+        dictionary = Dictionary(*parts)
+        words = len(dictionary.words)
         for batch in found:
             for _, data, offsets in text_slices(batch.column(0)):
                 own, first = tokens(data, offsets)
                 if not len(own):
                     continue
                 _, rank = _ranks(dictionary, own)
-                before = np.concatenate([[CONTEXTS], rank[:-1]])
-                before[first[:-1]] = CONTEXTS
-                before2 = np.concatenate([[CONTEXTS], before[:-1]])
-                before2[first[:-1]] = CONTEXTS
-                pair = (before <= CONTEXTS) & (rank < TARGETS)
-                # A begin is not a rank: only words below CONTEXTS count as such.
-                pair &= (before < CONTEXTS) | np.isin(np.arange(len(rank)), first[:-1])
-                triple = (before < PAIR_CONTEXTS) & (before2 < PAIR_CONTEXTS) & (rank < PAIR_TARGETS)
-                keys = np.concatenate([
-                    before[pair] * TARGETS + rank[pair],
-                    -1 - ((before2[triple] * PAIR_CONTEXTS + before[triple]) * PAIR_TARGETS + rank[triple]),
-                ])
-                held.append(np.unique(keys, return_counts=True))
+                keys = pair_codes(rank, first[:-1], words, frequent)
+                if pairs is not None:
+                    at = _indices(pairs, keys)
+                    before = np.concatenate([[-1], at[:-1]])
+                    before[first[:-1]] = -1
+                    both = (at >= 0) & (before >= 0)
+                    keys = np.where(both, before * (words + 1) + np.where(both, rank, 0), -1)
+                held.append(np.unique(keys[keys >= 0], return_counts=True))
                 size += len(held[-1][0])
                 if size > 4_000_000:
                     held = [summed()]
@@ -161,56 +180,63 @@ def ngram_counts(texts: DataFrame, shared) -> DataFrame:
             kinds, n = summed()
             yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n)], names=["ngram", "n"])
 
-    return texts.mapInArrow(batches, "ngram bigint, n bigint").groupBy("ngram").agg(F.sum("n").alias("n"))
+    # The tasks have added up already, so the rows are dealt out without another map-side table.
+    return texts.mapInArrow(batches, "ngram bigint, n bigint").repartition("ngram").groupBy("ngram").agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class BackoffAutomaton:
-    """States: 0 the root, 1..CONTEXTS a word, CONTEXTS + 1 the begin, then pairs of words."""
+    """States: 0 the root, then a state for each of the W dictionary words, W + 1 the begin, then pairs of words."""
 
     dictionary: Dictionary
     unigram: np.ndarray  # log10 probability by dictionary index
-    arcs: np.ndarray  # sorted state * TARGETS + word rank
+    arcs: np.ndarray  # sorted state * (W + 1) + word rank
     weights: np.ndarray  # log10 probability of each arc
     failure: np.ndarray  # by state: the shorter context
     failure_weight: np.ndarray  # by state: log10 of the backoff weight
-    pair_state: np.ndarray = field(repr=False)  # state of each pair of words, or 0
+    pairs: np.ndarray = field(repr=False)  # sorted codes of the pairs that are states
 
     def parts(self) -> tuple:
         """Plain arrays, as they go to the tasks."""
-        return (self.dictionary.parts(), self.unigram, self.arcs, self.weights, self.failure, self.failure_weight, self.pair_state)
+        return (self.dictionary.parts(), self.unigram, self.arcs, self.weights, self.failure, self.failure_weight, self.pairs)
+
+    @property
+    def words(self) -> int:
+        return len(self.dictionary.words)
 
     def next_state(self, state: np.ndarray, rank: np.ndarray) -> np.ndarray:
         """The longest context that ends with the word just read."""
-        last = self.last[state]
-        out = np.where(rank < CONTEXTS, rank + 1, 0)
-        pair = (last < PAIR_CONTEXTS) & (rank < PAIR_CONTEXTS)
-        known = self.pair_state[np.where(pair, last, 0), np.where(pair, rank, 0)]
-        return np.where(pair & (known > 0), known, out)
+        last, known = self.last[state], rank < self.words
+        word = np.where(known, rank, 0)
+        pair = _indices(self.pairs, np.where(known & (last >= 0), last * (self.words + 1) + word, -1))
+        return np.where(pair >= 0, self.words + 2 + pair, np.where(known, word + 1, 0))
 
     @functools.cached_property
     def last(self) -> np.ndarray:
-        """By state: the rank of its last word (a high one if there is none)."""
-        out = np.full(len(self.failure), np.iinfo(np.int64).max)
-        out[1 : CONTEXTS + 1] = np.arange(CONTEXTS)
-        first, second = np.nonzero(self.pair_state)
-        out[self.pair_state[first, second]] = second
+        """By state: the code of its last word (-1 for the root)."""
+        return np.concatenate([[-1], np.arange(self.words + 1), self.pairs % (self.words + 1)])
+
+    @functools.cached_property
+    def branches(self) -> np.ndarray:
+        """By state: whether it has arcs."""
+        out = np.zeros(len(self.failure), bool)
+        out[self.arcs // (self.words + 1)] = True
         return out
 
     def step(self, state: np.ndarray, at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Read one token in each lane: log10 probabilities and next states.
 
-        A token outside the dictionary (``at`` -1) adds its failure weights only.
+        A token outside the dictionary (``at`` -1) adds its failure weights only. A state without
+        arcs has a backoff weight of 1 and fails to the root.
         """
         total = np.zeros(len(state))
         here = state.copy()
-        target = np.minimum(rank, TARGETS)
-        open_ = np.flatnonzero(here > 0)
+        target = np.minimum(rank, self.words)
+        open_ = np.flatnonzero(self.branches[here])
         hit = np.zeros(len(state), bool)
         while len(open_):
-            key = here[open_] * (TARGETS + 1) + target[open_]
-            i = np.minimum(np.searchsorted(self.arcs, key), max(len(self.arcs) - 1, 0))
-            found = self.arcs[i] == key if len(self.arcs) else np.zeros(len(key), bool)
+            i = _indices(self.arcs, here[open_] * (self.words + 1) + target[open_])
+            found = i >= 0
             total[open_[found]] += self.weights[i[found]]
             hit[open_[found]] = True
             open_ = open_[~found]
@@ -229,7 +255,7 @@ class BackoffAutomaton:
         begin = first[lane_text] + within * LANE
         end = np.minimum(begin + LANE, first[lane_text + 1])
         # The state at a lane's begin follows from the text's two tokens before it.
-        state = np.full(len(begin), CONTEXTS + 1)
+        state = np.full(len(begin), self.words + 1)
         for back in (2, 1):
             inner = np.flatnonzero(within > 0)
             state[inner] = self.next_state(state[inner] if back == 1 else np.zeros(len(inner), np.int64), rank[begin[inner] - back])
@@ -246,56 +272,44 @@ class BackoffAutomaton:
         return out
 
 
-def build_automaton(dictionary: Dictionary, keys: np.ndarray, n: np.ndarray, texts: int, total: int, kinds: int) -> BackoffAutomaton:
-    """Smoothed n-grams as states and arcs. ``texts, total, kinds``: training texts, tokens, distinct tokens."""
-    denominator = total + 0.5 * (kinds + 1)
-    p1 = (dictionary.counts + 0.5) / denominator
+def build_automaton(
+    dictionary: Dictionary, pairs: np.ndarray, pair_n: np.ndarray, triples: np.ndarray, triple_n: np.ndarray,
+    texts: int, total: int, kinds: int,
+) -> BackoffAutomaton:
+    """Smoothed n-grams as states and arcs, from the sorted codes of ``ngram_counts``.
+
+    ``texts, total, kinds``: training texts, tokens, distinct tokens.
+    """
+    words = len(dictionary.words)
+    base = words + 1
     by_rank = np.argsort(dictionary.ranks)
-    context_count = np.zeros(CONTEXTS + 1)
-    top = by_rank[:CONTEXTS]
-    context_count[: len(top)] = dictionary.counts[top]
-    context_count[CONTEXTS] = texts
-    order = np.argsort(keys)
-    keys, n = keys[order], n[order]
-    pairs, pair_n = keys[keys >= 0], n[keys >= 0]
-    context, word = pairs // TARGETS, pairs % TARGETS
+    p1 = (dictionary.counts + 0.5) / (total + 0.5 * (kinds + 1))
+    unigram, p1 = np.log10(p1), p1[by_rank]
+    context_count = np.concatenate([dictionary.counts[by_rank], [texts]]).astype(float)
+    context, word = pairs // base, pairs % base
     seen = (pair_n - DISCOUNT) / context_count[context]
-    rest = 1 - np.bincount(context, seen, CONTEXTS + 1)
-    p2 = seen + rest[context] * p1[by_rank[word]]
-
-    triples, triple_n = -1 - keys[keys < 0], n[keys < 0]
-    both, word3 = triples // PAIR_TARGETS, triples % PAIR_TARGETS
-    second = both % PAIR_CONTEXTS
-    # How often a pair stands before a token: its own count as an n-gram.
-    pair_key = (both // PAIR_CONTEXTS) * TARGETS + second
-    i = np.minimum(np.searchsorted(pairs, pair_key), max(len(pairs) - 1, 0))
-    known = pairs[i] == pair_key if len(pairs) else np.zeros(len(both), bool)
-    both, word3, second, triple_n, i = both[known], word3[known], second[known], triple_n[known], i[known]
-    seen3 = (triple_n - DISCOUNT) / pair_n[i] if len(i) else np.zeros(0)
-    rest3 = 1 - np.bincount(both, seen3, PAIR_CONTEXTS**2)
-    lower_key = second * TARGETS + word3
-    j = np.minimum(np.searchsorted(pairs, lower_key), max(len(pairs) - 1, 0))
-    has = pairs[j] == lower_key if len(pairs) else np.zeros(len(both), bool)
-    lower = rest[second] * p1[by_rank[word3]] if len(both) else np.zeros(0)
-    if len(both):
-        lower = np.where(has, p2[j], lower)
-    p3 = seen3 + rest3[both] * lower
-
-    present = np.unique(both)
-    pair_state = np.zeros((PAIR_CONTEXTS, PAIR_CONTEXTS), np.int64)
-    pair_state[present // PAIR_CONTEXTS, present % PAIR_CONTEXTS] = CONTEXTS + 2 + np.arange(len(present))
-    states = CONTEXTS + 2 + len(present)
+    rest = 1 - np.bincount(context, seen, base)
+    p2 = seen + rest[context] * p1[word]
+
+    first, word3 = triples // base, triples % base
+    second = word[first]
+    seen3 = (triple_n - DISCOUNT) / pair_n[first]
+    rest3 = 1 - np.bincount(first, seen3, len(pairs))
+    lower_at = _indices(pairs, second * base + word3)
+    lower = rest[second] * p1[word3]
+    lower = np.where(lower_at >= 0, p2[lower_at], lower) if len(pairs) else lower
+    p3 = seen3 + rest3[first] * lower
+
+    present = np.unique(first)
+    states = words + 2 + len(present)
     failure, weight = np.zeros(states, np.int64), np.zeros(states)
-    weight[1 : CONTEXTS + 2] = np.log10(rest)
-    failure[CONTEXTS + 2 :] = present % PAIR_CONTEXTS + 1
-    weight[CONTEXTS + 2 :] = np.log10(rest3[present])
-    arcs = np.concatenate([
-        np.where(context == CONTEXTS, CONTEXTS + 1, context + 1) * (TARGETS + 1) + word,
-        pair_state[both // PAIR_CONTEXTS, second] * (TARGETS + 1) + word3,
-    ])
+    weight[1 : words + 2] = np.log10(rest)
+    failure[words + 2 :] = word[present] + 1
+    weight[words + 2 :] = np.log10(rest3[present])
+    arcs = np.concatenate([(context + 1) * base + word, (words + 2 + np.searchsorted(present, first)) * base + word3])
     order = np.argsort(arcs)
     return BackoffAutomaton(
-        dictionary, np.log10(p1), arcs[order], np.log10(np.concatenate([p2, p3]))[order], failure, weight, pair_state
+        dictionary, unigram, arcs[order], np.log10(np.concatenate([p2, p3]))[order], failure, weight, pairs[present]
     )
 
 
@@ -317,18 +331,26 @@ def train(df: DataFrame, text_col: str, learn: Column) -> Model:
     total, kinds, ends = counts.agg(
         F.sum("n"), F.count("*"), F.sum(F.when(F.col("word") == int(END.view(np.int64)), F.col("n")))
     ).first()
+    cutoff = max(MIN_COUNT, int(np.ceil((total or 0) * MIN_SHARE)))
     # The lowest count that still fits: words by count, a table with as many rows as there are different counts.
     shape = counts.groupBy(F.least("n", F.lit(DICTIONARY)).alias("n")).agg(F.count("*").alias("words")).toArrow()
     order = np.argsort(-shape.column(0).to_numpy())
     fits = np.cumsum(shape.column(1).to_numpy()[order]) <= DICTIONARY
     lowest = int(shape.column(0).to_numpy()[order][fits].min()) if fits.any() else 1 << 62
-    frequent = counts.where(F.col("n") >= lowest).toArrow()
-    dictionary = Dictionary.of(frequent.column(0).to_numpy().view(np.uint64), frequent.column(1).to_numpy())
-    shared = spark.sparkContext.broadcast(dictionary.parts())
-    ngrams = ngram_counts(texts, shared).where(F.col("n") >= MIN_COUNT).toArrow()
-    automaton = build_automaton(
-        dictionary, ngrams.column(0).to_numpy(), ngrams.column(1).to_numpy(), int(ends or 0), int(total or 0), int(kinds)
-    )
+    known = counts.where(F.col("n") >= min(lowest, cutoff)).toArrow()
+    dictionary = Dictionary.of(known.column(0).to_numpy().view(np.uint64), known.column(1).to_numpy())
+    frequent = int((dictionary.counts >= cutoff).sum())
+
+    def kept(pairs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        shared = spark.sparkContext.broadcast((dictionary.parts(), frequent, pairs))
+        found = ngram_counts(texts, shared).where(F.col("n") >= cutoff).toArrow()
+        keys, n = found.column(0).to_numpy(), found.column(1).to_numpy()
+        order = np.argsort(keys)
+        return keys[order], n[order]
+
+    pairs, pair_n = kept(None)
+    triples, triple_n = kept(pairs)
+    automaton = build_automaton(dictionary, pairs, pair_n, triples, triple_n, int(ends or 0), int(total or 0), int(kinds))
     return Model(automaton, path, int(total or 0), int(kinds))
 
 

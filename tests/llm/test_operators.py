@@ -206,19 +206,57 @@ def test_lm_automaton_is_a_distribution(monkeypatch):
     counts = np.bincount(text, minlength=30)
     dictionary = lm_scoring.Dictionary.of(words, counts)
     rank = dictionary.ranks[text]
-    pair = rank[:-1] * lm_scoring.TARGETS + rank[1:]
-    triple = -1 - ((rank[:-2] * lm_scoring.PAIR_CONTEXTS + rank[1:-1]) * lm_scoring.PAIR_TARGETS + rank[2:])
-    keys, n = np.unique(np.concatenate([pair, triple]), return_counts=True)
-    model = lm_scoring.build_automaton(dictionary, keys[n > 1], n[n > 1], 1, 4000, 30)
+    first = np.array([0])
+    pairs, pair_n = np.unique(lm_scoring.pair_codes(rank, first, 30, 30), return_counts=True)
+    pairs, pair_n = pairs[pair_n > 1], pair_n[pair_n > 1]
+    at = lm_scoring._indices(pairs, lm_scoring.pair_codes(rank, first, 30, 30))
+    both = (at[:-1] >= 0) & (at[1:] >= 0)
+    triples, triple_n = np.unique((at[:-1] * 31 + rank[1:])[both], return_counts=True)
+    model = lm_scoring.build_automaton(dictionary, pairs, pair_n, triples[triple_n > 1], triple_n[triple_n > 1], 1, 4000, 30)
+    assert len(model.failure) > 100  # the root, 30 words, the begin and pairs
     denominator = 4000 + 0.5 * 31
     for state in range(len(model.failure)):
-        if state > 30 and state <= lm_scoring.CONTEXTS:
-            continue  # contexts that do not occur
         p, _ = model.step(np.full(30, state), np.arange(30), dictionary.ranks)
         unknown, _ = model.step(np.array([state]), np.array([-1]), np.array([1 << 40]))
         assert abs((10**p).sum() + 10 ** unknown[0] * 0.5 / denominator - 1) < 1e-9
 
 
+def test_lm_scores_equal_a_plain_backoff_model(spark):
+    """Counts, cutoff, smoothing and traversal against dictionaries of word tuples."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(12)]
+    texts = [" ".join(rng.choice(words, int(n), p=np.arange(12, 0, -1) / 78)) for n in rng.integers(0, 60, 40)]
+    texts.append(" ".join(rng.choice(words, 2500)) + " never seen before")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = lm_scoring.train(df, "text", F.col("doc_id") < 30)
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score(df, model, "text", {"doc_id": F.col("doc_id")}).collect()}
+
+    grams: dict[tuple, int] = {}
+    for text in texts[:30]:
+        own = ["<s>", *text.split(), "</s>"]
+        for n in (1, 2, 3):
+            for i in range(len(own) - n + 1):
+                grams[tuple(own[i : i + n])] = grams.get(tuple(own[i : i + n]), 0) + 1
+    known = {g[0]: c for g, c in grams.items() if len(g) == 1 and g[0] != "<s>"}
+    total, kinds = sum(known.values()), len(known)
+    kept = {g: c for g, c in grams.items() if len(g) > 1 and c >= 2}
+
+    def probability(word: str, context: tuple) -> float:
+        if not context:
+            return (known.get(word, 0) + 0.5) / (total + 0.5 * (kinds + 1))
+        arcs = {g[-1]: c for g, c in kept.items() if g[:-1] == context}
+        shorter = probability(word, context[1:])
+        if not arcs:
+            return shorter
+        seen = {w: (c - 0.75) / grams[context] for w, c in arcs.items()}
+        return seen.get(word, 0) + (1 - sum(seen.values())) * shorter
+
+    for i, text in enumerate(texts):
+        own = ["<s>", *text.split(), "</s>"]
+        want = sum(np.log10(probability(own[j], tuple(own[max(j - 2, 0) : j]))) for j in range(1, len(own)))
+        assert abs(got[i] - want) < 1e-6 * max(1, abs(want)), i
+
+
 def test_empty_tables_and_odd_ids(spark, empty, odd):
     assert piece_codec.encode_digests(empty, model_path()).count() == 0
     assert line_dedup.dedup_lines(empty).count() == 0 and line_dedup.dedup_lines(odd, min_sites=2).count() == odd.count()
