@@ -10,7 +10,9 @@ words that decides it (its context).
 Each window of ``window`` words is given one symbol that its own words decide: of the highest
 level with such a symbol, the longest one (of equally long ones that with the smallest hash). Equal windows get equal symbols at equal
 offsets. Occurrences of one symbol meet by one shuffle, each with the hashes of its windows, and
-all but the first of equal windows are marked; words that marked windows cover are removed.
+all but the first of equal windows are marked. Repeats within a few megabytes of texts are settled
+before the shuffle. Symbols that hold a large share of all rows are counted first; their windows
+meet by their own keys, so no task gets a passage of many documents whole; words that marked windows cover are removed.
 Equality rests on the symbol's 64-bit name and 32 further bits for each window.
 
 Edge cases: NULL and blank texts have no words; texts shorter than the window lose nothing;
@@ -31,9 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barframe.llm.words import find_words, mix, span_hashes, text_slices
+from barframe.plans.workspace import scratch_path
 
 WINDOW = 20
 ROUNDS = 2
+#: A symbol with so many rows, and this share of all rows, is spread over the tasks by its windows.
+HOT_ROWS = 64
+HOT_SHARE = 1 / 65536
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -164,27 +170,81 @@ def window_symbols(hashes: np.ndarray, first: np.ndarray, window: int = WINDOW,
     return starts, name, at
 
 
-def _anchors(window: int, rounds: int):
+def _ranked(ids: pa.Array) -> np.ndarray:
+    """Each id's place in Spark's order (NULL first); equal ids share theirs."""
+    codes = pa.compute.dictionary_encode(ids, null_encoding="encode")
+    order = pa.compute.sort_indices(codes.dictionary, null_placement="at_start").to_numpy()
+    places = np.empty(len(order), np.int64)
+    places[order] = np.arange(len(order))
+    return places[codes.indices.to_numpy()]
+
+
+def _slices(batch: pa.RecordBatch, window: int, rounds: int) -> Iterator[tuple]:
+    """For each slice of texts: ids, first words, and by window its start, symbol, symbol's first word, hash, row, key and whether it is a repeat."""
+    for row, data, offsets in text_slices(batch.column(1)):
+        begin, end, first = find_words(data, offsets)
+        hashes = span_hashes(data, begin, end)
+        starts, name, at = window_symbols(hashes, first, window, rounds)
+        if not len(starts):
+            continue
+        own = (mix(span_hashes(hashes, starts, starts + window)) >> np.uint64(32)).astype(np.uint32)
+        rows = np.searchsorted(first, starts, side="right") - 1
+        ids = batch.column(0).slice(row, len(first) - 1)
+        rank = _ranked(ids)
+        key = _window_keys(name, at - starts, own)
+        # In the order of ids and starts, the first of a key is the earliest of this slice.
+        place = starts - first[rows]
+        order = np.argsort((rank[rows] << 40) + place, kind="stable")
+        _, index, inverse = np.unique(key[order], return_index=True, return_inverse=True)
+        earliest = order[index][inverse]
+        again = np.empty(len(starts), bool)
+        again[order] = (rank[rows[order]] != rank[rows[earliest]]) | (place[order] != place[earliest])
+        yield ids, first, starts, name, at, own, rows, key, again
+
+
+def _runs(starts: np.ndarray, name: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where runs of windows begin that share one occurrence of a symbol."""
+    return np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (name[1:] != name[:-1]) | (starts[1:] != starts[:-1] + 1)]))
+
+
+def hot_symbols(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, rounds: int = ROUNDS) -> np.ndarray:
+    """The sorted names of the symbols with at least ``HOT_ROWS`` rows and the share ``HOT_SHARE`` of all rows.
+
+    There are at most ``1 / HOT_SHARE`` of them. A task adds up each slice's names first, and
+    leaves out those with one row there.
+    """
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for _, _, starts, name, at, _, _, _, again in _slices(batch, window, rounds):
+                starts, name, at = starts[~again], name[~again], at[~again]
+                cut = _runs(starts, name, at)
+                kinds, n = np.unique(name[cut], return_counts=True)
+                many = n > 1
+                names = pa.array([None, *kinds[many].view(np.int64).tolist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([names, pa.array(np.concatenate([[len(cut)], n[many]]))], names=["name", "n"])
+
+    path = scratch_path(df.sparkSession, "symbol-counts")
+    df.select(id_col, text_col).mapInArrow(batches, "name bigint, n bigint").groupBy("name").agg(F.sum("n").alias("n")).write.parquet(path)
+    counts = df.sparkSession.read.schema("name bigint, n bigint").parquet(path)
+    total = counts.where("name is null").agg(F.sum("n")).first()[0] or 0
+    hot = counts.where(F.col("name").isNotNull() & (F.col("n") >= max(HOT_ROWS, total * HOT_SHARE))).toArrow()
+    return np.sort(hot.column("name").to_numpy().view(np.uint64))
+
+
+def _anchors(window: int, rounds: int, shared=None):
     """A mapper from ``id, text`` to one row for each chosen symbol, with its windows' hashes.
 
-    Windows that occurred before in their own document are settled here; they come as ranges, rows
-    with the negative length as ``offset``. So a document gives a symbol's task nothing twice.
+    Windows that occurred before in the same slice of texts are settled here; they come as ranges, rows
+    with the negative length as ``offset``, dealt by document. ``shared`` holds the hot symbols, whose
+    windows go each by its own key: so what many documents share is dealt over as many tasks as it has
+    different windows, and a window goes there once a slice.
     """
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = shared.value if shared is not None else np.zeros(0, np.uint64)
         for batch in found:
-            for row, data, offsets in text_slices(batch.column(1)):
-                begin, end, first = find_words(data, offsets)
-                hashes = span_hashes(data, begin, end)
-                starts, name, at = window_symbols(hashes, first, window, rounds)
-                if not len(starts):
-                    continue
-                own = (mix(span_hashes(hashes, starts, starts + window)) >> np.uint64(32)).astype(np.uint32)
-                rows = np.searchsorted(first, starts, side="right") - 1
-                key = mix(_window_keys(name, at - starts, own) + mix(rows))
-                again = np.ones(len(starts), bool)
-                again[np.unique(key, return_index=True)[1]] = False
-                ids = batch.column(0).slice(row, len(first) - 1)
+            for ids, first, starts, name, at, own, rows, key, again in _slices(batch, window, rounds):
                 if again.any():
                     where = np.flatnonzero(again)
                     cut = np.flatnonzero(np.concatenate([[True], (np.diff(starts[where]) != 1) | (np.diff(rows[where]) != 0)]))
@@ -192,14 +252,16 @@ def _anchors(window: int, rounds: int):
                     length = starts[where[np.concatenate([cut[1:], [len(where)]]) - 1]] - starts[low] + 1
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(key[low].view(np.int64)), ids.take(pa.array(rows[low])), pa.array(starts[low] - first[rows[low]]),
+                            pa.array(mix(key[low] + mix(rows[low])).view(np.int64)), ids.take(pa.array(rows[low])), pa.array(starts[low] - first[rows[low]]),
                             pa.array((-length).astype(np.int32)), pa.array([b""] * len(low), pa.binary()),
                         ],
                         names=["name", "id", "start", "offset", "hashes"],
                     )
-                    starts, name, at, own, rows = (x[~again] for x in (starts, name, at, own, rows))
-                new = np.concatenate([[True], (at[1:] != at[:-1]) | (name[1:] != name[:-1]) | (starts[1:] != starts[:-1] + 1)])
-                cut = np.flatnonzero(new)
+                    starts, name, at, own, rows, key = (x[~again] for x in (starts, name, at, own, rows, key))
+                if len(hot):
+                    spread = hot[np.minimum(np.searchsorted(hot, name), len(hot) - 1)] == name
+                    name, at = np.where(spread, key, name), np.where(spread, starts, at)
+                cut = _runs(starts, name, at)
                 sizes = np.concatenate([cut, [len(starts)]]).astype(np.int32) * 4
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -281,8 +343,9 @@ def _repeats(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
     """``id, low, high``: ranges of window starts whose words also start earlier."""
     kind = df.schema[id_col].dataType.simpleString()
+    hot = df.sparkSession.sparkContext.broadcast(hot_symbols(df, id_col, text_col, window, rounds))
     anchors = df.select(id_col, text_col).mapInArrow(
-        _anchors(window, rounds), f"name bigint, id {kind}, start bigint, offset int, hashes binary"
+        _anchors(window, rounds, hot), f"name bigint, id {kind}, start bigint, offset int, hashes binary"
     )
     dealt = anchors.repartition("name").sortWithinPartitions("name", "id", "start")
     return dealt.mapInArrow(_repeats, f"id {kind}, low bigint, high bigint")

@@ -1,8 +1,10 @@
 import hashlib
 import random
+import types
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import ROWS, docs, empty, odd, passage  # noqa: F401
 
@@ -94,6 +96,20 @@ def test_substrings_of_few_words(spark, seed):
     assert by_id(out, "n_words", "n_removed", "kept") == brute.substrings(rows, 8)
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_shared_passages_meet_once_a_slice(spark, kind):
+    """Whatever the order of the ids, no task gets a row for each document of a passage that all share."""
+    rng = random.Random(4)
+    rows = [(f"{i:03d}" if kind == "string" else i, f"{passage(300 * i, rng.randint(0, 9))} {passage(0, 30)} {passage(300 * i + 50, 9)}") for i in range(1, 200)]
+    shuffled = rng.sample(rows, len(rows))
+    frame = spark.createDataFrame(shuffled, f"doc_id {kind}, text string")
+    assert by_id(substring_dedup.dedup_substrings(frame, kept="sha256"), "n_words", "n_removed", "kept") == brute.substrings(rows)
+    shared = types.SimpleNamespace(value=substring_dedup.hot_symbols(frame.coalesce(1), "doc_id", "text"))
+    batch = pa.RecordBatch.from_arrays([pa.array([c[k] for c in shuffled]) for k in (0, 1)], names=["id", "text"])
+    largest = [pa.Table.from_batches(substring_dedup._anchors(20, 2, hot)([batch])).to_pandas().groupby("name").size().max() for hot in (None, shared)]
+    assert largest[0] > 64 > largest[1]
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(5)
     rows = []
