@@ -2,7 +2,8 @@
 
 Seeds are the shared runs of ``MIN_MATCH`` words (lower-case A-Z). Each document emits only seeds
 that a fixed-size bitmap of the benchmark's seeds lets through; the others cannot match. A join on
-the seed itself finds the pairs of document and item. For each pair, greedy string tiling marks the
+the seed itself finds the pairs of document and item: those that share one of the item's rarer
+seeds, without which the coverage is out of reach. For each pair, greedy string tiling marks the
 longest common runs of words first, never the same word twice, found by running Karp-Rabin over the
 seeded parts of the document. An item counts as leaked when its tiles cover at least
 ``MIN_COVERAGE`` of its words, in whatever order they stand.
@@ -15,6 +16,9 @@ then document order; empty tables give an empty result. Only the named columns a
 
 from __future__ import annotations
 
+import heapq
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,35 +108,81 @@ def greedy_tiles(item: list[str], doc: list[str | None], min_match: int) -> list
         table: dict[int, list[int]] = {}
         for i, value in windows(a, free_item, size):
             table.setdefault(value, []).append(i)
-        longest, matches = size, {}
+        matches = []
         for j, value in windows(b, free_doc, size):
             for i in table.get(value, ()):
+                if i and j and a[i - 1] == b[j - 1] and free_item[i - 1] and free_doc[j - 1]:
+                    continue  # the match began earlier
                 n = 0
                 while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and free_item[i + n] and free_doc[j + n]:
                     n += 1
-                if n < size:
-                    continue  # the hashes agree, the words do not
-                longest = max(longest, n)
-                kept = matches.setdefault(n, {})
-                kept.setdefault(i, j)  # of equal matches of one item run, the first in the document
-        if longest > 2 * size:
-            size = longest
-            continue
-        again = False
-        for n in sorted(matches, reverse=True):
-            for i, j in sorted(matches[n].items()):
-                if all(free_item[i : i + n]) and all(free_doc[j : j + n]):
-                    free_item[i : i + n] = free_doc[j : j + n] = [False] * n
-                    tiles.append((i, j, n))
-                else:
-                    again = True
-        if again:
-            continue  # parts of what was covered may still match at this size
+                if n >= size:  # else the hashes agree, the words do not
+                    matches.append((-n, i, j))
+        heapq.heapify(matches)
+        while matches:
+            n, i, j = heapq.heappop(matches)
+            # What longer tiles left of the match; it waits again if it has become shorter.
+            free = [free_item[i + k] and free_doc[j + k] for k in range(-n)]
+            if all(free):
+                free_item[i : i - n] = free_doc[j : j - n] = [False] * -n
+                tiles.append((i, j, -n))
+                continue
+            at = 0
+            for is_free, run in itertools.groupby(free):
+                length = len(list(run))
+                if is_free and length >= size:
+                    heapq.heappush(matches, (-length, i + at, j + at))
+                at += length
         if size == min_match:
             return sorted(tiles)
         size = size // 2 if size > 2 * min_match else min_match
 
 
+def words_needed(n_words: int, min_coverage: float) -> int:
+    """The fewest covered words that reach the coverage."""
+    need = math.ceil(min_coverage * n_words)
+    while need / n_words < min_coverage:
+        need += 1
+    while need > 0 and (need - 1) / n_words >= min_coverage:
+        need -= 1
+    return need
+
+
+def probe_seeds(n_words: int, size: int, seeds: list[tuple[int, str, list[int]]], min_coverage: float) -> list[str]:
+    """The seeds of an item of which a document with enough coverage has at least one.
+
+    ``seeds``: how often each occurs in the documents, and its places in the item. The most frequent
+    ones are left out as long as their places cover too few words: a tile consists of seeds, so a
+    document with only these cannot reach the coverage.
+    """
+    need, covered, probes = words_needed(n_words, min_coverage), set(), []
+    for _, seed, places in sorted(seeds, key=lambda s: (-s[0], s[1])):
+        more = {p + k for p in places for k in range(size)} - covered
+        if len(covered) + len(more) < need:
+            covered |= more
+        else:
+            probes.append(seed)
+    return probes
+
+
+def _probed(min_coverage: float):
+    """A mapper from ``item, n_words, size, seeds`` to ``item, size, seed`` of the probe seeds."""
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            chosen = [
+                probe_seeds(n.as_py(), size.as_py(), [(s["n"], s["seed"], s["places"]) for s in seeds.as_py()], min_coverage)
+                for n, size, seeds in zip(*batch.columns[1:])
+            ]
+            rows = pa.array(np.repeat(np.arange(len(chosen)), [len(c) for c in chosen]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(2).take(rows), pa.array([s for c in chosen for s in c], pa.string())],
+                names=["item", "size", "seed"],
+            )
+
+    return batches
+
+
 def _tiled(min_match: int):
     """A mapper from pairs with their seeds to pairs with their tiles."""
 
@@ -187,18 +237,36 @@ def contaminated_pairs(
     sizes = sorted(r[0] for r in texts.select(lengths.alias("n")).distinct().collect())
     schema = "id {}, pos bigint, size int, seed string, bit bigint"
     texts.select("item", "words").mapInArrow(_seeds(sizes, None, min_match), schema.format(item_kind)).select(
-        F.col("id").alias("item"), "size", "seed", "bit"
-    ).distinct().write.parquet(f"{base}/seeds")
-    seeds = spark.read.schema(f"item {item_kind}, size int, seed string, bit bigint").parquet(f"{base}/seeds")
+        F.col("id").alias("item"), "pos", "size", "seed", "bit"
+    ).write.parquet(f"{base}/seeds")
+    seeds = spark.read.schema(f"item {item_kind}, pos bigint, size int, seed string, bit bigint").parquet(f"{base}/seeds")
     blocks = seeds.groupBy(F.shiftright("bit", 6).alias("block")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")
     ).toArrow()
     bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
     bitmap[blocks.column(0).to_numpy()] = blocks.column(1).to_numpy().view(np.uint64)
-    hits = docs.select(id_col, text_col).mapInArrow(_seeds(sizes, bitmap), schema.format(doc_kind))
+    docs.select(id_col, text_col).mapInArrow(_seeds(sizes, bitmap), schema.format(doc_kind)).select(
+        F.col("id").alias("doc"), "pos", "size", "seed"
+    ).write.parquet(f"{base}/hits")
+    hits = spark.read.schema(f"doc {doc_kind}, pos bigint, size int, seed string").parquet(f"{base}/hits")
+
+    # Pairs come from each item's rare seeds only, so a phrase of many items and documents makes none by itself.
+    frequency = hits.groupBy("size", "seed").agg(F.count("*").alias("n"))
+    rare = (
+        seeds.groupBy("item", "size", "seed").agg(F.collect_set("pos").alias("places"))
+        .join(frequency, ["size", "seed"], "left")
+        .groupBy("item", "size").agg(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "seed", "places")).alias("seeds"))
+        .join(texts, "item").select("item", F.size(F.split("words", " ")).alias("n_words"), "size", "seeds")
+        .mapInArrow(_probed(min_coverage), f"item {item_kind}, size int, seed string")
+    )
+    hits.join(rare, ["size", "seed"]).select("doc", "item").distinct().write.parquet(f"{base}/candidates")
+    candidates = spark.read.schema(f"doc {doc_kind}, item {item_kind}").parquet(f"{base}/candidates")
+    asked = candidates.join(seeds.select("item", "size", "seed").distinct(), "item").alias("asked")
+    own = hits.alias("own")
+    same = F.col("asked.doc").eqNullSafe(F.col("own.doc"))
     pairs = (
-        hits.select(F.col("id").alias("doc"), "pos", "size", "seed").join(seeds.select("item", "size", "seed"), ["size", "seed"])
-        .groupBy("doc", "item").agg(F.collect_set(F.struct("pos", "seed")).alias("hits"))
+        asked.join(own, same & (F.col("asked.size") == F.col("own.size")) & (F.col("asked.seed") == F.col("own.seed")))
+        .groupBy("asked.doc", "item").agg(F.collect_set(F.struct("own.pos", "own.seed")).alias("hits"))
         .join(texts, "item").select("doc", "item", "words", "hits")
     )
     tiled = pairs.mapInArrow(

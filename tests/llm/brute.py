@@ -128,3 +128,37 @@ def base_scores(rows):
     return {
         i: (len(ws), sum(count[w] > 0 for w in ws), total, sum(np.log10((count[w] + 0.5) / den) for w in ws)) for i, ws in tokens.items()
     }
+
+
+def tiling(item, doc, min_match):
+    """Covered words of an item: the longest common run of free words is marked again and again."""
+    free_item, free_doc = [True] * len(item), [True] * len(doc)
+    covered = 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(item)):
+            for j in range(len(doc)):
+                n = 0
+                while i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n] and free_item[i + n] and free_doc[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < min_match or not n:
+            return covered
+        free_item[i : i + n] = free_doc[j : j + n] = [False] * n
+        covered += n
+
+
+def contaminated(docs, items, min_match=5, min_coverage=0.8):
+    """{(doc, item): covered words} of the pairs that reach the coverage."""
+    out = {}
+    for item_id, item in items:
+        w = words(item, lower=True)
+        for doc_id, doc in docs:
+            own = words(doc, lower=True)
+            if w and set(w) & set(own):
+                n = tiling(w, own, min(min_match, len(w)))
+                if n / len(w) >= min_coverage:
+                    out[doc_id, item_id] = n
+    return out

@@ -186,6 +186,38 @@ def test_decontamination_catches_reordered_passages(spark):
     assert got == {(1, 1): 30, (2, 1): 30, (None, 1): 30, (7, 4): 2}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_tiles_equal_plain_greedy_tiling(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        item, doc = ([rng.choice("abcd"[: 2 + seed]) for _ in range(rng.randint(1, 40))] for _ in range(2))
+        size = min(rng.randint(1, 6), len(item))
+        tiles = decontaminate.greedy_tiles(item, doc, size)
+        assert all(item[i : i + n] == doc[j : j + n] and n >= size for i, j, n in tiles)
+        assert sum(n for _, _, n in tiles) == brute.tiling(item, doc, size), (item, doc, size)
+
+
+def test_decontamination_equals_brute_force(spark):
+    """Items and documents of a few shared phrases, which no pair may be lost or found by."""
+    rng = random.Random(8)
+    phrases = [passage(20 * i, rng.randint(3, 12)) for i in range(12)]
+    make = lambda n: " ".join(rng.choice(phrases) for _ in range(rng.randint(1, n)))
+    items, docs = [(i, make(5)) for i in range(25)], [(i, make(9)) for i in range(60)]
+    items += [(100, passage(0, 4)), (101, "A single"), (102, None)]
+    docs += [(200, items[3][1].upper() + " a  SINGLE"), (201, None), (202, "")]
+    out = decontaminate.contaminated_pairs(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    )
+    want = brute.contaminated(docs, items)
+    assert {(r["doc_id"], r["item_id"]): r["n_covered"] for r in out.collect()} == want and 40 < len(want) < 1500
+
+
+def test_probe_seeds_leave_out_frequent_seeds_only_as_far_as_sound():
+    seeds = [(100 - p, f"s{p}", [p]) for p in range(16)]  # 20 words, places 0 to 15, 16 words needed
+    assert decontaminate.probe_seeds(20, 5, seeds, 0.8) == ["s11", "s12", "s13", "s14", "s15"]
+    assert decontaminate.probe_seeds(3, 3, [(9, "s", [0])], 0.8) == ["s"]
+
+
 def test_language_id_edge_cases(docs):
     net = language_id.fit(docs, "doc_id", "text", "lang")
     got = by_id(language_id.predict(docs, net), "lang_pred", "score")
