@@ -157,8 +157,39 @@ def contaminated(docs, items, min_match=5, min_coverage=0.8):
         w = words(item, lower=True)
         for doc_id, doc in docs:
             own = words(doc, lower=True)
-            if w and set(w) & set(own):
-                n = tiling(w, own, min(min_match, len(w)))
+            size = min(min_match, len(w))
+            runs = {tuple(x[p : p + size]) for x in (w,) for p in range(len(x) - size + 1)}
+            if w and any(tuple(own[p : p + size]) in runs for p in range(len(own) - size + 1)):
+                n = tiling(w, own, size)
                 if n / len(w) >= min_coverage:
                     out[doc_id, item_id] = n
     return out
+
+
+def languages(net, texts, window=256):
+    """(label, mean probability) of each text by the network, one window of bytes at a time."""
+    import regex
+
+    from barframe.llm.words import lower_latin
+
+    for text in texts:
+        if text is None or not regex.search(r"\p{L}", text):
+            yield None, 0.0
+            continue
+        data = lower_latin(np.frombuffer(text.encode(), np.uint8)).astype(np.int64)
+        total = np.zeros(len(net.labels))
+        for a in range(0, len(data), window):
+            part = data[a : a + window]
+            total += net.forward(np.pad(part, (0, window - len(part)), constant_values=256)[None])[0][0] * len(part)
+        yield net.labels[int(total.argmax())], float(total.max() / len(data))
+
+
+def pipeline(rows, items, net, model, min_score, min_sites):
+    """rows: (id, text, site) with distinct ids -> {id: (text, n_tokens, sha256 of the ids)} of what all five stages keep."""
+    rows = [r for r, (label, p) in zip(rows, languages(net, [r[1] for r in rows])) if label is not None and p >= min_score]
+    rows = [(i, text) for i, text, _, _ in line_dedup(sorted(rows), min_sites)]
+    classes = simhash(rows)
+    rows = [(i, text) for i, text in rows if classes[i][1] == i]
+    leaked = {i for i, _ in contaminated(rows, items)}
+    rows = [(i, text) for i, text in rows if i not in leaked]
+    return {i: (text, len(ids), digest) for (i, text), (ids, digest, _) in zip(rows, pieces([t for _, t in rows], model))}
