@@ -5,6 +5,9 @@ neighbours of neighbours are joined again and again, and every node keeps its ne
 ``neighbours``. Recall is audited against brute force over all rows for a bounded set of nodes and
 rounds go on until it is reached. A node whose list is full of links (saturated) gets a larger
 list: it is compared with every node of its component, in blocks, so all its links are counted.
+Links between saturated nodes of different components are searched with lists that leave out the
+own component, and components so linked become one, until nothing is found; the audit of saturated
+nodes asks whether all their links lie within their component.
 Links are pairs with a cosine of at least ``min_cosine``, in double precision.
 
 A bucket is cut into parts of at most ``PART`` nodes for the first graph only; what such a cut
@@ -53,19 +56,21 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _nearest(sims: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of the ``k`` highest of each row, without the node itself; ties to the smaller id."""
+def _nearest(sims: np.ndarray, ids: np.ndarray, k: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the ``k`` highest of each row, without those of the same ``own``; ties to the smaller id."""
     sims = sims.copy()
-    sims[ids[:, None] == ids[None, :]] = -2
+    sims[own[:, None] == own[None, :]] = -2
     k = min(k, len(ids) - 1)
     if k < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     best = np.lexsort((np.broadcast_to(ids, sims.shape), -sims), axis=1)[:, :k] if len(ids) <= 64 else np.argpartition(-sims, k - 1, axis=1)[:, :k]
-    return np.repeat(np.arange(len(ids)), k), best.ravel()
+    a, b = np.repeat(np.arange(len(ids)), k), best.ravel()
+    others = sims[a, b] > -2
+    return a[others], b[others]
 
 
 def bucket_graph(nodes: DataFrame, count: int, dim: int, k: int, tables: int = TABLES, part: int = PART, seed: int = 11) -> DataFrame:
-    """``src, dst, sim``: each node's nearest within its hyperplane buckets."""
+    """``src, dst, sim``: each node's nearest within its hyperplane buckets, of other values of ``own`` only."""
     bits = max(int(np.ceil(np.log2(max(count, 1) / (part / 4)))), 0)
     planes = np.random.default_rng(seed).standard_normal((tables, min(bits, 48), dim))
 
@@ -74,10 +79,10 @@ def bucket_graph(nodes: DataFrame, count: int, dim: int, k: int, tables: int = T
             unit = _matrix(rows["vec"])
             for t in range(tables):
                 key = ((unit @ planes[t].T > 0) @ (1 << np.arange(planes.shape[1], dtype=np.int64))).astype(np.int64)
-                yield pd.DataFrame({"node": rows["node"], "table": t, "key": key, "vec": rows["vec"]})
+                yield pd.DataFrame({"node": rows["node"], "own": rows["own"], "table": t, "key": key, "vec": rows["vec"]})
 
     kind = nodes.schema["vec"].dataType.simpleString()
-    keyed = nodes.mapInPandas(signs, f"node bigint, table int, key bigint, vec {kind}")
+    keyed = nodes.mapInPandas(signs, f"node bigint, own bigint, table int, key bigint, vec {kind}")
     # Large buckets are cut by a hash, a new one in each table.
     sizes = keyed.groupBy("table", "key").count().where(F.col("count") > part)
     parted = keyed.join(sizes, ["table", "key"], "left").withColumn(
@@ -87,7 +92,7 @@ def bucket_graph(nodes: DataFrame, count: int, dim: int, k: int, tables: int = T
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
         ids, unit = rows["node"].to_numpy(), _unit(rows["vec"])
         sims = unit @ unit.T
-        a, b = _nearest(sims, ids, k)
+        a, b = _nearest(sims, ids, k, rows["own"].to_numpy())
         return pd.DataFrame({"src": ids[a], "dst": ids[b], "sim": sims[a, b]})
 
     return parted.groupBy("table", "key", "part").applyInPandas(compared, "src bigint, dst bigint, sim double")
@@ -114,7 +119,7 @@ def descend(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
         ids, unit = rows["node"].to_numpy(), _unit(rows["vec"])
         sims = unit @ unit.T
-        a, b = _nearest(sims, ids, k)
+        a, b = _nearest(sims, ids, k, rows["own"].to_numpy())
         better = sims[a, b] > rows["worst"].fillna(-2).to_numpy()[a]
         return pd.DataFrame({"src": ids[a[better]], "dst": ids[b[better]], "sim": sims[a[better], b[better]]})
 
@@ -122,8 +127,10 @@ def descend(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     return _top(graph.select("src", "dst", "sim").union(found), k)
 
 
-def recall(links: DataFrame, asked: DataFrame, nodes: DataFrame, min_cosine: float, sample: int = AUDIT_NODES) -> float:
-    """Share of the true links of asked nodes that ``links`` holds, by brute force over all nodes.
+def recall(
+    links: DataFrame, asked: DataFrame, nodes: DataFrame, min_cosine: float, sample: int = AUDIT_NODES, reach: DataFrame | None = None,
+) -> float:
+    """Share of the true links of asked nodes that ``links`` holds, or a component of ``reach``, by brute force over all nodes.
 
     Asked are ``sample`` nodes by a hash, and ``sample`` of those with links, which tell more.
     """
@@ -143,7 +150,12 @@ def recall(links: DataFrame, asked: DataFrame, nodes: DataFrame, min_cosine: flo
                 yield pd.DataFrame({"src": ids[a[keep]], "dst": other[b[keep]]})
 
     truth = nodes.mapInPandas(compared, "src bigint, dst bigint")
-    total, hits = truth.join(links.withColumn("hit", F.lit(1)), ["src", "dst"], "left").agg(F.count("*"), F.count("hit")).first()
+    met = truth.join(links.withColumn("hit", F.lit(1)), ["src", "dst"], "left")
+    if reach is not None:
+        for end in ("src", "dst"):
+            met = met.join(reach.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+        met = met.withColumn("hit", F.when(F.col("of_src") == F.col("of_dst"), 1).otherwise(F.col("hit")))
+    total, hits = met.agg(F.count("*"), F.count("hit")).first()
     return hits / total if total else 1.0
 
 
@@ -160,14 +172,63 @@ def neighbour_graph(nodes: DataFrame, count: int, dim: int, min_cosine: float, k
     return graph, links, full
 
 
-def enlarged(graph: DataFrame, full: DataFrame, nodes: DataFrame, min_cosine: float) -> tuple[DataFrame, DataFrame]:
+def reached(
+    graph: DataFrame, links: DataFrame, full: DataFrame, nodes: DataFrame, dim: int, min_cosine: float, k: int,
+) -> DataFrame:
+    """``node, component``: parts of the graph that hold all links of the saturated nodes.
+
+    At first a component has the nodes that neighbours at up to twice the angle of a link connect. A
+    saturated node's list may end within its own dense group, so these nodes are searched again, in new
+    buckets, for the nearest of other components; linked components become one. Links with a node that is
+    not saturated are in that node's list.
+    """
+    reach = _written(connected_components(graph.where(F.col("sim") >= 2 * min_cosine**2 - 1).select("src", "dst")), "nn-reach")
+    dense = full.join(nodes, "node")
+    seed, idle = 11, 0
+    while True:
+        apart = _written(dense.join(reach, "node").withColumnRenamed("component", "own").select("node", "own", "vec"), "nn-dense")
+        count, parts = apart.agg(F.count("*"), F.count_distinct("own")).first()
+        if parts < 2:
+            break
+        seed += 1
+        across = _written(_top(bucket_graph(apart, count, dim, k, seed=seed), k), "nn-across")
+        across = _written(descend(across, apart, k).where(F.col("sim") >= min_cosine), "nn-across")
+        label = lambda end: reach.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        pairs = _written(
+            across.join(label("src"), "src").join(label("dst"), "dst").select(F.col("of_src").alias("src"), F.col("of_dst").alias("dst")).distinct(),
+            "nn-merged",
+        )
+        if not pairs.isEmpty():
+            roots = connected_components(pairs).select(F.col("node").alias("component"), F.col("component").alias("root"))
+            reach = _written(reach.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component")), "nn-reach")
+            idle = 0
+            continue
+        share = recall(links, dense, nodes, min_cosine, reach=reach)
+        if share >= MIN_RECALL:
+            break
+        idle += 1
+        if idle == MAX_ROUNDS:
+            raise RuntimeError(f"saturated nodes: {share:.4f} of the audited links found, {MIN_RECALL} wanted")
+    return reach
+
+
+def _block_roots(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows ``a`` and columns ``b`` the smallest node that links within the block connect them with."""
+    top = np.iinfo(np.int64).max
+    while True:
+        to_b = np.minimum(b, np.where(near, a[:, None], top).min(axis=0))
+        to_a = np.minimum(a, np.where(near, to_b[None, :], top).min(axis=1))
+        if (to_a == a).all() and (to_b == b).all():
+            return a, b
+        a, b = to_a, to_b
+
+
+def enlarged(reach: DataFrame, full: DataFrame, nodes: DataFrame, min_cosine: float) -> tuple[DataFrame, DataFrame]:
     """``node, links`` (vectors linked, by copies) of the saturated nodes, and enough of their links to connect them.
 
-    A saturated node is compared with all nodes that the graph connects to it by neighbours at up to
-    twice the angle of a link, block by block; a block pair returns sums, not pairs.
+    A saturated node is compared with all nodes of its component in ``reach``, block by block; a block
+    pair returns sums, not pairs.
     """
-    wide = graph.where(F.col("sim") >= 2 * min_cosine**2 - 1).select("src", "dst")
-    reach = connected_components(wide)
     asked = reach.join(full.withColumn("asked", F.lit(True)), "node", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
     sizes = asked.groupBy("component").agg(F.count("*").alias("n"), F.max("asked").alias("any")).where("any").select(
         "component", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
@@ -184,8 +245,7 @@ def enlarged(graph: DataFrame, full: DataFrame, nodes: DataFrame, min_cosine: fl
         ids, other = a["node"].to_numpy(), b["node"].to_numpy()
         near = (_unit(a["vec"]) @ _unit(b["vec"]).T >= min_cosine) & (ids[:, None] != other[None, :])
         sums = near @ b["copies"].to_numpy()
-        first = other[near.argmax(axis=1)]
-        back = ids[near.argmax(axis=0)]
+        first, back = _block_roots(near, ids, other)
         hit, struck = near.any(axis=1), near.any(axis=0)
         return pd.DataFrame({
             "node": np.concatenate([ids[hit], other[struck]]), "links": np.concatenate([sums[hit], np.zeros(struck.sum(), sums.dtype)]),
@@ -211,11 +271,13 @@ def near_vectors(
     counts, edges = [], []
     for dim, count in sorted(tuple(r) for r in groups.groupBy("dim").count().collect()):
         nodes = groups.where(F.col("dim") == dim).select("node", "vec", "copies")
-        graph, links, full = neighbour_graph(nodes.select("node", "vec"), count, dim, min_cosine, k)
+        single = nodes.select("node", F.col("node").alias("own"), "vec")
+        graph, links, full = neighbour_graph(single, count, dim, min_cosine, k)
         few = links.join(full, links["src"] == full["node"], "left_anti").join(
             nodes.select(F.col("node").alias("dst"), "copies"), "dst"
         ).groupBy(F.col("src").alias("node")).agg(F.sum("copies").alias("links"))
-        many, more = enlarged(graph, full, nodes, min_cosine)
+        reach = reached(graph, links, full, single.select("node", "vec"), dim, min_cosine, k)
+        many, more = enlarged(reach, full, nodes, min_cosine)
         counts.append(few.unionByName(many))
         edges.append(links.unionByName(more))
     if not counts:

@@ -124,6 +124,25 @@ def test_vectors(spark):
     assert got == {i: (n, c, i == c) for i, (n, c) in want.items()}
 
 
+def test_vectors_of_dense_groups_that_link_with_each_other(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for family in rng.standard_normal((5, 24)):
+        for group in family + 0.15 * rng.standard_normal((6, 24)):
+            rows += [[float(x) for x in v] for v in group + 0.005 * rng.standard_normal((16, 24))]
+    rows = list(enumerate(rows))
+    out = vector_dedup.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    want = brute.vectors(rows)
+    assert max(n for n, _ in want.values()) > 60  # links beyond the own group of 16
+    assert by_id(out, "n_links", "component_id", "kept", key="vec_id") == {i: (n, c, i == c) for i, (n, c) in want.items()}
+
+
+def test_links_of_a_block_stay_connected():
+    near = np.array([[False, True], [True, True]])
+    rows, columns = vector_dedup._block_roots(near, np.array([1, 2]), np.array([3, 4]))
+    assert rows.tolist() == [1, 1] and columns.tolist() == [1, 1]
+
+
 def test_sharding_moves_records_into_the_new_shard_only(docs):
     rows = sharding.assign_shards(docs, "doc_id", "text", [1.0] * 5).collect()
     grown = {r["doc_id"]: r["shard"] for r in sharding.assign_shards(docs, "doc_id", "text", [1.0] * 6).collect()}
