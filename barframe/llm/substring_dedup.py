@@ -13,7 +13,7 @@ offsets. Occurrences of one symbol meet by one shuffle, each with the hashes of
 all but the first of equal windows are marked. Repeats within a few megabytes of texts are settled
 before the shuffle. Symbols that hold a large share of all rows are counted first; their windows
 meet by their own keys, so no task gets a passage of many documents whole; words that marked windows cover are removed.
-Equality rests on the symbol's 64-bit name and 32 further bits for each window.
+Equality rests on the symbol's 64-bit name and a 64-bit hash of each window's words; the words are not compared.
 
 Edge cases: NULL and blank texts have no words; texts shorter than the window lose nothing;
 windows are judged on the input, not on what is left; of equal rows with one id, each is the first
@@ -49,7 +49,7 @@ def _salt(i: int) -> np.uint64:
 
 def _window_keys(name: np.ndarray, before: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """A window is known by its symbol's name, the words before the symbol, and its own hash."""
-    return mix(name ^ mix((hashes.astype(np.uint64) << np.uint64(16)) + before.astype(np.uint64)))
+    return mix(name ^ mix(hashes + _PAIR * before.astype(np.uint64)))
 
 
 class Symbols:
@@ -187,7 +187,7 @@ def _slices(batch: pa.RecordBatch, window: int, rounds: int) -> Iterator[tuple]:
         starts, name, at = window_symbols(hashes, first, window, rounds)
         if not len(starts):
             continue
-        own = (mix(span_hashes(hashes, starts, starts + window)) >> np.uint64(32)).astype(np.uint32)
+        own = span_hashes(hashes, starts, starts + window)
         rows = np.searchsorted(first, starts, side="right") - 1
         ids = batch.column(0).slice(row, len(first) - 1)
         rank = _ranked(ids)
@@ -262,7 +262,7 @@ def _anchors(window: int, rounds: int, shared=None):
                     spread = hot[np.minimum(np.searchsorted(hot, name), len(hot) - 1)] == name
                     name, at = np.where(spread, key, name), np.where(spread, starts, at)
                 cut = _runs(starts, name, at)
-                sizes = np.concatenate([cut, [len(starts)]]).astype(np.int32) * 4
+                sizes = np.concatenate([cut, [len(starts)]]).astype(np.int32) * 8
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(name[cut].view(np.int64)), ids.take(pa.array(rows[cut])), pa.array(starts[cut] - first[rows[cut]]),
@@ -297,8 +297,8 @@ def _repeats(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, offset = batch.column(2).to_numpy(), batch.column(3).to_numpy()
         binary = batch.column(4)
         bounds = np.frombuffer(binary.buffers()[1], np.int32)[binary.offset : binary.offset + len(binary) + 1]
-        hashes = np.frombuffer(binary.buffers()[2], np.uint32, count=bounds[-1] // 4)[bounds[0] // 4 :]
-        sizes = np.diff(bounds) // 4
+        hashes = np.frombuffer(binary.buffers()[2], np.uint64, count=bounds[-1] // 8)[bounds[0] // 8 :]
+        sizes = np.diff(bounds) // 8
         row = np.repeat(np.arange(len(name)), sizes)
         step = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         key = _window_keys(name.view(np.uint64)[row], offset[row] - step, hashes)

@@ -110,6 +110,26 @@ def test_shared_passages_meet_once_a_slice(spark, kind):
     assert largest[0] > 64 > largest[1]
 
 
+def test_windows_are_told_apart_by_all_64_bits(monkeypatch):
+    def unmix(x):
+        for shift, factor in ((31, 0x94D049BB133111EB), (27, 0xBF58476D1CE4E5B9), (30, 1)):
+            x = (x ^ (x >> np.uint64(shift)) ^ (x >> np.uint64(2 * shift))) * np.uint64(pow(factor, -1, 1 << 64))
+        return x
+
+    whole = substring_dedup.span_hashes
+
+    def alike(values, starts, ends):
+        """Hashes of windows that differ in half of their bits only, also after mixing."""
+        out = whole(values, starts, ends)
+        return out if values.dtype == np.uint8 else unmix(out >> np.uint64(32) | np.uint64(7 << 32))
+
+    monkeypatch.setattr(substring_dedup, "span_hashes", alike)
+    texts = [" ".join([*(f"a{i}b{j}" for j in range(15)), passage(0, 9), *(f"c{i}d{j}" for j in range(15))]) for i in range(50)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(50)), "text": texts})
+    ((_, _, starts, name, at, _, _, _, again),) = substring_dedup._slices(batch, 20, 2)
+    assert len(set(zip(name.tolist(), (at - starts).tolist()))) < len(starts) and not again.any()
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(5)
     rows = []
