@@ -8,9 +8,9 @@ and adds their weights. The root gives every word its add-one-half probability,
 ``(c + 0.5) / (N + 0.5 (V + 1))``, which is also the base model.
 
 Every pair and triple of the training texts is a candidate, whatever its words. An n-gram becomes an
-arc when it occurs at least ``max(MIN_COUNT, MIN_SHARE * N)`` times among ``N`` tokens, the same
-relative cutoff at every size; so there are at most ``1 / MIN_SHARE`` arcs of an order, which bounds
-what goes to every task. An n-gram is counted only if its shorter parts reach the cutoff, without
+arc when it occurs at least ``MIN_COUNT`` times, whatever the size of the corpus; so the automaton,
+which goes to the driver and every task, grows with the corpus. An n-gram is counted only if its
+shorter parts reach the cutoff, without
 which it cannot. Unigrams have no cutoff: the counts of the most frequent words, ``DICTIONARY`` and
 those above the cutoff, go to the tasks, and every other word is looked up by a join with the table
 of all counts.
@@ -38,7 +38,6 @@ from barframe.plans.workspace import scratch_path
 
 DICTIONARY = 1 << 18
 MIN_COUNT = 2
-MIN_SHARE = 2.5e-7
 DISCOUNT = 0.75
 #: Lanes of the traversal hold so many tokens; a lane begins with the state that its text has there.
 LANE = 512
@@ -331,19 +330,18 @@ def train(df: DataFrame, text_col: str, learn: Column) -> Model:
     total, kinds, ends = counts.agg(
         F.sum("n"), F.count("*"), F.sum(F.when(F.col("word") == int(END.view(np.int64)), F.col("n")))
     ).first()
-    cutoff = max(MIN_COUNT, int(np.ceil((total or 0) * MIN_SHARE)))
     # The lowest count that still fits: words by count, a table with as many rows as there are different counts.
     shape = counts.groupBy(F.least("n", F.lit(DICTIONARY)).alias("n")).agg(F.count("*").alias("words")).toArrow()
     order = np.argsort(-shape.column(0).to_numpy())
     fits = np.cumsum(shape.column(1).to_numpy()[order]) <= DICTIONARY
     lowest = int(shape.column(0).to_numpy()[order][fits].min()) if fits.any() else 1 << 62
-    known = counts.where(F.col("n") >= min(lowest, cutoff)).toArrow()
+    known = counts.where(F.col("n") >= min(lowest, MIN_COUNT)).toArrow()
     dictionary = Dictionary.of(known.column(0).to_numpy().view(np.uint64), known.column(1).to_numpy())
-    frequent = int((dictionary.counts >= cutoff).sum())
+    frequent = int((dictionary.counts >= MIN_COUNT).sum())
 
     def kept(pairs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         shared = spark.sparkContext.broadcast((dictionary.parts(), frequent, pairs))
-        found = ngram_counts(texts, shared).where(F.col("n") >= cutoff).toArrow()
+        found = ngram_counts(texts, shared).where(F.col("n") >= MIN_COUNT).toArrow()
         keys, n = found.column(0).to_numpy(), found.column(1).to_numpy()
         order = np.argsort(keys)
         return keys[order], n[order]

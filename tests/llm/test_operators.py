@@ -344,6 +344,15 @@ def test_lm_scores_equal_a_plain_backoff_model(spark):
         assert abs(got[i] - want) < 1e-6 * max(1, abs(want)), i
 
 
+def test_lm_keeps_a_twice_seen_phrase_in_a_large_corpus(spark):
+    rows = [(i, "filler " * 2_200_000) for i in range(4)] + [(4, "rare phrase"), (5, "rare phrase"), (6, "rare phrase")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = lm_scoring.train(df, "text", F.col("doc_id") < 6)
+    assert model.total > 8_000_000
+    got = lm_scoring.score(df.where("doc_id = 6"), model, "text", {"doc_id": F.col("doc_id")}).first()
+    assert got["score"] > got["base_score"] + 5
+
+
 def test_empty_tables_and_odd_ids(spark, empty, odd):
     assert piece_codec.encode_digests(empty, model_path()).count() == 0
     assert line_dedup.dedup_lines(empty).count() == 0 and line_dedup.dedup_lines(odd, min_sites=2).count() == odd.count()
