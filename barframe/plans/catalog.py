@@ -1072,8 +1072,8 @@ def q_copies_to_yearly(spark, sf):
 
 @register("stream_yearly", _sql_yearly("lineitem"))
 def q_stream_yearly(spark, sf):
-    """The small plan under Structured Streaming: line-JSON landing → file stream → clean → enrich →
-    stateful yearly means (complete mode, foreachBatch sink), run with an availableNow trigger."""
+    """The small plan under Structured Streaming: line-JSON landing → file stream → clean → enrich,
+    run with an availableNow trigger; the yearly means are a batch aggregation of the whole clean table."""
     base = scratch_path(spark, "stream")
     write_line_json(bars_lineitem(spark, sf), f"{base}/landing", partition_by=["ticker"])
     return run_available(spark, f"{base}/landing", f"{base}/out")
