@@ -13,9 +13,12 @@ from barframe.llm import (
     language_id,
     line_dedup,
     lm_scoring,
+    packing,
     piece_codec,
+    prefix_trie,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
     vector_dedup,
     warc,
@@ -24,15 +27,16 @@ from barframe.llm.words import BATCH_ROWS
 from barframe.plans.workspace import scratch_path
 
 SHARDS = 24
+HEAD_TURNS = 4
 
 
-def model_path() -> str:
-    """The tokenizer's model file; ``PIECE_MODEL`` overrides the installed one."""
-    if "PIECE_MODEL" in os.environ:
-        return os.environ["PIECE_MODEL"]
+def model_path(name: str = "piece_bpe_32k.model", variable: str = "PIECE_MODEL") -> str:
+    """A tokenizer's file; an environment variable overrides the installed one."""
+    if variable in os.environ:
+        return os.environ[variable]
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,11 +109,29 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(docs, model, "text", {"doc_id": F.col("doc_id"), "held_out": held_out})
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(_table(spark, sf_dir, "documents"), "doc_id", "text", drop=True)
+    return spelling.spelling_forms(words)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_digests(_table(spark, sf_dir, "conversations"))
+    rebuilt = prefix_trie.splice_heads(turns, F.col("conv_id") - F.col("conv_id") % 20, _fold("conv_id", HEAD_TURNS), HEAD_TURNS)
+    return prefix_trie.prefix_trie(rebuilt, turns.select("conv_id").distinct())
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, model_path("word_bpe_49k.json", "WORD_MODEL")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_line_dedup, op3_warc, op4_decontamination, op5_simhash, op6_embedding_dedup,
-        op7_substring_dedup, op8_sharding, op9_language_id, op10_lm_scoring,
+        op7_substring_dedup, op8_sharding, op9_language_id, op10_lm_scoring, op11_spelling, op12_prefix_trie, op13_packing,
     )
 }
 

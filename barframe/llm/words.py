@@ -55,7 +55,11 @@ def lower_latin(data: np.ndarray) -> np.ndarray:
 
 def find_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each row the index of its first word (one more entry)."""
-    inside = ~_SPACE[data]
+    return find_spans(~_SPACE[data], offsets)
+
+
+def find_spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes that are ``inside``, none beyond its row, and each row's first run."""
     filled = np.flatnonzero(np.diff(offsets) > 0)
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
