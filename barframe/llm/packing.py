@@ -8,8 +8,8 @@ document that crosses them has a record in each window. The last window is cut o
 binary digits of its length: a sequence whose length is a power of two needs no padding, so none has any.
 
 Words between spaces and line feeds are tokenized independently, as no token of the vocabulary
-crosses whitespace and nothing composes across it; each task keeps a bounded table of distinct
-chunks. Results do not depend on the table.
+crosses whitespace and nothing composes across it; each task keeps bounded tables of distinct
+chunks and of their parts. Results do not depend on the tables.
 
 Edge cases: a NULL or empty text has the end id alone; a document longer than a window spans
 several; equal rows are packed each; an empty table gives an empty result. Only the named columns
@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import functools
 import os
+import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,35 +38,77 @@ from barframe.plans.workspace import scratch_path
 
 WINDOW = 4096
 END_ID = 2
-#: Bounds of a task's table: distinct chunks and their characters.
-TABLE_CHUNKS = 500_000
+#: Bounds of each of a task's two tables: entries and their characters.
+TABLE_CHUNKS = 600_000
 TABLE_CHARS = 16 << 20
+#: Characters whose chunks fall apart by a plain pattern: normalization only lower-cases them.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ]+")
+_PROBE = "The ÉCOLE's 1789, ça&là--don't! Straße\nöl (I'LL) [x] 'stop 'S ÿ×÷"
 
 
 class ChunkTokenizer:
-    """Ids of texts as the tokenizers library gives them, each distinct chunk tokenized once."""
+    """Ids of texts as the tokenizers library gives them, each distinct word tokenized once.
+
+    A chunk, what stands between spaces or line feeds, is looked up in one table; a new one is
+    joined from its parts (words, digits, punctuation), which go to the library's model itself and
+    have a table of their own. Chunks with characters beyond ``_PLAIN``, or with a special token's
+    brackets, go to the library whole, and so do all if the tokenizer does not cut ``_PROBE`` into these
+    parts. A tokenizer that does not cut it at whitespace is refused.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: How the byte-level step writes the letters beyond ASCII; plain ASCII stands for itself.
+        letters = [chr(i) for i in range(0xDF, 0x100) if i != 0xF7]
+        self.written = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.table: dict[str, bytes] = {"": b""}
-        self.chars = 0
+        self.chunks: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+        self.chars = [0, 0]
+        self.plain = True
+        whole = self.encode([_PROBE, *_PROBE.split()])
+        if whole.pop(_PROBE) != b"".join(whole[c] for c in _PROBE.split()):
+            raise ValueError("tokens of this vocabulary depend on whitespace")
+        self.learn(list(whole))
+        self.plain = all(self.chunks[c] == ids for c, ids in whole.items())
+        self.chunks, self.parts, self.chars = {"": b""}, {}, [0, 0]
+
+    def encode(self, texts: list[str]) -> dict[str, bytes]:
+        """Packed ids of each text by the library."""
+        out = {}
+        for i in range(0, len(texts), 20_000):
+            part = texts[i : i + 20_000]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            out.update((c, np.array(e.ids, self.kind).tobytes()) for c, e in zip(part, found))
+        return out
+
+    def learn(self, chunks: list[str]) -> None:
+        """Add new chunks to the table."""
+        plain = {c: _PARTS.findall(c.lower()) for c in chunks if self.plain and _PLAIN.fullmatch(c) and "<|" not in c}
+        parts = list(set().union(*plain.values()).difference(self.parts))
+        tokenize, written, pack = self.tokenizer.model.tokenize, self.written, "<%d" + ("H" if self.kind.itemsize == 2 else "I")
+        for p in parts:
+            found = tokenize(p if p.isascii() else p.translate(written))
+            self.parts[p] = struct.pack(pack % len(found), *[t.id for t in found])
+        ids = self.parts.__getitem__
+        self.chunks.update((c, ids(p[0]) if len(p) == 1 else b"".join(map(ids, p))) for c, p in plain.items())
+        self.chunks.update(self.encode([c for c in chunks if c not in plain]))
+        self.chars[0] += sum(map(len, chunks))
+        self.chars[1] += sum(map(len, parts))
 
     def packed(self, texts: list[str], end_id: int) -> list[bytes]:
         """Little-endian ids (of ``kind``) of each text, the end id included."""
-        if len(self.table) > TABLE_CHUNKS or self.chars > TABLE_CHARS:
-            self.table, self.chars = {"": b""}, 0
+        if len(self.chunks) > TABLE_CHUNKS or self.chars[0] > TABLE_CHARS:
+            self.chunks, self.chars[0] = {"": b""}, 0
+        if len(self.parts) > TABLE_CHUNKS or self.chars[1] > TABLE_CHARS:
+            self.parts, self.chars[1] = {}, 0
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*split).difference(self.table))
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.table.update((c, np.array(e.ids, self.kind).tobytes()) for c, e in zip(part, found))
-            self.chars += sum(map(len, part))
-        ids, end = self.table.__getitem__, np.array([end_id], self.kind).tobytes()
+        self.learn(list(set().union(*split).difference(self.chunks)))
+        ids, end = self.chunks.__getitem__, np.array([end_id], self.kind).tobytes()
         return [b"".join([*map(ids, chunks), end]) for chunks in split]
 
 

@@ -226,11 +226,18 @@ def test_packing_of_odd_texts(spark):
     rng = random.Random(4)
     parts = [" ", "\n", "\t", "\x1c", "́", "a", "B", "é", "'s", "7", "!", "<|endoftext|>", "ŉ", "　", "ǆ"]
     texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 30))) for _ in range(400)]
+    plain = [*map(chr, range(33, 127)), *map(chr, range(0xC0, 0x100)), *"'sStTrReEvVmMlLdD" * 3, "'ll", "'re", "<|", " ", " ", " "]
+    texts += ["".join(rng.choice(plain) for _ in range(rng.randrange(1, 200))) for _ in range(400)]
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     check_packing(rows, packing.pack(df, model_path("word_bpe_49k.json", "WORD_MODEL"), window=64).collect(), 64)
 
 
+def test_packing_refuses_tokens_that_cross_whitespace():
+    with pytest.raises(ValueError, match="whitespace"):
+        packing.ChunkTokenizer(model_path("byte_bpe_50k.json", "OTHER_MODEL"))
+
+
 def test_packing_with_a_small_table(monkeypatch):
     monkeypatch.setattr(packing, "TABLE_CHUNKS", 3)
     path = model_path("word_bpe_49k.json", "WORD_MODEL")
