@@ -127,6 +127,14 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of a SQL expression's UTF-8 bytes, bit by bit, the lowest first; DuckDB has no such function."""
+    byte = f"CAST('0x' || substr(hex({text}), 2 * (i // 8) + 1, 2) AS UBIGINT)"
+    bits = f"list_transform(range(0, 8 * strlen({text})), lambda i: ({byte} >> (i % 8)) & 1)"
+    step = "xor(a >> 1, 3988292384 * (xor(a, b) & 1))"
+    return f"xor(list_reduce({bits}, lambda a, b: {step}, 4294967295::UBIGINT), 4294967295::UBIGINT)"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -149,4 +157,39 @@ WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS size, sha256(coalesce(h
 f AS (SELECT *, CASE WHEN size >= {warc.MIN_REVISIT_BYTES} THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM p)
 SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, digest AS payload_digest,
   CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM f""",
+    "op11_spelling": rf"""
+WITH r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS raw FROM documents WHERE text IS NOT NULL),
+l AS (SELECT translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, doc_id || ':' || run AS tag FROM r),
+h AS (SELECT run, {_crc32_sql("tag")} AS h FROM l),
+c AS (SELECT CASE WHEN h % {spelling.DROP_ONE_IN} = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word FROM h),
+w AS (SELECT word, count(*) AS n FROM c WHERE length(word) >= {spelling.MIN_LETTERS} GROUP BY word HAVING count(*) >= {spelling.MIN_COUNT}),
+k AS (SELECT word, n, unnest(range(0, length(word))) AS i FROM w),
+d AS (SELECT word, n, left(word, CAST(i AS INT)) || substr(word, CAST(i AS INT) + 2) AS rest, i FROM k),
+p AS (SELECT a.word, b.word AS other, b.n FROM d a JOIN d b USING (rest, i) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM d a JOIN w b ON a.rest = b.word UNION SELECT b.word, a.word, a.n FROM d a JOIN w b ON a.rest = b.word),
+f AS (SELECT word, count(*) AS n_near, max(p.n) AS top, min(struct_pack(o := -p.n, w := p.other)).w AS best FROM p GROUP BY word),
+e AS (SELECT w.word, CASE WHEN top >= {spelling.FORM_RATIO} * w.n THEN best END AS form, w.n, coalesce(n_near, 0) AS n_near,
+  CASE WHEN top >= {spelling.FORM_RATIO} * w.n THEN top END AS form_n FROM w LEFT JOIN f USING (word)),
+s AS (SELECT word, coalesce(form, word) AS root, form IS NULL AS done FROM e),
+g AS (WITH RECURSIVE g AS (SELECT word, root, done FROM s UNION ALL SELECT g.word, s.root, s.done FROM g JOIN s ON g.root = s.word WHERE NOT g.done) SELECT word, root FROM g WHERE done)
+SELECT word, form, root, n, n_near, form_n FROM e JOIN g USING (word)""",
+    "op12_prefix_trie": rf"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, CAST(row_number() OVER (PARTITION BY conv_id
+  ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS INT) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, CAST({_crc32_sql("CAST(conv_id AS VARCHAR)")} % {HEAD_TURNS} AS INT) AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, t.role, t.text, t.i FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.i < c.h
+  UNION ALL SELECT conv_id, role, text, i FROM t JOIN c USING (conv_id) WHERE i >= h),
+o AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS depth FROM r),
+m AS (SELECT conv_id, depth, text, list(struct_pack(role := role, text := text)) OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM o
+  UNION ALL SELECT conv_id, 0, '', [] FROM c),
+x AS (SELECT *, CASE WHEN depth > 0 THEN path[:-2] END AS above, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM m),
+n AS (SELECT path, any_value(above) AS above, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(text) AS text,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM x GROUP BY path),
+k AS (SELECT above AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY above),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS saved FROM n LEFT JOIN k USING (path)),
+a AS (SELECT x.path, v.saved, v.n_children FROM v JOIN x ON x.conv_id = v.conv_id AND x.depth <= v.depth),
+b AS (SELECT path, CAST(sum(saved) AS BIGINT) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM a GROUP BY path)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, b.n_leaves, b.saved_tokens, v.ends_sha256
+FROM v JOIN b ON v.path = b.path LEFT JOIN n p ON p.path = v.above""",
 }
