@@ -612,8 +612,9 @@ def q_indicators_bucketed(spark, sf):
 # ================================================================== modelling
 
 
-def sql_model_ctes(target: str = "close", bounds_where: str = "") -> list[str]:
-    """Indicators → per-series min-max scaling → sequence positions → split (DuckDB)."""
+def sql_model_ctes(target: str = "close", bounds_where: str = "", hist: bool = False) -> list[str]:
+    """Indicators → per-series min-max scaling → sequence positions → split (DuckDB); ``hist``: with the sequences' steps."""
+    steps = f"""list([{', '.join(f'{c}_scaled' for c in FEATURES)}]) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS hist"""
     bounds = ", ".join(f"{f}({c}){bounds_where} OVER p AS {f}_{c}" for c in FEATURES for f in ("min", "max"))
     scaled = ", ".join(
         f"CASE WHEN max_{c} > min_{c} THEN ({c} - min_{c}) / (max_{c} - min_{c}) ELSE 0.0 END AS {c}_scaled" for c in FEATURES
@@ -625,8 +626,7 @@ FROM ind_clean)""",
         f"b AS (SELECT * EXCLUDE (place, cutoff), {bounds} FROM pq WINDOW p AS (PARTITION BY ticker))",
         f"sc AS (SELECT *, {scaled} FROM b)",
         f"""sq AS (SELECT *, CAST(least(60, floor(n * 0.2::DOUBLE)) AS INTEGER) AS seq_len,
-  CAST(row_number() OVER s - 1 AS INTEGER) AS pos, lag({target}_scaled) OVER s AS prev_target, {target}_scaled AS label,
-  list([{', '.join(f'{c}_scaled' for c in FEATURES)}]) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS hist
+  CAST(row_number() OVER s - 1 AS INTEGER) AS pos, lag({target}_scaled) OVER s AS prev_target, {target}_scaled AS label{', ' + steps if hist else ''}
 FROM sc WINDOW s AS (PARTITION BY ticker ORDER BY date))""",
         "seqs AS (SELECT * FROM sq WHERE seq_len >= 1 AND pos >= seq_len)",
         """sp AS (SELECT *, count(*) OVER (PARTITION BY ticker) AS m, row_number() OVER (PARTITION BY ticker ORDER BY date) AS k FROM seqs)""",
@@ -683,7 +683,7 @@ def checksum(sequence: str) -> F.Column:
         f"""SELECT ticker, date, seq_len, pos, CAST(seq_len AS INTEGER) AS n_steps,
   {SQL_CHECKSUM} AS checksum,
   {sql_round('label', 9)} AS label FROM seqs""",
-        *sql_model_ctes()[:-2],
+        *sql_model_ctes(hist=True)[:-2],
     ),
 )
 def q_sequences(spark, sf):
@@ -850,31 +850,35 @@ def _sql_lag_regression(n: int = N_LAGS) -> list[str]:
     return [f"lg AS (SELECT ticker, date, {lags} FROM sc WINDOW w AS (PARTITION BY ticker ORDER BY date))", *sql_least_squares(n)]
 
 
+def sql_elimination(name: str, unknowns: int) -> list[str]:
+    """Gauss-Jordan elimination of the list-of-lists ``m`` of the table ``name`` as CTEs; the last, ``name_<unknowns>``, has the
+    solution in each row's last cell."""
+    out = []
+    for k in range(1, unknowns + 1):
+        before = name if k == 1 else f"{name}_{k - 1}"
+        out.append(
+            f"""{name}_{k} AS MATERIALIZED (SELECT * REPLACE (list_transform(m, lambda row, i: CASE WHEN i = {k}
+  THEN list_transform(row, lambda v: v / row[{k}]) ELSE list_transform(row, lambda v, j: v - row[{k}] / m[{k}][{k}] * m[{k}][j]) END) AS m) FROM {before})"""
+        )
+    return out
+
+
 def sql_least_squares(n: int) -> list[str]:
-    """Least squares of the labels on ``x1 .. xn`` of ``lg`` as CTEs: centred normal equations,
-    elimination, back substitution (``c1`` has the coefficients, ``mn`` the means, ``pd`` the
-    predictions)."""
+    """Least squares of the labels on ``x1 .. xn`` of ``lg`` as CTEs: centred normal equations and their
+    elimination (``c1`` has the coefficients, ``mn`` the means, ``pd`` the predictions)."""
     xs = range(1, n + 1)
     known = " AND ".join(f"x{i} IS NOT NULL" for i in xs)
     column = lambda j: "y" if j == n + 1 else f"x{j}"
-    sums = ", ".join(f"sum((x{i} - m{i}) * ({column(j)} - m{j})) AS a{i}_{j}" for i in xs for j in range(1, n + 2))
-    out = [
-        f"rw AS (SELECT fr.ticker, fr.date, split, label AS y, {', '.join(f'x{i}' for i in xs)} FROM fr JOIN lg USING (ticker, date) WHERE {known})",
-        f"mn AS (SELECT {', '.join(f'avg({column(j)}) AS m{j}' for j in range(1, n + 2))} FROM rw WHERE split = 'train')",
-        f"g0 AS (SELECT {sums} FROM rw, mn WHERE split = 'train')",
-    ]
-    for k in xs:
-        cells = [
-            f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS a{i}_{j}" if i > k else f"a{i}_{j}" for i in xs for j in range(1, n + 2)
-        ]
-        out.append(f"g{k} AS (SELECT {', '.join(cells)} FROM g{k - 1})")
-    for i in reversed(xs):
-        above = "".join(f" - a{i}_{j} * b{j}" for j in range(i + 1, n + 1))
-        source = f"g{n}" if i == n else f"c{i + 1}"
-        out.append(f"c{i} AS (SELECT *, (a{i}_{n + 1}{above}) / a{i}_{i} AS b{i} FROM {source})")
+    rows = ", ".join("[" + ", ".join(f"sum((x{i} - m{i}) * ({column(j)} - m{j}))" for j in range(1, n + 2)) + "]" for i in xs)
     slope = " + ".join(f"b{i} * (x{i} - m{i})" for i in xs)
-    out.append(f"pd AS (SELECT ticker, date, y, m{n + 1} + {slope} AS p FROM rw, mn, c1 WHERE split = 'test')")
-    return out
+    return [
+        f"rw AS MATERIALIZED (SELECT fr.ticker, fr.date, split, label AS y, {', '.join(f'x{i}' for i in xs)} FROM fr JOIN lg USING (ticker, date) WHERE {known})",
+        f"mn AS MATERIALIZED (SELECT {', '.join(f'avg({column(j)}) AS m{j}' for j in range(1, n + 2))} FROM rw WHERE split = 'train')",
+        f"eq AS (SELECT [{rows}] AS m FROM rw, mn WHERE split = 'train')",
+        *sql_elimination("eq", n),
+        f"c1 AS MATERIALIZED (SELECT {', '.join(f'm[{i}][{n + 1}] AS b{i}' for i in xs)} FROM eq_{n})",
+        f"pd AS (SELECT ticker, date, y, m{n + 1} + {slope} AS p FROM rw, mn, c1 WHERE split = 'test')",
+    ]
 
 
 @register(
