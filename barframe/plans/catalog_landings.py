@@ -47,25 +47,16 @@ def q_merged_schema(spark, sf) -> DataFrame:
     return merged_bars(variant_records(spark, out)).select("ticker", "copy_id", "date", "open", "close", "volume", "dividends", "note", "rescued")
 
 
-def _sql_number_field(c: str) -> str:
-    """A number without a fraction is a ``bigint`` in the report; the closes of one day are texts."""
-    text = "'string'" if c == "close" else "NULL"
-    return f"""SELECT '{c}', '{c.capitalize()}', 3 * count(*), concat_ws(',', CASE WHEN bool_or({c} = floor({c})) THEN 'bigint' END,
-  CASE WHEN bool_or({c} <> floor({c})) THEN 'double' END, {text}), {str(c == 'close').lower()} FROM bars"""
-
-
-_SQL_FIELDS = "\nUNION ALL ".join(_sql_number_field(c) for c in ("open", "high", "low", "close", "volume"))
-
-
 @register(
     "merged_schema_fields",
     with_bars(
         "lineitem",
-        f"""SELECT field, names, n_records, kinds, CASE WHEN conflict THEN 'string' WHEN kinds LIKE '%double%' THEN 'double' ELSE kinds END AS merged, conflict FROM (
-{_SQL_FIELDS}
-UNION ALL SELECT 'date', 'Date', 3 * count(*), 'string', false FROM bars
-UNION ALL SELECT 'dividends', 'Dividends', 2 * count(*), 'bigint,double', false FROM bars
-UNION ALL SELECT 'note', 'Note', 2 * count(*), 'bigint,string', true FROM bars) v(field, names, n_records, kinds, conflict) WHERE n_records > 0""",
+        """SELECT field, names, CAST(n AS BIGINT) AS n_records, kinds, merged, conflict FROM (SELECT count(*) AS bars FROM bars), LATERAL (VALUES
+  ('date', 'Date', 3 * bars, 'string', 'string', false), ('open', 'Open', 3 * bars, 'double', 'double', false),
+  ('high', 'High', 3 * bars, 'double', 'double', false), ('low', 'Low', 3 * bars, 'double', 'double', false),
+  ('close', 'Close', 3 * bars, 'double,string', 'string', true), ('volume', 'Volume', 3 * bars, 'double', 'double', false),
+  ('dividends', 'Dividends', 2 * bars, 'bigint,double', 'double', false), ('note', 'Note', 2 * bars, 'bigint,string', 'string', true)
+) v(field, names, n, kinds, merged, conflict)""",
     ),
 )
 def q_merged_schema_fields(spark, sf) -> DataFrame:

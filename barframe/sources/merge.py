@@ -60,12 +60,12 @@ def field_report(records: DataFrame) -> DataFrame:
     ``field`` (lower case), ``names`` (its spellings), ``n_records`` with the field, ``n_null`` of them with
     a JSON null, ``kinds`` (``array, bigint, boolean, double, object, string``), ``merged`` (its type in
     the merged table) and ``conflict`` (whether kinds other than numbers are mixed). The records are
-    counted by shape first, so a shape is taken apart once.
+    counted by shape (their fields and kinds) first, so only the different shapes are taken apart.
     """
-    shape = F.regexp_replace(F.schema_of_variant("record"), r"DECIMAL\([0-9]+,[0-9]+\)", "DOUBLE")
-    shapes = records.groupBy(shape.alias("shape")).agg(F.count(F.lit(1)).alias("n"), F.max(F.to_json("record")).alias("example"))
-    parts = shapes.select("n", F.explode(_fields_of_text("example")).alias("name", "value"))
-    by_kind = parts.groupBy(F.lower("name").alias("field"), _kind(F.col("value")).alias("kind")).agg(
+    shape = F.to_json(F.transform_values(_fields(), lambda _name, value: _kind(value)))
+    shapes = records.groupBy(shape.alias("shape")).agg(F.count(F.lit(1)).alias("n"))
+    parts = shapes.select("n", F.explode(F.from_json("shape", "map<string,string>")).alias("name", "kind"))
+    by_kind = parts.groupBy(F.lower("name").alias("field"), "kind").agg(
         F.sum("n").alias("n"), F.collect_set("name").alias("names")
     )
     report = by_kind.groupBy("field").agg(
@@ -82,10 +82,6 @@ def field_report(records: DataFrame) -> DataFrame:
     return report.select("field", "names", "n_records", "n_null", "kinds", merged.alias("merged"), conflict.alias("conflict"))
 
 
-def _fields_of_text(text: str) -> Column:
-    return F.variant_get(F.parse_json(F.col(text)), "$", "map<string,variant>")
-
-
 @dataclass(frozen=True)
 class Field:
     """A column of the merged table: its name in lower case, its type, and its spellings in the records."""
