@@ -10,11 +10,11 @@ per *bar*, before the explode; each copy then derives its draws with a few integ
 (``mix32``), so the per-output-row work is integer arithmetic inside whole-stage codegen.
 
 Partitioning: the output is ``copies + 1`` times the input, and a small input (the original
-landing) often arrives in very few partitions — adaptive execution coalesces it, since it cannot
-know that a generator follows. The input is therefore hash-partitioned on (ticker, date) into
-``partitions`` parts *before* the explode, so generation is spread over every core; the shuffle
-moves the input once, a ``1/(copies+1)`` fraction of the output. Hashing on the date as well
-keeps a ticker holding a third of the rows from landing in one task.
+landing) often arrives in very few partitions. So the copies are generated in two stages: each bar
+becomes one row for each range of ``RANGE_COPIES`` copies, these rows are dealt out by (ticker,
+date, range) over all cores, and the copies of a range are made where it lies. The shuffle moves one
+row for each range and not for each copy, one bar's copies are made by many tasks, and a ticker
+holding a third of the rows is spread by the date and the range.
 """
 
 from __future__ import annotations
@@ -23,25 +23,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barframe.functions.expressions import bar_hash_words, mix_final, mix_round, mix_start, noise_factor
+from barframe.operators.spread import spread
 
 # Noise amplitudes and the number of copies of the large data set.
 PRICE_NOISE = 0.02  # prices times 1 + U(-0.02, 0.02)
 VOLUME_NOISE = 0.05  # volume times 1 + U(-0.05, 0.05)
 DEFAULT_COPIES = 500
 NOISE_SLOTS = {"open": 0, "high": 1, "low": 2, "close": 3, "volume": 4}
+#: Copies that one row of the first stage stands for.
+RANGE_COPIES = 32
 _WORD = "_noise_w{}"
 
 
-def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
-    if not partitions:
-        return df
+def _explode_copies(df: DataFrame, copies: int, include_original: bool, partitions: int | None, range_copies: int) -> DataFrame:
+    first, last = 0 if include_original else 1, int(copies)
+    if last < first:
+        return df.select("*", F.lit(0).alias("copy_id")).limit(0)
+    begins = F.explode(F.sequence(F.lit(first), F.lit(last), F.lit(int(range_copies)))).alias("_range")
     keys = [c for c in ("ticker", "date") if c in df.columns]
-    return df.repartition(int(partitions), *keys) if keys else df.repartition(int(partitions))
-
-
-def _explode_copies(df: DataFrame, copies: int, include_original: bool) -> DataFrame:
-    first = 0 if include_original else 1
-    return df.select("*", F.explode(F.sequence(F.lit(first), F.lit(int(copies)))).alias("copy_id"))
+    ranges = spread(df.select("*", begins), *keys, "_range", partitions=partitions)
+    copy = F.explode(F.sequence(F.col("_range"), F.least(F.col("_range") + int(range_copies) - 1, F.lit(last)))).alias("copy_id")
+    return ranges.select(*df.columns, copy)
 
 
 def with_noise_words(df: DataFrame, seed: int) -> DataFrame:
@@ -50,13 +52,14 @@ def with_noise_words(df: DataFrame, seed: int) -> DataFrame:
     return df.withColumns({_WORD.format(k): w for k, w in enumerate(words)})
 
 
-def replicate(df: DataFrame, copies: int, *, include_original: bool = True, partitions: int | None = None) -> DataFrame:
+def replicate(
+    df: DataFrame, copies: int, *, include_original: bool = True, partitions: int | None = None, range_copies: int = RANGE_COPIES
+) -> DataFrame:
     """``copy_id`` 0..copies (or 1..copies) for every row.
 
-    ``partitions``: number of hash partitions on (ticker, date) the input is spread over before
-    the explode, for a small input in few partitions; by default the input's partitions stay.
+    ``partitions``: over how many the ranges of copies are dealt (see ``spread``).
     """
-    return _explode_copies(_spread(df, partitions), copies, include_original)
+    return _explode_copies(df, copies, include_original, partitions, range_copies)
 
 
 def add_noise(df: DataFrame, seed: int = 42, *, price_noise: float = PRICE_NOISE, volume_noise: float = VOLUME_NOISE) -> DataFrame:
@@ -84,11 +87,11 @@ def add_noise(df: DataFrame, seed: int = 42, *, price_noise: float = PRICE_NOISE
 
 
 def multiply_bars(
-    df: DataFrame, copies: int = DEFAULT_COPIES, seed: int = 42, *, include_original: bool = True, partitions: int | None = None
+    df: DataFrame, copies: int = DEFAULT_COPIES, seed: int = 42, *, include_original: bool = True, partitions: int | None = None,
+    range_copies: int = RANGE_COPIES,
 ) -> DataFrame:
     """Original plus ``copies`` noisy copies of every bar, keyed by ``copy_id``.
 
-    Plan: hash words per bar → explode → integer noise.
+    Plan: hash words per bar → explode to ranges → deal out → explode to copies → integer noise.
     """
-    spread = with_noise_words(_spread(df, partitions), seed)
-    return add_noise(_explode_copies(spread, copies, include_original), seed)
+    return add_noise(_explode_copies(with_noise_words(df, seed), copies, include_original, partitions, range_copies), seed)

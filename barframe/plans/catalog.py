@@ -942,7 +942,7 @@ def copy_sums(df: DataFrame) -> DataFrame:
 def q_multiply_bars(spark, sf):
     """Original (copy 0) plus 500 copies with reproducible ±2 % price and ±5 % volume noise;
     every generated value enters the exact sums of its copy."""
-    return copy_sums(multiply_bars(bars_lineitem(spark, sf), COPIES_LARGE, SEED, partitions=spark.sparkContext.defaultParallelism))
+    return copy_sums(multiply_bars(bars_lineitem(spark, sf), COPIES_LARGE, SEED))
 
 
 @register(

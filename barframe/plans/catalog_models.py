@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barframe.operators.indicators import FEATURES
-from barframe.operators.modeling import SCALED_FEATURES, evaluate, model_frame
+from barframe.operators.indicators import FEATURES, indicators
+from barframe.operators.modeling import SCALED_FEATURES, evaluate, min_max_scale, model_frame
 from barframe.operators.ridge import PENALTIES, fit_series_regression, series_forecast, series_predictions
-from barframe.plans.catalog import register, rounded, sql_elimination, sql_model_ctes, sql_round, with_bars
+from barframe.operators.sequence_store import pack_sequences, read_sequences, write_sequences
+from barframe.plans.catalog import SQL_CHECKSUM, checksum, register, rounded, sql_elimination, sql_model_ctes, sql_round, with_bars
+from barframe.plans.workspace import scratch_path
 from barframe.sources.fixtures import bars_supplier
 
 _N = len(FEATURES)
@@ -126,3 +128,23 @@ def q_series_regression_forecast(spark, sf):
     """M6, M7, M8: thirty days ahead for every series by its own regression."""
     frame, fits = _fitted(spark, sf)
     return rounded(series_forecast(frame, fits), {"predicted_close": 2})
+
+
+@register(
+    "sequence_store",
+    with_bars(
+        "supplier",
+        f"""SELECT ticker, date, seq_len, pos, CAST(seq_len AS INTEGER) AS n_steps, {SQL_CHECKSUM} AS checksum,
+  {sql_round('label', 9)} AS label FROM seqs""",
+        *sql_model_ctes(hist=True)[:-2],
+    ),
+)
+def q_sequence_store(spark, sf):
+    """The sequences written as blocks of rows, and sliced when they are read back."""
+    path = scratch_path(spark, "sequences")
+    scaled = min_max_scale(indicators(bars_supplier(spark, sf)), FEATURES)
+    write_sequences(pack_sequences(scaled, SCALED_FEATURES, "close_scaled"), path)
+    out = read_sequences(spark, path).select(
+        "ticker", "date", "seq_len", "pos", F.size("sequence").cast("int").alias("n_steps"), checksum("sequence").alias("checksum"), "label"
+    )
+    return rounded(out, {"label": 9})

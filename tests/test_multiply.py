@@ -65,3 +65,13 @@ def test_independent_of_precomputed_words(spark):
     fast = sorted(multiply_bars(df, 4, seed=9).collect())
     slow = sorted(add_noise(replicate(df, 4, partitions=0), 9).collect())
     assert fast == slow
+
+
+def test_a_bar_alone_is_copied_by_many_tasks(spark):
+    one = bars(spark, ROWS[:1]).coalesce(1)
+    out = multiply_bars(one, 500, seed=7)
+    per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per_task) == 501 and len(per_task) >= 4
+    assert sorted(out.collect()) == sorted(multiply_bars(one, 500, seed=7, partitions=1, range_copies=501).collect())
+    assert sorted(r["copy_id"] for r in replicate(one, 65, include_original=False).collect()) == list(range(1, 66))
+    assert replicate(one, 0).count() == 1 and replicate(one, 0, include_original=False).count() == 0
