@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.words import find_words, lower_ascii, span_hashes, text_slices
+from barframe.llm.words import find_words, lower_ascii, text_slices, word_hashes
 from barframe.plans.workspace import scratch_path
 
 DICTIONARY = 1 << 18
@@ -49,7 +49,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Hashes of all tokens (words in lower case, then the end, for each text) and each text's first token."""
     data = lower_ascii(data)
     starts, ends, first = find_words(data, offsets)
-    out = np.insert(span_hashes(data, starts, ends), first[1:], END)
+    out = np.insert(word_hashes(data, starts, ends), first[1:], END)
     return out, first + np.arange(len(first))
 
 

@@ -9,16 +9,17 @@ words that decides it (its context).
 
 Each window of ``window`` words is given one symbol that its own words decide: of the highest
 level with such a symbol, the longest one (of equally long ones that with the smallest hash). Equal windows get equal symbols at equal
-offsets. Occurrences of one symbol meet by one shuffle, each with the hashes of its windows, and
-all but the first of equal windows are marked. Repeats within a few megabytes of texts are settled
-before the shuffle. Symbols that hold a large share of all rows are counted first; their windows
-meet by their own keys, so no task gets a passage of many documents whole; words that marked windows cover are removed.
-Equality rests on the symbol's 64-bit name and a 64-bit hash of each window's words; the words are not compared.
+offsets. Repeats within a few megabytes of texts are settled before any shuffle. A first round then counts
+the symbols' names alone: most occur once and are not heard of again. Occurrences of the others meet by a
+second shuffle, each with the hashes of its windows, and all but the first of equal windows are
+marked. The windows of symbols that hold a large share of all rows meet by their own keys, so no task
+gets a passage of many documents whole; words that marked windows cover are removed.
+A shared name reveals a repeat, and a 64-bit hash of each window's words, made apart from the names, verifies it.
 
 Edge cases: NULL and blank texts have no words; texts shorter than the window lose nothing;
-windows are judged on the input, not on what is left; of equal rows with one id, each is the first
-occurrence for the other, so repeats of a whole row lose nothing by each other; a NULL id comes
-before all others; an empty table gives an empty result. Only the named columns are read.
+windows are judged on the input, not on what is left; rows go by id, a NULL id before all others,
+and rows of one id by the hash of their text, each cleaned by its own windows; of equal rows with
+one id, each is the first occurrence for the other, so repeats of a whole row lose nothing by each other; an empty table gives an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.words import find_words, mix, span_hashes, text_slices
+from barframe.llm.words import find_words, mix, span_hashes, text_slices, word_hashes
 from barframe.plans.workspace import scratch_path
 
 WINDOW = 20
@@ -40,6 +41,8 @@ ROUNDS = 2
 #: A symbol with so many rows, and this share of all rows, is spread over the tasks by its windows.
 HOT_ROWS = 64
 HOT_SHARE = 1 / 65536
+#: The Bloom filter of repeated names, which goes to every task, has 2 ** BLOOM_BITS bits (32 MB).
+BLOOM_BITS = 28
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -180,17 +183,19 @@ def _ranked(ids: pa.Array) -> np.ndarray:
 
 
 def _slices(batch: pa.RecordBatch, window: int, rounds: int) -> Iterator[tuple]:
-    """For each slice of texts: ids, first words, and by window its start, symbol, symbol's first word, hash, row, key and whether it is a repeat."""
-    for row, data, offsets in text_slices(batch.column(1)):
+    """For each slice of texts (``id, mark, text``): ids, marks, first words, and by window its start, symbol, symbol's first word, hash, row, key and whether it is a repeat."""
+    for row, data, offsets in text_slices(batch.column(2)):
         begin, end, first = find_words(data, offsets)
-        hashes = span_hashes(data, begin, end)
+        hashes = word_hashes(data, begin, end)
         starts, name, at = window_symbols(hashes, first, window, rounds)
         if not len(starts):
             continue
         own = span_hashes(hashes, starts, starts + window)
         rows = np.searchsorted(first, starts, side="right") - 1
-        ids = batch.column(0).slice(row, len(first) - 1)
-        rank = _ranked(ids)
+        ids, marks = (batch.column(c).slice(row, len(first) - 1) for c in (0, 1))
+        # Rows go by id, and rows of one id by the hash of their text.
+        pairs = np.stack([_ranked(ids), marks.to_numpy()], axis=1)
+        rank = np.unique(pairs, axis=0, return_inverse=True)[1].ravel()
         key = _window_keys(name, at - starts, own)
         # In the order of ids and starts, the first of a key is the earliest of this slice.
         place = starts - first[rows]
@@ -199,7 +204,7 @@ def _slices(batch: pa.RecordBatch, window: int, rounds: int) -> Iterator[tuple]:
         earliest = order[index][inverse]
         again = np.empty(len(starts), bool)
         again[order] = (rank[rows[order]] != rank[rows[earliest]]) | (place[order] != place[earliest])
-        yield ids, first, starts, name, at, own, rows, key, again
+        yield ids, marks, first, starts, name, at, own, rows, key, again
 
 
 def _runs(starts: np.ndarray, name: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -207,44 +212,92 @@ def _runs(starts: np.ndarray, name: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (name[1:] != name[:-1]) | (starts[1:] != starts[:-1] + 1)]))
 
 
-def hot_symbols(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, rounds: int = ROUNDS) -> np.ndarray:
-    """The sorted names of the symbols with at least ``HOT_ROWS`` rows and the share ``HOT_SHARE`` of all rows.
+def _bloom_bits(names: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a filter of ``2 ** bits`` that stand for each name."""
+    again = mix(names + _PAIR)
+    shift = np.uint64(64 - bits)
+    return (names >> shift).astype(np.int64), (again >> shift).astype(np.int64)
 
-    There are at most ``1 / HOT_SHARE`` of them. A task adds up each slice's names first, and
-    leaves out those with one row there.
+
+class SharedSymbols:
+    """What the tasks know of the symbols of all texts: the hot ones, and which may occur twice."""
+
+    def __init__(self, hot: np.ndarray, bits: np.ndarray | None):
+        self.hot, self.bits = hot, bits
+
+    def is_hot(self, names: np.ndarray) -> np.ndarray:
+        if not len(self.hot):
+            return np.zeros(len(names), bool)
+        return self.hot[np.minimum(np.searchsorted(self.hot, names), len(self.hot) - 1)] == names
+
+    def is_shared(self, names: np.ndarray) -> np.ndarray:
+        """False only for names that occur once."""
+        if self.bits is None:
+            return np.ones(len(names), bool)
+        out = np.ones(len(names), bool)
+        for bit in _bloom_bits(names, len(self.bits).bit_length() + 5):
+            out &= self.bits[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1) == 1
+        return out
+
+
+def shared_symbols(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, rounds: int = ROUNDS) -> SharedSymbols:
+    """The hot symbols, and a Bloom filter of all names with two or more rows.
+
+    Hot are those with at least ``HOT_ROWS`` rows and the share ``HOT_SHARE`` of all rows, at most ``1 /
+    HOT_SHARE`` of them. Every task sends its names alone, added up by slice, with no windows. The
+    filter has ``2 ** BLOOM_BITS`` bits whatever the corpus; a name that it takes for shared costs a row and
+    changes no result.
     """
+    spark, filter_bits = df.sparkSession, BLOOM_BITS
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            for _, _, starts, name, at, _, _, _, again in _slices(batch, window, rounds):
+            for _, _, _, starts, name, at, _, _, _, again in _slices(batch, window, rounds):
                 starts, name, at = starts[~again], name[~again], at[~again]
-                cut = _runs(starts, name, at)
-                kinds, n = np.unique(name[cut], return_counts=True)
-                many = n > 1
-                names = pa.array([None, *kinds[many].view(np.int64).tolist()], pa.int64())
-                yield pa.RecordBatch.from_arrays([names, pa.array(np.concatenate([[len(cut)], n[many]]))], names=["name", "n"])
+                kinds, n = np.unique(name[_runs(starts, name, at)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(n)], names=["name", "n"])
 
-    path = scratch_path(df.sparkSession, "symbol-counts")
-    df.select(id_col, text_col).mapInArrow(batches, "name bigint, n bigint").groupBy("name").agg(F.sum("n").alias("n")).write.parquet(path)
-    counts = df.sparkSession.read.schema("name bigint, n bigint").parquet(path)
-    total = counts.where("name is null").agg(F.sum("n")).first()[0] or 0
-    hot = counts.where(F.col("name").isNotNull() & (F.col("n") >= max(HOT_ROWS, total * HOT_SHARE))).toArrow()
-    return np.sort(hot.column("name").to_numpy().view(np.uint64))
+    def bits(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            both = np.concatenate(_bloom_bits(batch.column(0).to_numpy().view(np.uint64), filter_bits))
+            yield pa.RecordBatch.from_arrays([pa.array(both >> 6), pa.array(both & 63)], names=["block", "bit"])
+
+    path = scratch_path(spark, "symbol-counts")
+    # The tasks have added up their slices, so another map-side table would only grow.
+    named = _rows(df, id_col, text_col).mapInArrow(batches, "name bigint, n bigint").repartition("name").groupBy("name").agg(F.sum("n").alias("n"))
+    # Names that occur once count for the total only.
+    named.select(F.when(F.col("n") > 1, F.col("name")).alias("name"), "n").write.parquet(path)
+    counts = spark.read.schema("name bigint, n bigint").parquet(path)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    repeated = counts.where(F.col("name").isNotNull())
+    hot = repeated.where(F.col("n") >= max(HOT_ROWS, total * HOT_SHARE)).toArrow()
+    blocks = repeated.select("name").mapInArrow(bits, "block bigint, bit bigint").groupBy("block").agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")
+    ).toArrow()
+    bitmap = np.zeros(1 << (filter_bits - 6), np.uint64)
+    bitmap[blocks.column(0).to_numpy()] = blocks.column(1).to_numpy().view(np.uint64)
+    return SharedSymbols(np.sort(hot.column("name").to_numpy().view(np.uint64)), bitmap)
+
+
+def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, mark, text``: the mark, a hash of the text, tells rows of one id apart."""
+    return df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
 
 
 def _anchors(window: int, rounds: int, shared=None):
-    """A mapper from ``id, text`` to one row for each chosen symbol, with its windows' hashes.
+    """A mapper from ``id, mark, text`` to one row for each chosen symbol that may be shared, with its windows' hashes.
 
     Windows that occurred before in the same slice of texts are settled here; they come as ranges, rows
-    with the negative length as ``offset``, dealt by document. ``shared`` holds the hot symbols, whose
-    windows go each by its own key: so what many documents share is dealt over as many tasks as it has
-    different windows, and a window goes there once a slice.
+    with the negative length as ``offset``, dealt by document. ``shared`` holds the ``SharedSymbols``: rows of
+    a symbol that occurs once are not sent, and the windows of hot symbols go each by its own key, so what
+    many documents share is dealt over as many tasks as it has different windows, and a window goes
+    there once a slice.
     """
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = shared.value if shared is not None else np.zeros(0, np.uint64)
+        known = shared.value if shared is not None else SharedSymbols(np.zeros(0, np.uint64), None)
         for batch in found:
-            for ids, first, starts, name, at, own, rows, key, again in _slices(batch, window, rounds):
+            for ids, marks, first, starts, name, at, own, rows, key, again in _slices(batch, window, rounds):
                 if again.any():
                     where = np.flatnonzero(again)
                     cut = np.flatnonzero(np.concatenate([[True], (np.diff(starts[where]) != 1) | (np.diff(rows[where]) != 0)]))
@@ -252,50 +305,52 @@ def _anchors(window: int, rounds: int, shared=None):
                     length = starts[where[np.concatenate([cut[1:], [len(where)]]) - 1]] - starts[low] + 1
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(mix(key[low] + mix(rows[low])).view(np.int64)), ids.take(pa.array(rows[low])), pa.array(starts[low] - first[rows[low]]),
-                            pa.array((-length).astype(np.int32)), pa.array([b""] * len(low), pa.binary()),
+                            pa.array(mix(key[low] + mix(rows[low])).view(np.int64)), ids.take(pa.array(rows[low])), marks.take(pa.array(rows[low])),
+                            pa.array(starts[low] - first[rows[low]]), pa.array((-length).astype(np.int32)), pa.array([b""] * len(low), pa.binary()),
                         ],
-                        names=["name", "id", "start", "offset", "hashes"],
+                        names=["name", "id", "mark", "start", "offset", "hashes"],
                     )
-                    starts, name, at, own, rows, key = (x[~again] for x in (starts, name, at, own, rows, key))
-                if len(hot):
-                    spread = hot[np.minimum(np.searchsorted(hot, name), len(hot) - 1)] == name
-                    name, at = np.where(spread, key, name), np.where(spread, starts, at)
+                sent = ~again & known.is_shared(name)
+                starts, name, at, own, rows, key = (x[sent] for x in (starts, name, at, own, rows, key))
+                if not len(starts):
+                    continue
+                spread = known.is_hot(name)
+                name, at = np.where(spread, key, name), np.where(spread, starts, at)
                 cut = _runs(starts, name, at)
                 sizes = np.concatenate([cut, [len(starts)]]).astype(np.int32) * 8
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(name[cut].view(np.int64)), ids.take(pa.array(rows[cut])), pa.array(starts[cut] - first[rows[cut]]),
-                        pa.array((at[cut] - starts[cut]).astype(np.int32)),
+                        pa.array(name[cut].view(np.int64)), ids.take(pa.array(rows[cut])), marks.take(pa.array(rows[cut])),
+                        pa.array(starts[cut] - first[rows[cut]]), pa.array((at[cut] - starts[cut]).astype(np.int32)),
                         pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(sizes.tobytes()), pa.py_buffer(own.tobytes())]),
                     ],
-                    names=["name", "id", "start", "offset", "hashes"],
+                    names=["name", "id", "mark", "start", "offset", "hashes"],
                 )
 
     return batches
 
 
 def _repeats(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From symbols sorted by name, id and start to ranges of window starts that occurred before.
+    """From symbols sorted by name, id, mark and start to ranges of window starts that occurred before.
 
     Of a name that goes on in the next batch only the distinct windows seen so far are kept, each
     with its first occurrence.
     """
     held_name, held_keys, held_ids, held_starts = None, np.zeros(0, np.uint64), [], np.zeros(0, np.int64)
     for batch in found:
-        settled = pa.compute.less(batch.column(3), 0)
+        settled = pa.compute.less(batch.column("offset"), 0)
         if pa.compute.any(settled).as_py():
             ranges = batch.filter(settled)
-            low = ranges.column(2).to_numpy()
-            high = low - ranges.column(3).to_numpy() - 1
-            yield pa.RecordBatch.from_arrays([ranges.column(1), pa.array(low), pa.array(high)], names=["id", "low", "high"])
+            low = ranges.column("start").to_numpy()
+            high = low - ranges.column("offset").to_numpy() - 1
+            yield pa.RecordBatch.from_arrays([ranges.column("id"), ranges.column("mark"), pa.array(low), pa.array(high)], names=["id", "mark", "low", "high"])
             batch = batch.filter(pa.compute.invert(settled))
         if not batch.num_rows:
             continue
         name = batch.column(0).to_numpy()
-        ids = batch.column(1)
-        start, offset = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-        binary = batch.column(4)
+        ids, marks = batch.column("id"), batch.column("mark")
+        start, offset = batch.column("start").to_numpy(), batch.column("offset").to_numpy()
+        binary = batch.column("hashes")
         bounds = np.frombuffer(binary.buffers()[1], np.int32)[binary.offset : binary.offset + len(binary) + 1]
         hashes = np.frombuffer(binary.buffers()[2], np.uint64, count=bounds[-1] // 8)[bounds[0] // 8 :]
         sizes = np.diff(bounds) // 8
@@ -303,7 +358,8 @@ def _repeats(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         key = _window_keys(name.view(np.uint64)[row], offset[row] - step, hashes)
         at = start[row] + step
-        code = pa.compute.dictionary_encode(ids, null_encoding="encode").indices.to_numpy()[row]
+        code = pa.compute.dictionary_encode(ids, null_encoding="encode").indices.to_numpy()
+        code = np.unique(np.stack([code, marks.to_numpy()], axis=1), axis=0, return_inverse=True)[1].ravel()[row]
         kinds, index, inverse = np.unique(key, return_index=True, return_inverse=True)
         # The rows are sorted, so the first of a kind is its first occurrence; the same occurrence again is no repeat.
         first = index[inverse]
@@ -315,12 +371,12 @@ def _repeats(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             again |= seen
             same_start = np.flatnonzero(seen & (held_starts[np.minimum(here, len(held_keys) - 1)][inverse] == at))
             for i in same_start:  # perhaps the first occurrence itself, in a repeated row
-                again[i] = held_ids[here[inverse[i]]] != ids[int(row[i])].as_py()
+                again[i] = held_ids[here[inverse[i]]] != (ids[int(row[i])].as_py(), marks[int(row[i])].as_py())
         else:
             known = np.zeros(len(kinds), bool)
         tail = name[row[index]] == name[-1]
         keep = tail & ~known
-        new_ids = [ids[int(i)].as_py() for i in row[index[keep]]]
+        new_ids = [(ids[int(i)].as_py(), marks[int(i)].as_py()) for i in row[index[keep]]]
         if held_name is not None and held_name == name[-1]:
             keys = np.concatenate([held_keys, kinds[keep]])
             order = np.argsort(keys)
@@ -336,19 +392,20 @@ def _repeats(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head = where[cut]
             last = where[np.concatenate([np.flatnonzero(cut)[1:], [len(where)]]) - 1]
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(row[head])), pa.array(at[head]), pa.array(at[last])], names=["id", "low", "high"]
+                [ids.take(pa.array(row[head])), marks.take(pa.array(row[head])), pa.array(at[head]), pa.array(at[last])],
+                names=["id", "mark", "low", "high"],
             )
 
 
 def repeated_windows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """``id, low, high``: ranges of window starts whose words also start earlier."""
+    """``id, mark, low, high``: ranges of window starts whose words also start earlier; ``mark`` is the XXH64 of the row's text."""
     kind = df.schema[id_col].dataType.simpleString()
-    hot = df.sparkSession.sparkContext.broadcast(hot_symbols(df, id_col, text_col, window, rounds))
-    anchors = df.select(id_col, text_col).mapInArrow(
-        _anchors(window, rounds, hot), f"name bigint, id {kind}, start bigint, offset int, hashes binary"
+    shared = df.sparkSession.sparkContext.broadcast(shared_symbols(df, id_col, text_col, window, rounds))
+    anchors = _rows(df, id_col, text_col).mapInArrow(
+        _anchors(window, rounds, shared), f"name bigint, id {kind}, mark bigint, start bigint, offset int, hashes binary"
     )
-    dealt = anchors.repartition("name").sortWithinPartitions("name", "id", "start")
-    return dealt.mapInArrow(_repeats, f"id {kind}, low bigint, high bigint")
+    dealt = anchors.repartition("name").sortWithinPartitions("name", "id", "mark", "start")
+    return dealt.mapInArrow(_repeats, f"id {kind}, mark bigint, low bigint, high bigint")
 
 
 def _cleaned(window: int, texts: bool):
@@ -393,12 +450,12 @@ def dedup_substrings(
     if kept not in ("text", "sha256"):
         raise ValueError("kept is 'text' or 'sha256'")
     kind = df.schema[id_col].dataType.simpleString()
-    ranges = repeated_windows(df, id_col, text_col, window, rounds).groupBy(F.col("id").alias("own")).agg(
+    ranges = repeated_windows(df, id_col, text_col, window, rounds).groupBy(F.col("id").alias("own"), F.col("mark").alias("own_mark")).agg(
         F.collect_list(F.struct("low", "high")).alias("ranges")
     )
-    ranges = ranges.select("own", F.col("ranges.low").alias("lows"), F.col("ranges.high").alias("highs"))
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    joined = rows.join(ranges, F.col("id").eqNullSafe(F.col("own")), "left").select("id", "text", "lows", "highs")
+    ranges = ranges.select("own", "own_mark", F.col("ranges.low").alias("lows"), F.col("ranges.high").alias("highs"))
+    same = F.col("id").eqNullSafe(F.col("own")) & (F.col("mark") == F.col("own_mark"))
+    joined = _rows(df, id_col, text_col).join(ranges, same, "left").select("id", "text", "lows", "highs")
     return joined.mapInArrow(
         _cleaned(window, kept == "text"), f"id {kind}, n_words bigint, n_removed bigint, kept string"
     ).withColumnRenamed("id", id_col)

@@ -13,6 +13,8 @@ import pyarrow as pa
 
 SLICE_BYTES = 4 << 20
 BATCH_ROWS = 2000
+#: Longer words are hashed by the library.
+LANE_BYTES = 64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -79,6 +81,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words ``data[start:end]``: eight bytes at a time through ``mix``, long words by XXH64.
+
+    Unlike the polynomial of ``span_hashes`` it has no words that agree for every base.
+    """
+    from xxhash import xxh64_intdigest
+
+    size = ends - starts
+    out = mix(size.astype(np.uint64) * _BASE + np.uint64(1))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    live, at = np.flatnonzero((size > 0) & (size <= LANE_BYTES)), 0
+    while len(live):
+        left = size[live] - at
+        lane = lanes[starts[live] + at].copy()
+        short = np.flatnonzero(left < 8)
+        lane[short] &= (np.uint64(1) << (8 * left[short]).astype(np.uint64)) - np.uint64(1)
+        out[live] = mix(out[live] * _BASE ^ lane)
+        at += 8
+        live = live[left > 8]
+    long_words = np.flatnonzero(size > LANE_BYTES)
+    if len(long_words):
+        text = data.tobytes()
+        out[long_words] = [xxh64_intdigest(text[a:b], 42) for a, b in zip(starts[long_words].tolist(), ends[long_words].tolist())]
+    return out
+
+
 def powers(n: int, inverse: bool = False) -> np.ndarray:
     """Powers 0..n-1 of the odd hash base (or of its inverse) modulo 2**64."""
     key = "inverse" if inverse else "base"
@@ -91,7 +120,10 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
-    """64-bit polynomial hashes of ``values[start:end]``, from one running sum over all values."""
+    """64-bit polynomial hashes of ``values[start:end]``, from one running sum over all values.
+
+    For spans of hashes; for words see ``word_hashes``.
+    """
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(len(values)), out=total[1:])
     raw = (total[ends] - total[starts]) * powers(len(values) + 1, inverse=True)[starts]

@@ -21,6 +21,7 @@ from barframe.llm import (
     vector_dedup,
     warc,
 )
+from barframe.llm import words as word_module
 from barframe.llm.queries import QUERIES, model_path
 from pyspark.sql import functions as F
 
@@ -104,8 +105,9 @@ def test_shared_passages_meet_once_a_slice(spark, kind):
     shuffled = rng.sample(rows, len(rows))
     frame = spark.createDataFrame(shuffled, f"doc_id {kind}, text string")
     assert by_id(substring_dedup.dedup_substrings(frame, kept="sha256"), "n_words", "n_removed", "kept") == brute.substrings(rows)
-    shared = types.SimpleNamespace(value=substring_dedup.hot_symbols(frame.coalesce(1), "doc_id", "text"))
-    batch = pa.RecordBatch.from_arrays([pa.array([c[k] for c in shuffled]) for k in (0, 1)], names=["id", "text"])
+    shared = types.SimpleNamespace(value=substring_dedup.shared_symbols(frame.coalesce(1), "doc_id", "text"))
+    ids, texts = (pa.array([c[k] for c in shuffled]) for k in (0, 1))
+    batch = pa.RecordBatch.from_arrays([ids, pa.array(range(len(ids)), pa.int64()), texts], names=["id", "mark", "text"])
     largest = [pa.Table.from_batches(substring_dedup._anchors(20, 2, hot)([batch])).to_pandas().groupby("name").size().max() for hot in (None, shared)]
     assert largest[0] > 64 > largest[1]
 
@@ -121,15 +123,58 @@ def test_windows_are_told_apart_by_all_64_bits(monkeypatch):
     def alike(values, starts, ends):
         """Hashes of windows that differ in half of their bits only, also after mixing."""
         out = whole(values, starts, ends)
-        return out if values.dtype == np.uint8 else unmix(out >> np.uint64(32) | np.uint64(7 << 32))
+        return unmix(out >> np.uint64(32) | np.uint64(7 << 32))
 
     monkeypatch.setattr(substring_dedup, "span_hashes", alike)
     texts = [" ".join([*(f"a{i}b{j}" for j in range(15)), passage(0, 9), *(f"c{i}d{j}" for j in range(15))]) for i in range(50)]
-    batch = pa.RecordBatch.from_pydict({"id": list(range(50)), "text": texts})
-    ((_, _, starts, name, at, _, _, _, again),) = substring_dedup._slices(batch, 20, 2)
+    batch = pa.RecordBatch.from_pydict({"id": list(range(50)), "mark": list(range(50)), "text": texts})
+    ((_, _, _, starts, name, at, _, _, _, again),) = substring_dedup._slices(batch, 20, 2)
     assert len(set(zip(name.tolist(), (at - starts).tolist()))) < len(starts) and not again.any()
 
 
+def thue_morse(n=1024):
+    """Two words that agree under every polynomial hash modulo 2 ** 64 with an odd base."""
+    ones = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[i] for i in ones), "".join("ba"[i] for i in ones)
+
+
+def test_different_words_have_different_hashes():
+    rng = random.Random(6)
+    some = [*thue_morse(), *thue_morse(64), "", "a", "a\x00", "b" * 8, "b" * 9, "b" * 64, "b" * 65, *("".join(rng.choice("ab") for _ in range(rng.randrange(1, 90))) for _ in range(3000))]
+    some = sorted(set(some) - {""})
+    data = np.frombuffer("  ".join(some).encode(), np.uint8)
+    starts, ends, _ = word_module.find_words(data, np.array([0, len(data)]))
+    hashes = word_module.word_hashes(data, starts, ends)
+    assert len(set(hashes.tolist())) == len(some)
+    order = rng.sample(range(len(some)), len(some))
+    assert (word_module.word_hashes(data, starts[order], ends[order]) == hashes[order]).all()
+
+
+def test_words_that_polynomials_confuse(spark):
+    a, b = thue_morse()
+    around = [f"p{i}" for i in range(10)], [f"q{i}" for i in range(9)]
+    rows = [(i, " ".join([*around[0], w, *around[1]])) for i, w in enumerate((a, b))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert by_id(substring_dedup.dedup_substrings(df, kept="sha256"), "n_words", "n_removed", "kept") == brute.substrings(rows)
+    model = lm_scoring.train(spark.createDataFrame([(0, a)], "doc_id bigint, text string"), "text", F.lit(True))
+    known = by_id(lm_scoring.score(spark.createDataFrame([(0, a), (1, b)], "doc_id bigint, text string"), model, "text", {"doc_id": F.col("doc_id")}), "n_known")
+    assert known == {0: (2,), 1: (1,)}
+
+
+def test_rows_of_one_id_are_cleaned_each_by_itself(spark):
+    clean = " ".join(f"clean{i}" for i in range(60))
+    rows = [(1, passage(0, 60)), (5, passage(0, 60)), (5, clean), (None, passage(300, 60)), (None, passage(500, 60)), (7, passage(500, 60)), (7, passage(500, 60))]
+    out = substring_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    got = sorted((str(r["doc_id"]), r["n_removed"], r["kept"]) for r in out)
+    assert got == sorted([("1", 0, passage(0, 60)), ("5", 60, ""), ("5", 0, clean), ("None", 0, passage(300, 60)), ("None", 0, passage(500, 60)), ("7", 60, ""), ("7", 60, "")])
+
+
+def test_a_full_filter_of_names_changes_nothing(docs, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOOM_BITS", 6)
+    out = substring_dedup.dedup_substrings(docs, kept="sha256")
+    assert by_id(out, "n_words", "n_removed", "kept") == brute.substrings(TEXTS)
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(5)
     rows = []
