@@ -220,9 +220,13 @@ def contaminated_pairs(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", min_match: int = MIN_MATCH, min_coverage: float = MIN_COVERAGE,
 ) -> DataFrame:
-    """``id_col, item_col, n_words, n_covered, coverage, tiles`` of the leaked pairs."""
+    """``id_col, item_col, n_words, n_covered, coverage, tiles, text_mark`` of the leaked pairs.
+
+    A document is known by its id and ``text_mark``, the XXH64 of its text, so rows that share an id are documents each.
+    """
     spark = docs.sparkSession
-    item_kind, doc_kind = items.schema[item_col].dataType.simpleString(), docs.schema[id_col].dataType.simpleString()
+    item_kind = items.schema[item_col].dataType.simpleString()
+    doc_kind = f"struct<id:{docs.schema[id_col].dataType.simpleString()},mark:bigint>"
     own_words = F.array_remove(F.split(F.translate(item_text_col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[\\x20\\x09-\\x0D]+"), "")
     # Equal item ids count as one item: its texts in a fixed order, one after another.
     texts = (
@@ -245,7 +249,7 @@ def contaminated_pairs(
     ).toArrow()
     bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
     bitmap[blocks.column(0).to_numpy()] = blocks.column(1).to_numpy().view(np.uint64)
-    docs.select(id_col, text_col).mapInArrow(_seeds(sizes, bitmap), schema.format(doc_kind)).select(
+    docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark")).alias("id"), text_col).mapInArrow(_seeds(sizes, bitmap), schema.format(doc_kind)).select(
         F.col("id").alias("doc"), "pos", "size", "seed"
     ).write.parquet(f"{base}/hits")
     hits = spark.read.schema(f"doc {doc_kind}, pos bigint, size int, seed string").parquet(f"{base}/hits")
@@ -275,5 +279,5 @@ def contaminated_pairs(
     )
     coverage = F.col("n_covered") / F.col("n_words")
     return tiled.withColumn("coverage", coverage).where(F.col("coverage") >= min_coverage).select(
-        F.col("doc").alias(id_col), F.col("item").alias(item_col), "n_words", "n_covered", "coverage", "tiles"
+        F.col("doc.id").alias(id_col), F.col("item").alias(item_col), "n_words", "n_covered", "coverage", "tiles", F.col("doc.mark").alias("text_mark")
     )

@@ -10,9 +10,9 @@ Lines are compared without surrounding spaces, tabs and carriage returns; blank
 removed. A line is known by two independent 64-bit hashes.
 
 Edge cases: a NULL text has no lines and stays NULL; the empty text is one blank line; a NULL
-site counts for no site; the repeated rows of one document id share their positions, so its
-first occurrences stay in each of them; a NULL document id sorts before all others, and its rows
-are cleaned like those of any other id; an empty table gives an empty result. Further columns
+site counts for no site; rows of one document id (all NULL ids are one, before all others) are told
+apart by a hash of their text, each cleaned by its own lines, the smallest hash first; equal
+rows share their positions, so a first occurrence stays in each of them; an empty table gives an empty result. Further columns
 pass through under their own names.
 """
 
@@ -34,23 +34,23 @@ def _lines(text: Column) -> Column:
 
 
 def line_occurrences(df: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
-    """``id, site, pos, h1, h2`` of every line that is not blank."""
+    """``id, mark, site, pos, h1, h2`` of every line that is not blank; ``mark`` is a hash of the row's text."""
     exploded = df.select(
-        F.col(id_col).alias("id"), F.col(site_col).alias("site"), F.posexplode(_lines(F.col(text_col))).alias("pos", "line")
+        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.col(site_col).alias("site"), F.posexplode(_lines(F.col(text_col))).alias("pos", "line")
     ).withColumn("line", F.btrim("line", F.lit(" \t\r")))
     return exploded.where(F.col("line") != "").select(
-        "id", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")
+        "id", "mark", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")
     )
 
 
 def boilerplate_lines(occurrences: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, band: float = BAND) -> DataFrame:
-    """``h1, h2, first_id, first_pos`` of the lines on at least ``min_sites`` distinct sites."""
+    """``h1, h2, first_id, first_pos, first_mark`` of the lines on at least ``min_sites`` distinct sites."""
     spark = occurrences.sparkSession
     sketched = (
         occurrences.groupBy("h1", "h2")
         .agg(
             F.hll_sketch_agg(F.col("site").cast("string"), F.lit(lg_k)).alias("sketch"),
-            F.min(F.struct("id", "pos")).alias("first"),
+            F.min(F.struct("id", "pos", "mark")).alias("first"),
         )
         .select("h1", "h2", "first", F.hll_sketch_estimate("sketch").alias("sites"))
         .where(F.col("sites") >= min_sites * (1 - band) - 1)
@@ -70,7 +70,8 @@ def boilerplate_lines(occurrences: DataFrame, min_sites: int = MIN_SITES, lg_k:
     sure = sketched.where(F.col("sites") > high)
     chosen = sure.unionByName(near.join(exact.select("h1", "h2"), ["h1", "h2"], "left_semi"))
     out = scratch_path(spark, "boilerplate-lines")
-    chosen.select("h1", "h2", F.col("first.id").alias("first_id"), F.col("first.pos").alias("first_pos")).write.parquet(out)
+    first = [F.col(f"first.{c}").alias(f"first_{c}") for c in ("id", "pos", "mark")]
+    chosen.select("h1", "h2", *first).write.parquet(out)
     # Read again with its size known: Spark broadcasts it only below its own threshold.
     return spark.read.parquet(out)
 
@@ -83,12 +84,13 @@ def dedup_lines(
     occurrences = line_occurrences(df, id_col, text_col, site_col)
     known = boilerplate_lines(occurrences, min_sites, lg_k, band)
     removed = (
-        occurrences.select("id", "pos", "h1", "h2").join(known, ["h1", "h2"])
-        .where(~(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("pos") == F.col("first_pos"))))
-        .groupBy("id").agg(F.collect_set("pos").alias("gone"))
+        occurrences.select("id", "mark", "pos", "h1", "h2").join(known, ["h1", "h2"])
+        .where(~(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("pos") == F.col("first_pos")) & (F.col("mark") == F.col("first_mark"))))
+        .groupBy("id", "mark").agg(F.collect_set("pos").alias("gone"))
     )
-    joined = df.withColumns({"__id": F.col(id_col), "__lines": _lines(F.col(text_col))}).join(
-        removed.withColumnRenamed("id", "__gone_id"), F.col("__id").eqNullSafe(F.col("__gone_id")), "left"
+    removed = removed.withColumnsRenamed({"id": "__gone_id", "mark": "__gone_mark"})
+    joined = df.withColumns({"__id": F.col(id_col), "__mark": F.xxhash64(text_col), "__lines": _lines(F.col(text_col))}).join(
+        removed, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__mark") == F.col("__gone_mark")), "left"
     )
     # array_except works by a hash set, so a text of many lines costs time in proportion to them.
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("gone"))

@@ -51,8 +51,9 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _batches(spark)
     pairs = decontaminate.contaminated_pairs(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaked = pairs.select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+    leaked = pairs.select(F.col("doc_id").alias("leaked"), "text_mark").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("leaked")) & (F.xxhash64("text") == F.col("text_mark"))
+    return docs.join(leaked, same, "left_anti")
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -169,6 +169,31 @@ def test_rows_of_one_id_are_cleaned_each_by_itself(spark):
     assert got == sorted([("1", 0, passage(0, 60)), ("5", 60, ""), ("5", 0, clean), ("None", 0, passage(300, 60)), ("None", 0, passage(500, 60)), ("7", 60, ""), ("7", 60, "")])
 
 
+def test_lines_of_one_id_are_cleaned_each_by_itself(spark):
+    rows = [(i, f"boiler\nown {i}", f"s{i}") for i in range(1, 12)]
+    rows += [(99, "x1\nboiler\nq", "a"), (99, "x2\nclean unique line\ny", "b"), (None, "z1\nclean too\nboiler", "c"), (None, "z2\nboiler\nother", "d")]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    got = sorted(r["text"] for r in out.where("doc_id is null or doc_id = 99").collect())
+    first = [t for t in got if "boiler" in t]
+    assert [t.replace("boiler\n", "").replace("\nboiler", "") for t in got] == ["x1\nq", "x2\nclean unique line\ny", "z1\nclean too", "z2\nother"]
+    assert len(first) == 1 and first[0].startswith("z2")  # NULL comes first, and then the earlier line
+
+
+def test_leaks_of_rows_that_share_an_id(spark, empty):
+    item = passage(0, 40)
+    half = passage(0, 20), passage(20, 20)
+    docs = spark.createDataFrame([(None, half[0]), (None, half[1]), (None, "clean text of no item"), (None, f"before {item}"), (3, half[0]), (3, half[1])], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    out = decontaminate.contaminated_pairs(docs, items)
+    found = [(r["doc_id"], r["item_id"], r["coverage"]) for r in out.collect()]
+    assert found == [(None, 1, 1.0)]
+    left = docs.join(out.select(F.col("text_mark")), F.xxhash64("text") == F.col("text_mark"), "left_anti")
+    assert left.count() == 5 and left.where("text like 'before%'").count() == 0
+    no_items = spark.createDataFrame([], "item_id bigint, text string")
+    assert decontaminate.contaminated_pairs(docs, no_items).count() == 0
+    assert decontaminate.contaminated_pairs(empty, items).count() == 0
+
+
 def test_a_full_filter_of_names_changes_nothing(docs, monkeypatch):
     monkeypatch.setattr(substring_dedup, "BLOOM_BITS", 6)
     out = substring_dedup.dedup_substrings(docs, kept="sha256")
