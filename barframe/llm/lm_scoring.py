@@ -342,6 +342,7 @@ def train(df: DataFrame, text_col: str, learn: Column) -> Model:
     def kept(pairs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         shared = spark.sparkContext.broadcast((dictionary.parts(), frequent, pairs))
         found = ngram_counts(texts, shared).where(F.col("n") >= MIN_COUNT).toArrow()
+        shared.destroy()  # every machine holds copies of it on disk
         keys, n = found.column(0).to_numpy(), found.column(1).to_numpy()
         order = np.argsort(keys)
         return keys[order], n[order]
