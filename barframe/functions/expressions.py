@@ -108,6 +108,11 @@ def ticker_from_path(path_col) -> Column:
     return F.when(hive != "", value).when(named != "", _url_decoded(named))
 
 
+def path_of_source(source) -> Column:
+    """The path to read for a scanned file's ``source`` (which is URL-encoded), its glob characters escaped."""
+    return F.regexp_replace(_url_decoded(_c(source)), r"([\[\]{}*?\\])", r"\\$1")
+
+
 def _url_decoded(c: Column) -> Column:
     """Percent escapes resolved ('+' stays); a text with broken escapes stays as it is."""
     return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)

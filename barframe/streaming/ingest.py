@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from barframe.operators.aggregate import mean
 from barframe.operators.clean import filter_outliers
 from barframe.operators.enrich import enrich
+from barframe.plans.incremental import absorb, yearly_means
 from barframe.plans.workspace import scratch_path
 from barframe.schema import LANDED_SCHEMA
 from barframe.sources.readers import normalize_landed
@@ -97,3 +98,22 @@ def run_available(spark: SparkSession, landing: str, out_dir: str, *, multiline:
     path = f"{out_dir}/yearly/run={uuid.uuid4().hex}"
     yearly_stream(clean).write.parquet(path)
     return spark.read.parquet(path)
+
+
+def run_new(spark: SparkSession, landing: str, out_dir: str, *, multiline: bool = False, profile: str = "strict") -> DataFrame | None:
+    """Take in what has landed since the last run and return the yearly means of all runs.
+
+    Each batch's clean bars go to a folder of their own below ``clean``, and their partial sums into the versions
+    below ``yearly`` (``plans.incremental``): bars of earlier runs are not read again, and a batch that is replayed
+    after a failure writes the same folder and counts once. None if nothing has ever landed.
+    """
+    enriched = clean_enriched_stream(stream_landed_bars(spark, landing, multiline=multiline), profile)
+
+    def take_in(batch: DataFrame, epoch: int) -> None:
+        path = f"{out_dir}/clean/batch={epoch}"
+        batch.write.mode("overwrite").parquet(path)
+        absorb(batch.sparkSession.read.schema(batch.schema).parquet(path), f"{out_dir}/yearly", f"batch {epoch}")
+
+    query = enriched.writeStream.option("checkpointLocation", f"{out_dir}/_ckpt_new").foreachBatch(take_in).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return yearly_means(spark, f"{out_dir}/yearly")
