@@ -99,7 +99,8 @@ def _sql_dirty_profile() -> str:
             finite = f"CASE WHEN {keep} AND isfinite({c}) THEN {c} END"
             parts.append(
                 f"""SELECT '{stage}' AS stage, '{c}' AS field, count(CASE WHEN {keep} THEN {c} END) AS count,
-  {sql_round(f'CAST(sum(CAST({finite} AS DECIMAL(28,4))) AS DOUBLE) / count({finite})', 0)} AS mean, min({finite}) AS min, max({finite}) AS max FROM db"""
+  {sql_round(f'CAST(sum(CAST({finite} AS DECIMAL(28,4))) AS DOUBLE) / count({finite})', 4)} AS mean,
+  {sql_round(f'stddev_samp(CASE WHEN abs({finite}) < 1e9 THEN {finite} END)', 4)} AS stddev, min({finite}) AS min, max({finite}) AS max FROM db"""
             )
     return "\nUNION ALL\n".join(parts)
 
@@ -107,12 +108,15 @@ def _sql_dirty_profile() -> str:
 @register("describe_dirty", with_bars("lineitem", _sql_dirty_profile(), SQL_DIRTY))
 def q_describe_dirty(spark, sf):
     """A5 over dirty bars, where the exact means leave NaN out. NaN sorts above all numbers, so a maximum
-    may be NaN; the finite extremes come from the same profile of the finite values."""
+    may be NaN; the finite extremes come from the same profile of the finite values, and the deviation from that of
+    the plausible ones (among closes of 1e15 a sum of squares keeps no digits of the others)."""
     bars = dirty_bars(spark, sf)
     profile = describe_before_after(bars, "strict_complete", exact=True).select("stage", "field", "count", "mean")
     finite = bars.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("open", "volume")})
     extremes = describe_before_after(finite, "strict_complete", exact=True).select("stage", "field", "min", "max")
-    return rounded(profile.join(extremes, ["stage", "field"]), {"mean": 0})
+    plausible = finite.withColumn("close", F.when(F.abs("close") < 1e9, F.col("close")))
+    spread = describe_before_after(plausible, "strict_complete", exact=True).select("stage", "field", "stddev")
+    return rounded(profile.join(extremes, ["stage", "field"]).join(spread, ["stage", "field"]), {"mean": 4, "stddev": 4})
 
 
 # ================================================================== landings and their files

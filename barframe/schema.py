@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Canonical bar table: one row per (ticker, copy_id, date). copy_id is optional (0 = original).
@@ -86,3 +87,22 @@ def flatten_columns(df: DataFrame, names: Sequence | None = None) -> DataFrame:
 def schema_report(df: DataFrame) -> list[tuple[str, str, bool]]:
     """``printSchema`` as data (K9): (column, type, nullable) for each top-level field."""
     return [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
+
+
+def schema_rows(df: DataFrame) -> DataFrame:
+    """The schema as rows, with what the columns hold (K9): ``position`` (from 0), ``name, type, nullable, n_rows, n_null``.
+
+    One aggregation over all columns; a frame without columns has no rows.
+    """
+    if not df.columns:
+        return df.sparkSession.range(0).selectExpr("0 AS position", "'' AS name", "'' AS type", "true AS nullable", "0L AS n_rows", "0L AS n_null")
+    flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    counts = flat.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(c).alias(c) for c in flat.columns])
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"), F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"),
+            F.lit(f.nullable).alias("nullable"), F.col("n_rows"), (F.col("n_rows") - F.col(f"c{i}")).alias("n_null"),
+        )
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return counts.select(F.inline(F.array(*rows)))

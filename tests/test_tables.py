@@ -12,9 +12,13 @@ from barframe.operators.aggregate import yearly_summary
 from barframe.operators.charts import chart_points
 from barframe.operators.clean import filter_outliers
 from barframe.operators.enrich import enrich
+from barframe.operators.modeling import ar1_coefficients, model_frame
+from barframe.operators.stored_models import score_bars, store_models
 from barframe.plans.incremental import absorb, yearly_means
+from barframe.schema import schema_rows
 from barframe.sources import compact, versions
 from barframe.sources.compact import compact_landing, compacted_paths, landed_files, pack_files, read_compacted
+from barframe.sources.inventory import file_inventory, inventory_report
 from barframe.sources.readers import file_report, read_bars_json
 from barframe.sources.versions import commits, find_version, read_version, write_version
 from barframe.sources.writers import write_line_json
@@ -254,3 +258,96 @@ def test_chart_points_of_odd_series(spark):
     assert chart_points(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         chart_points(df, width=0)
+
+
+# ---------------------------------------------------------------- inventory
+
+
+def test_inventory_sees_empty_and_missing_files(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/ticker=A B/deep/er")
+    os.makedirs(f"{tmp_dir}/_hidden")
+    os.makedirs(f"{tmp_dir}/bare")
+    held = {
+        "AA.json": '{"Date":"2020-01-02"}', "ticker=A B/deep/er/z_1.json": "", "ticker=A B/x.json": "{", "blank.json": "\n", "_hidden/h.json": "{}",
+        "é %20&+[a]{b}?.json": '{"Date":"2020-01-02"}',
+    }
+    for name, text in held.items():
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write(text)
+    inventory = file_inventory(spark, tmp_dir)
+    sizes = {r["path"]: r["n_bytes"] for r in inventory.collect()}
+    assert sizes == {n: len(t) for n, t in held.items() if n != "_hidden/h.json"}
+    scanned = {r["source"] for r in landed_files(spark, tmp_dir).collect()}
+    assert {r["source"] for r in inventory.where("n_bytes > 0").collect()} == scanned
+    expected = spark.createDataFrame([("AA.json",), ("CC_2.json",), ("CC_2.json",), (None,)], "path string")
+    rows = inventory_report(file_report(spark, tmp_dir), inventory, expected).collect()
+    assert {(r["path"], r["ticker"], r["n_records"], r["status"]) for r in rows} == {
+        ("AA.json", "AA", 1, "ok"), ("ticker=A B/deep/er/z_1.json", "A B", 0, "empty"), ("ticker=A B/x.json", "A B", 1, "broken"),
+        ("blank.json", "blank", 0, "empty"), ("é %20&+[a]{b}?.json", "é  &+[a]{b}?", 1, "ok"), ("CC_2.json", "CC", 0, "missing"),
+    }
+    assert len(rows) == 6
+    assert inventory_report(file_report(spark, tmp_dir), inventory).count() == 5
+    assert file_inventory(spark, f"{tmp_dir}/none").count() == 0
+
+
+# ---------------------------------------------------------------- stored models
+
+
+def test_later_bars_are_scored_without_a_refit(spark, tmp_dir):
+    r = random.Random(3)
+    closes = [round(50 + 10 * r.random(), 2) for _ in range(260)]
+    every = series(spark, closes).unionByName(series(spark, closes[:5], ticker="NEW", start="2024-09-01"))
+    end = dt.date(2024, 8, 31)
+    frame = model_frame(every.where(F.col("date") <= F.lit(end)), "close")
+    path = f"{tmp_dir}/m"
+    with pytest.raises(ValueError, match="no stored models"):
+        score_bars(spark, every, path)
+    assert store_models(frame, path) == 1
+    model = read_version(spark, path).first()
+    fit = ar1_coefficients(frame).first()
+    assert (model["slope"], model["intercept"], model["n_fit"]) == (fit["slope"], fit["intercept"], fit["n_fit"])
+    assert model["last_date"] == end
+    got = {(g["ticker"], g["date"]): g for g in score_bars(spark, every, path).collect()}
+    days = {dt.date(2024, 1, 1) + dt.timedelta(days=i): c for i, c in enumerate(closes)}
+    assert {d for t, d in got if t == "T"} == {d for d in days if d > end}
+    for (t, d), g in got.items():
+        if t == "NEW":
+            assert (g["status"], g["predicted"]) == ("no model", None)
+            continue
+        before = days[d - dt.timedelta(days=1)]
+        span = model["hi"] - model["lo"]
+        assert g["predicted"] == pytest.approx((model["intercept"] + model["slope"] * (before - model["lo"]) / span) * span + model["lo"])
+        assert (g["status"], g["actual"], g["last_value"]) == ("ok", days[d], before)
+    # A later version does not change what an earlier one gives.
+    store_models(model_frame(every.withColumn("close", F.col("close") * 2), "close"), path)
+    again = {(g["ticker"], g["date"]): g for g in score_bars(spark, every, path, number=1).collect()}
+    assert again == got
+    with pytest.raises(ValueError, match="predict 'close'"):
+        score_bars(spark, every, path, "volume")
+
+
+def test_scores_of_odd_bars(spark, tmp_dir):
+    path = f"{tmp_dir}/m"
+    models = spark.createDataFrame(
+        [("A", 0.5, 0.25, 9, 1.0, 5.0, dt.date(2024, 1, 1), 3.0), ("B", None, None, 0, 1.0, 1.0, dt.date(2024, 1, 1), 1.0), (None, 0.5, 0.25, 9, 2.0, 2.0, dt.date(2024, 1, 1), 2.0)],
+        "ticker string, slope double, intercept double, n_fit bigint, lo double, hi double, last_date date, last_value double",
+    )
+    write_version(models, path, note="close")
+    bar = lambda t, d, c: (t, d, 1.0, 1.0, 1.0, c, 1.0)
+    new = bars(spark, [bar("A", "2024-01-01", 9.0), bar("A", "2024-01-02", None), bar("A", "2024-01-03", 4.0), bar("A", "2024-01-04", 5.0), bar("B", "2024-01-02", 1.0), bar(None, "2024-01-02", 2.0)])
+    got = sorted(((g["ticker"], g["date"].day, g["predicted"], g["last_value"], g["status"]) for g in score_bars(spark, new, path).collect()), key=str)
+    assert got == sorted(
+        [("A", 2, 3.0, 3.0, "ok"), ("A", 3, None, None, "no value before"), ("A", 4, 3.5, 4.0, "ok"), ("B", 2, None, 1.0, "no fit"), (None, 2, 2.0, 2.0, "ok")], key=str
+    )
+    assert score_bars(spark, new.limit(0), path).count() == 0
+    with pytest.raises(ValueError, match="bars by"):
+        score_bars(spark, new.withColumn("copy_id", F.lit(1)), path)
+
+
+def test_schema_rows(spark):
+    df = bars(spark, [("A", "2024-01-01", 1.0, None, 1.0, 5.0, 1.0), (None, "2024-01-01", 1.0, None, 1.0, 2.0, 1.0)])
+    rows = {r["name"]: tuple(r)[2:] for r in schema_rows(df).collect()}
+    assert rows["ticker"] == ("string", True, 2, 1) and rows["high"] == ("double", True, 2, 2) and rows["date"] == ("date", True, 2, 0)
+    assert [r["position"] for r in schema_rows(df.toDF(*"abcdefg")).collect()] == list(range(7))
+    assert [r["n_rows"] for r in schema_rows(df.limit(0)).collect()] == [0] * 7
+    assert schema_rows(df.select()).count() == 0
