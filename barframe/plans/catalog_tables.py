@@ -32,12 +32,13 @@ from barframe.plans.catalog_jobs import SQL_DIRTY, dirty_bars
 from barframe.plans.incremental import absorb, yearly_means
 from barframe.plans.workspace import scratch_path
 from barframe.schema import schema_rows
+from barframe.sources.arrays import read_array_bars
 from barframe.sources.compact import compact_landing, read_compacted
 from barframe.sources.fixtures import bars_events, bars_lineitem, bars_supplier
 from barframe.sources.inventory import file_inventory, inventory_report
 from barframe.sources.readers import file_report
 from barframe.sources.versions import read_version, write_version
-from barframe.sources.writers import write_line_json
+from barframe.sources.writers import landed_records, write_line_json, write_text
 from barframe.streaming.ingest import run_new
 
 
@@ -172,3 +173,14 @@ _TYPES = {"ticker": "string", "date": "date"}
 def q_schema_report(spark, sf):
     """K9: the columns of dirty bars, their types and how many values they lack."""
     return schema_rows(dirty_bars(spark, sf).select(*BAR_COLS)).drop("nullable")
+
+
+@register("array_splits", SQL_BARS["lineitem"])
+def q_array_splits(spark, sf):
+    """JSON arrays of nested records with braces in their texts, read by byte ranges."""
+    path = scratch_path(spark, "array-splits")
+    note = F.struct(F.lit('}, {"').alias("text"), F.array(F.struct(F.lit("\\").alias("sign"))).alias("deep"))
+    records = landed_records(bars_lineitem(spark, sf)).withColumn("Note", note)
+    arrays = records.groupBy("ticker", F.substring("Date", 1, 4).alias("year")).agg(F.to_json(F.collect_list(F.struct("Date", "Note", "Open", "High", "Low", "Close", "Volume"))).alias("json"))
+    write_text(arrays, path, "json", partition_by=["ticker"])
+    return read_array_bars(spark, path).select(*BAR_COLS)
