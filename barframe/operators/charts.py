@@ -37,7 +37,7 @@ def chart_points(bars: DataFrame, column: str = "close", *, width: int = 1000) -
     4 * ``width`` rows a series however long it is, with its extremes kept. ``keys, pixel, date, <column>``, unsorted: a
     chart sorts what it gets. A series' first date lies in pixel 0 and its last in ``width`` - 1. Rows without a date or a
     finite value are left out; of several rows with one date the smallest and largest values are points. Two aggregations
-    with partial sums, no window and no sort: a series that holds most rows needs no larger task than others.
+    with partial results, no window and no global sort: a series that holds most rows needs no larger task than others.
     """
     if width < 1:
         raise ValueError("width must be positive")
