@@ -45,8 +45,14 @@ def _matrix(values) -> np.ndarray:
     return np.stack([np.asarray(v, float) for v in values]) if len(values) else np.zeros((0, 0))
 
 
-def _unit(values) -> np.ndarray:
+def _scaled(values) -> np.ndarray:
+    """Each vector divided by its largest component, so that no square over- or underflows."""
     rows = _matrix(values)
+    return rows / np.abs(rows).max(axis=1, keepdims=True) if rows.size else rows
+
+
+def _unit(values) -> np.ndarray:
+    rows = _scaled(values)
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
@@ -76,7 +82,7 @@ def bucket_graph(nodes: DataFrame, count: int, dim: int, k: int, tables: int = T
 
     def signs(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in found:
-            unit = _matrix(rows["vec"])
+            unit = _scaled(rows["vec"])
             for t in range(tables):
                 key = ((unit @ planes[t].T > 0) @ (1 << np.arange(planes.shape[1], dtype=np.int64))).astype(np.int64)
                 yield pd.DataFrame({"node": rows["node"], "own": rows["own"], "table": t, "key": key, "vec": rows["vec"]})
@@ -105,9 +111,9 @@ def _top(pairs: DataFrame, k: int) -> DataFrame:
     return best.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def descend(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """One round: every node's neighbours (of either direction) are compared with each other."""
-    reverse_rank = F.row_number().over(Window.partitionBy("dst").orderBy(F.xxhash64("src", "dst")))
+def descend(graph: DataFrame, nodes: DataFrame, k: int, turn: int = 0) -> DataFrame:
+    """One round, the ``turn``-th: every node's neighbours (of either direction) are compared with each other."""
+    reverse_rank = F.row_number().over(Window.partitionBy("dst").orderBy(F.xxhash64("src", "dst", F.lit(turn))))
     forward = graph.select(F.col("src").alias("hub"), F.col("dst").alias("node"))
     # A hub's nearest k see all; of the nodes that name it, k by a hash are compared in this round.
     backward = graph.withColumn("r", reverse_rank).where(F.col("r") <= k).select(F.col("dst").alias("hub"), F.col("src").alias("node"))
@@ -160,16 +166,28 @@ def recall(
 
 
 def neighbour_graph(nodes: DataFrame, count: int, dim: int, min_cosine: float, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The neighbour graph, the links in it (``src, dst``, both ways), and the saturated nodes."""
+    """The neighbour graph, the links in it (``src, dst``, both ways), and the saturated nodes.
+
+    Rounds go on until the audited recall is reached; after one that does not raise it, the nearest of new
+    hyperplane buckets join the lists. ``MAX_ROUNDS`` rounds in a row without any gain are an error.
+    """
     graph = _written(_top(bucket_graph(nodes, count, dim, k), k), "nn-graph")
-    for _ in range(MAX_ROUNDS):
-        graph = _written(descend(graph, nodes, k), "nn-graph")
+    best, idle, turn = 0.0, 0, 0
+    while True:
+        graph = _written(descend(graph, nodes, k, turn), "nn-graph")
         near = graph.where(F.col("sim") >= min_cosine)
         links = _written(near.select("src", "dst").union(near.select("dst", "src")).distinct(), "nn-links")
         full = _written(near.groupBy(F.col("src").alias("node")).count().where(F.col("count") >= k).select("node"), "nn-full")
-        if recall(links, nodes.join(full, "node", "left_anti"), nodes, min_cosine) >= MIN_RECALL:
-            break
-    return graph, links, full
+        share = recall(links, nodes.join(full, "node", "left_anti"), nodes, min_cosine)
+        if share >= MIN_RECALL:
+            return graph, links, full
+        idle = 0 if share > best else idle + 1
+        if idle == MAX_ROUNDS:
+            raise RuntimeError(f"{max(best, share):.4f} of the audited links found, {MIN_RECALL} wanted")
+        best, turn = max(best, share), turn + 1
+        if idle:
+            fresh = bucket_graph(nodes, count, dim, k, seed=1000 + turn)
+            graph = _written(_top(graph.select("src", "dst", "sim").union(fresh), k), "nn-graph")
 
 
 def reached(
@@ -192,7 +210,7 @@ def reached(
             break
         seed += 1
         across = _written(_top(bucket_graph(apart, count, dim, k, seed=seed), k), "nn-across")
-        across = _written(descend(across, apart, k).where(F.col("sim") >= min_cosine), "nn-across")
+        across = _written(descend(across, apart, k, seed).where(F.col("sim") >= min_cosine), "nn-across")
         label = lambda end: reach.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
         pairs = _written(
             across.join(label("src"), "src").join(label("dst"), "dst").select(F.col("of_src").alias("src"), F.col("of_dst").alias("dst")).distinct(),

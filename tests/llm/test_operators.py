@@ -227,6 +227,26 @@ def test_vectors_of_dense_groups_that_link_with_each_other(spark):
     assert by_id(out, "n_links", "component_id", "kept", key="vec_id") == {i: (n, c, i == c) for i, (n, c) in want.items()}
 
 
+def test_vectors_of_extreme_size(spark):
+    rows = [(0, [1e-200, 0.0]), (1, [1e-200, 1e-201]), (2, [1e200, 1e199]), (3, [0.0, 1e-320]), (4, [0.0, 1e300]), (5, [-1.0, 0.0])]
+    out = vector_dedup.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    assert by_id(out, "n_links", "component_id", key="vec_id") == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
+
+
+def test_rounds_go_on_until_the_recall_is_reached(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [[float(x) for x in v + 0.05 * rng.standard_normal(8)] for v in rng.standard_normal((6, 8)) for _ in range(4)]
+    vectors = spark.createDataFrame(list(enumerate(rows)), "vec_id bigint, embedding array<double>")
+    monkeypatch.setattr(vector_dedup, "MAX_ROUNDS", 2)
+    shares, real = [0.1, 0.1, 0.2, 0.2], vector_dedup.recall
+    monkeypatch.setattr(vector_dedup, "recall", lambda *a, **k: shares.pop(0) if shares else real(*a, **k))
+    want = brute.vectors(list(enumerate(rows)))
+    assert by_id(vector_dedup.near_vectors(vectors), "n_links", "component_id", key="vec_id") == want and not shares
+    monkeypatch.setattr(vector_dedup, "recall", lambda *a, **k: 0.5)
+    with pytest.raises(RuntimeError, match="0.5000 of the audited links"):
+        vector_dedup.near_vectors(vectors)
+
+
 def test_links_of_a_block_stay_connected():
     near = np.array([[False, True], [True, True]])
     rows, columns = vector_dedup._block_roots(near, np.array([1, 2]), np.array([3, 4]))
