@@ -3,21 +3,31 @@
 For each series and part of the split one grouped aggregation gives the Gram matrix: the sums of
 all products of the intercept, the inputs and the label. It is algebraic, so a series of any share
 of the rows is added up map-side, and what is left is one small matrix per series. The ridge
-equations are solved on that matrix by elimination in array expressions, for each penalty of a grid; the
+equations are solved on batches of these matrices by elimination inside the tasks, for each penalty of a grid; the
 penalty with the least squared error on the validation part is kept, that error being a quadratic
-form of the validation part's matrix. No row is read twice, and no model is fitted on the driver.
+form of the validation part's matrix. No row is read twice, and no model is fitted on the driver. As the solver is a
+step of its own, a filter on its results does not repeat it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barframe.operators.blocked import null_safe_join
 from barframe.operators.modeling import HORIZON, SCALED_FEATURES, _keys, future_dates, inverse_scale
 
+# The executors need not have this package: what the tasks run is sent to them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Penalties of the grid, each per training row (the intercept has none).
 PENALTIES = (0.001, 0.01, 0.1)
 INPUTS = [f"prev_{c}" for c in SCALED_FEATURES]
@@ -32,12 +42,16 @@ def gram_matrices(frame: DataFrame, inputs: Sequence[str], label: str = "label",
     """
     ks = _keys(frame, keys)
     names = ["_one", *inputs, label]
-    rows = frame.withColumn("_one", F.lit(1.0)).na.drop(subset=[*inputs, label])
+    values = [F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate([*inputs, label])]
+    rows = frame.na.drop(subset=[*inputs, label]).select(*ks, "split", *values)
+    doubles = T.ArrayType(T.DoubleType())
+    schema = T.StructType([*rows.schema[: len(ks) + 1], T.StructField("_n", T.LongType()), *[T.StructField(c, doubles) for c in ("_low", "_high", "_sum")]])
+    summed = rows.mapInArrow(_product_sums(len(ks) + 1), schema)
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    sums = [F.sum(F.col(names[i]) * F.col(names[j])).alias(f"_s{i}_{j}") for i, j in pairs]
-    spans = [F.max(c) == F.min(c) for c in inputs]
+    sums = [F.sum(F.get("_sum", F.lit(k))).alias(f"_s{i}_{j}") for k, (i, j) in enumerate(pairs)]
+    spans = [F.max(F.get("_high", F.lit(i))) == F.min(F.get("_low", F.lit(i))) for i in range(len(inputs))]
     constant = sum((s.cast("int") for s in spans), F.lit(0))
-    by_part = rows.groupBy(*ks, "split").agg(F.count(F.lit(1)).alias("_n"), constant.alias("_constant"), *sums)
+    by_part = summed.groupBy(*ks, "split").agg(F.sum("_n").alias("_n"), constant.alias("_constant"), *sums)
     cell = lambda i, j: F.col(f"_s{min(i, j)}_{max(i, j)}")
     matrix = F.array(*[F.array(*[cell(i, j) for j in range(len(names))]) for i in range(len(names))])
     of = lambda part, c: F.first(F.when(F.col("split") == part, c), ignorenulls=True)
@@ -48,31 +62,96 @@ def gram_matrices(frame: DataFrame, inputs: Sequence[str], label: str = "label",
     )
 
 
-def ridge_solution(matrix: Column, unknowns: int, penalty: Column) -> Column:
-    """The ridge coefficients (intercept first) from a Gram matrix: Gauss-Jordan elimination, in its own order.
+def _product_sums(n_keys: int):
+    """Batches of rows (``n_keys`` keys, then numbers) to a row for each key in a batch: count, least and greatest inputs, sums of all products.
 
-    With a positive penalty the equations are positive definite, so no pivot is zero.
+    So many sums are more than Spark compiles into one aggregate; added up here, few rows reach it.
     """
-    diagonal = lambda v, i, j: F.when((i == j) & (i > 0), v + penalty).otherwise(v)
-    equations = F.transform(
-        F.slice(matrix, 1, unknowns), lambda row, i: F.transform(row, lambda v, j: diagonal(v, i, j))
-    )
 
-    def eliminate(rows, k):
-        pivot = F.get(rows, k)
-        reduced = lambda row: F.zip_with(row, pivot, lambda a, b: a - F.get(row, k) / F.get(pivot, k) * b)
-        scaled = F.transform(pivot, lambda v: v / F.get(pivot, k))
-        return F.transform(rows, lambda row, i: F.when(i == k, scaled).otherwise(reduced(row)))
-
-    solved = F.aggregate(F.sequence(F.lit(0), F.lit(unknowns - 1)), equations, eliminate)
-    return F.transform(solved, lambda row: F.get(row, F.lit(unknowns)))
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(i) for i in range(n_keys)]
+            codes = np.zeros(batch.num_rows, np.int64)
+            for key in keys:
+                own = pc.fill_null(pc.dictionary_encode(key).indices, -1).to_numpy().astype(np.int64)
+                codes = np.unique(codes * (batch.num_rows + 1) + own + 1, return_inverse=True)[1].ravel()
+            order = np.argsort(codes, kind="stable")
+            starts = np.flatnonzero(np.diff(codes[order], prepend=-1))
+            columns = [batch.column(i).to_numpy()[order] for i in range(n_keys, batch.num_columns)]
+            x = np.column_stack([np.ones(len(order)), *columns])
+            one, other = np.triu_indices(x.shape[1])
+            listed = lambda m: pa.FixedSizeListArray.from_arrays(pa.array(m.ravel()), m.shape[1]).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[key.take(pa.array(order[starts])) for key in keys], pa.array(np.diff(starts, append=len(order))),
+                    listed(np.minimum.reduceat(x[:, 1:-1], starts)), listed(np.maximum.reduceat(x[:, 1:-1], starts)),
+                    listed(np.add.reduceat(x[:, one] * x[:, other], starts)),
+                ],
+                names=[*batch.schema.names[:n_keys], "_n", "_low", "_high", "_sum"],
+            )
+
+    return batches
+
+
+def ridge_solution(matrices: np.ndarray, penalty: np.ndarray) -> np.ndarray:
+    """The ridge coefficients (intercept first), a row for each of the Gram ``matrices``: Gauss-Jordan elimination in its own order.
+
+    ``penalty`` has the penalty of each matrix. As it is positive, the equations are positive definite, so no pivot is zero.
+    """
+    unknowns = matrices.shape[1] - 1
+    rows = matrices[:, :unknowns].copy()
+    for i in range(1, unknowns):
+        rows[:, i, i] += penalty
+    for k in range(unknowns):
+        pivot = rows[:, k].copy()
+        rows = rows - (rows[:, :, k] / pivot[:, k, None])[:, :, None] * pivot[:, None, :]
+        rows[:, k] = pivot / pivot[:, k, None]
+    return rows[:, :, unknowns]
+
+
+def squared_error(matrices: np.ndarray, coefficients: np.ndarray) -> np.ndarray:
+    """The sums of squared residuals of ``coefficients`` on the rows behind each Gram matrix, at least 0."""
+    weights = np.column_stack([coefficients, np.full(len(coefficients), -1.0)])
+    products = sum(matrices[:, :, j] * weights[:, j, None] for j in range(weights.shape[1]))
+    return np.maximum(sum(products[:, j] * weights[:, j] for j in range(weights.shape[1])), 0.0)
+
+
+def _matrices(column: pa.Array, size: int) -> np.ndarray:
+    """A column of matrices as one array; those that are NULL hold NaN."""
+    out = np.full((len(column), size, size), np.nan)
+    out[column.is_valid().to_numpy(zero_copy_only=False)] = column.flatten().flatten().to_numpy().reshape(-1, size, size)
+    return out
 
 
-def squared_error(matrix: Column, coefficients: Column) -> Column:
-    """The sum of squared residuals of ``coefficients`` on the rows behind a Gram matrix, at least 0."""
-    weights = F.concat(coefficients, F.array(F.lit(-1.0)))
-    dot = lambda row: F.aggregate(F.zip_with(row, weights, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    return F.greatest(dot(F.transform(matrix, dot)), F.lit(0.0))
+def _solver(ks: Sequence[str], unknowns: int, penalties: Sequence[float]):
+    """Batches of Gram matrices to batches with the penalty of the least validation error and its coefficients."""
+    grid = np.array(sorted(penalties), float)
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            table = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
+            train, validation = (_matrices(table[c], unknowns + 1) for c in ("train", "validation"))
+            n, n_validation = (table[c].to_numpy() for c in ("n_train", "n_validation"))
+            with np.errstate(all="ignore"):
+                tried = np.stack([ridge_solution(train, p * n) for p in grid])
+                errors = np.stack([squared_error(validation, b) / n_validation for b in tried])
+            checked, fitted = n_validation > 0, n > 0
+            best = np.where(checked, np.argmin(np.where(np.isnan(errors), np.inf, errors), axis=0), len(grid) - 1)
+            at = np.arange(len(best))
+            values = pa.array(tried[best, at][fitted].ravel())
+            ends = np.concatenate([[0], np.cumsum(fitted) * unknowns]).astype(np.int32)
+            found_b = pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array(~fitted))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[table[c] for c in (*ks, "n_train", "n_validation", "constant")], pa.array(grid[best], mask=~fitted),
+                    pa.array(errors[best, at], mask=~(fitted & checked)), found_b,
+                ],
+                names=[*ks, "n_train", "n_validation", "constant", "penalty", "validation_mse", "coefficients"],
+            )
+
+    return batches
 
 
 def fit_series_regression(
@@ -93,23 +172,16 @@ def fit_series_regression(
     ks = _keys(frame, keys)
     unknowns = len(inputs) + 1
     grams = gram_matrices(frame, inputs, label, keys=keys)
-    tried = []
-    for i, penalty in enumerate(sorted(penalties)):
-        grams = grams.withColumn(f"_b{i}", ridge_solution(F.col("train"), unknowns, F.lit(float(penalty)) * F.col("n_train")))
-        mse = squared_error(F.col("validation"), F.col(f"_b{i}")) / F.col("n_validation")
-        tried.append(
-            F.struct(F.when(F.col("n_validation") > 0, mse).alias("mse"), F.lit(float(penalty)).alias("penalty"), F.col(f"_b{i}").alias("b"))
-        )
-    best = F.when(F.col("n_validation") > 0, F.array_min(F.array(*tried))).otherwise(tried[-1])
+    fields = [f for f in grams.schema if f.name not in ("train", "validation")]
+    schema = T.StructType(
+        [*fields, T.StructField("penalty", T.DoubleType()), T.StructField("validation_mse", T.DoubleType()), T.StructField("coefficients", T.ArrayType(T.DoubleType()))]
+    )
+    solved = grams.mapInArrow(_solver(ks, unknowns, penalties), schema)
     status = (
         F.when(F.col("n_train") == 0, "no fit").when(F.col("n_validation") == 0, "no validation")
         .when((F.col("n_train") < unknowns) | (F.col("constant") > 0), "singular").otherwise("ok")
     )
-    fitted = F.col("n_train") > 0
-    return grams.withColumn("_best", best).select(
-        *ks, status.alias("status"), "n_train", "n_validation", F.when(fitted, F.col("_best.penalty")).alias("penalty"),
-        F.when(fitted, F.col("_best.mse")).alias("validation_mse"), F.when(fitted, F.col("_best.b")).alias("coefficients"),
-    )
+    return solved.select(*ks, status.alias("status"), "n_train", "n_validation", "penalty", "validation_mse", "coefficients")
 
 
 def _predicted(columns: Sequence[str]) -> Column:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from barframe.operators.modeling import SCALED_FEATURES, ar1_predictions, evaluate, model_frame
+from barframe.operators.modeling import SCALED_FEATURES, ar1_predictions, chronological_split, evaluate, model_frame
 from barframe.operators.ridge import INPUTS, PENALTIES, fit_series_regression, gram_matrices, series_forecast, series_predictions
 from tests.conftest import bars
 
@@ -110,3 +110,20 @@ def test_gram_matrix_adds_up_before_the_shuffle(spark):
     df, _, names = made(spark, {"a": (5, 2, 1)})
     plan = gram_matrices(df, names, keys=["ticker"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and len(INPUTS) == 12
+
+
+def test_a_filter_on_the_fits_does_not_repeat_the_solver(spark):
+    df, _, names = made(spark, {"a": (20, 5, 3)})
+    fits = fit_series_regression(df, names, keys=["ticker"]).where(F.col("coefficients").isNotNull())
+    plan = fits._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and plan.count("MapInArrow") == 2  # the sums and the solver, once each
+
+
+def test_rows_in_any_order_and_their_place_in_the_split(spark):
+    df, _, names = made(spark, {"a": (40, 10, 5), None: (25, 4, 4)})
+    one, two = ({r["ticker"]: r for r in fit_series_regression(d, names, keys=["ticker"]).collect()} for d in (df, df.orderBy("x0").coalesce(1)))
+    assert all(one[t]["n_train"] == two[t]["n_train"] and np.allclose(one[t]["coefficients"], two[t]["coefficients"], atol=1e-12) for t in ("a", None))
+    frame = model_frame(bars(spark, walk(90, 3) + walk(301, 4)), "close")
+    again = chronological_split(frame.drop("split"))
+    same = frame.select("ticker", "date", "split").exceptAll(again.select("ticker", "date", "split"))
+    assert same.count() == 0 and "n_rows" not in frame.columns
