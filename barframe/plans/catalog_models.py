@@ -8,7 +8,7 @@ from barframe.operators.indicators import FEATURES, indicators
 from barframe.operators.modeling import SCALED_FEATURES, evaluate, min_max_scale, model_frame
 from barframe.operators.ridge import PENALTIES, fit_series_regression, series_forecast, series_predictions
 from barframe.operators.sequence_store import pack_sequences, read_sequences, write_sequences
-from barframe.plans.catalog import SQL_CHECKSUM, checksum, register, rounded, sql_elimination, sql_model_ctes, sql_round, with_bars
+from barframe.plans.catalog import SQL_CHECKSUM, checksummed, register, rounded, sql_elimination, sql_model_ctes, sql_round, with_bars
 from barframe.plans.workspace import scratch_path
 from barframe.sources.fixtures import bars_supplier
 
@@ -144,7 +144,4 @@ def q_sequence_store(spark, sf):
     path = scratch_path(spark, "sequences")
     scaled = min_max_scale(indicators(bars_supplier(spark, sf)), FEATURES)
     write_sequences(pack_sequences(scaled, SCALED_FEATURES, "close_scaled"), path)
-    out = read_sequences(spark, path).select(
-        "ticker", "date", "seq_len", "pos", F.size("sequence").cast("int").alias("n_steps"), checksum("sequence").alias("checksum"), "label"
-    )
-    return rounded(out, {"label": 9})
+    return rounded(checksummed(read_sequences(spark, path)), {"label": 9})

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,8 @@ from pyspark.sql import functions as F
 from barframe.operators.modeling import make_sequences
 from barframe.operators.sequence_store import pack_sequences, read_sequences, unpack_sequences, write_sequences
 from barframe.operators.spread import spread
+from barframe.plans.catalog import QUERIES, checksummed
+from tests.conftest import SF001
 
 SIZES = {"short": 4, "five": 5, "one": 63, "exact": 128, "long": 700, None: 90}
 
@@ -53,3 +56,17 @@ def test_a_generators_input_is_dealt_out(spark, rows):
     used = {r["p"] for r in spread(one, "ticker", "date").select(F.spark_partition_id().alias("p")).distinct().collect()}
     assert len(used) >= min(8, spark.sparkContext.defaultParallelism)
     assert spread(one, "ticker", partitions=3).rdd.getNumPartitions() == 3
+
+
+def test_checksum_of_every_number_without_lambdas(spark, rows):
+    seqs = make_sequences(rows, ["close", "volume"], "close", keys=["ticker"])
+    got = {(r["ticker"], r["pos"]): r for r in checksummed(seqs, 2).collect()}
+    want = {(r["ticker"], r["pos"]): r for r in seqs.collect()}
+    assert set(got) == set(want)
+    for key, r in want.items():
+        flat = [v for step in r["sequence"] for v in step]
+        total = None if None in flat else sum(math.floor(v * 1e6 + 0.5) * (i + 1) for i, v in enumerate(flat))
+        assert (got[key]["checksum"], got[key]["n_steps"], got[key]["date"], got[key]["label"]) == (total, len(r["sequence"]), r["date"], r["label"])
+    assert any(r["checksum"] is None for r in got.values()) and any(r["checksum"] is not None for r in checksummed(seqs.select("*").withColumn("sequence", F.expr("transform(sequence, s -> array(s[0], s[0]))")), 2).collect())
+    for name in ("sequences",):
+        assert "aggregate(" not in QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString().replace("Aggregate", "")
