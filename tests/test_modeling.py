@@ -219,3 +219,12 @@ def test_feature_regression_needs_the_previous_rows(spark):
 
     with pytest.raises(ValueError):
         fit_feature_regression(model_frame(series(spark, [1.0 + i % 5 for i in range(60)]), "close"))
+
+
+def test_feature_forecast_makes_the_frame_once(spark):
+    import barframe.plans.catalog_jobs  # noqa: F401  (registers the query)
+    from barframe.plans.catalog import QUERIES
+    from tests.conftest import SF001
+
+    plan = QUERIES["feature_forecast"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortAggregate" not in plan
