@@ -105,8 +105,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = _fold("doc_id", 5) == 1
-    model = lm_scoring.train(docs, "text", ~held_out)
-    return lm_scoring.score(docs, model, "text", {"doc_id": F.col("doc_id"), "held_out": held_out})
+    model = lm_scoring.train(docs, "text", ~held_out, {"doc_id": F.col("doc_id"), "held_out": held_out})
+    return lm_scoring.score_own(spark, model)
 
 
 def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from cases import ROWS, docs, empty, odd, passage  # noqa: F401
 from barframe.llm import (
     components,
     decontaminate,
+    keyed_sums,
     language_id,
     line_dedup,
     lm_scoring,
@@ -443,6 +444,82 @@ def test_lm_keeps_a_twice_seen_phrase_in_a_large_corpus(spark):
     assert got["score"] > got["base_score"] + 5
 
 
+def test_lm_scores_do_not_depend_on_the_slices(spark):
+    """Many slices, each with a part of the automaton, score as one; a train and a score call as one pass over the rows."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{min(w, 90)}" for w in rng.zipf(1.4, int(n)))) for i, n in enumerate(rng.integers(0, 200, 90))]
+    keep, learn = {"doc_id": F.col("doc_id")}, F.col("doc_id") % 3 != 0
+    results = []
+    for parts in (1, 9):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts, "doc_id").select("doc_id", "text")
+        model = lm_scoring.train(df, "text", learn, keep)
+        assert spark.read.parquet(model.slices).count() >= parts // 2 + 1
+        results += [by_id(out, "n_tokens", "n_known", "base_score", "score") for out in (
+            lm_scoring.score_own(spark, model), lm_scoring.score(df, lm_scoring.train(df, "text", learn), "text", keep)
+        )]
+    for i, want in results[0].items():
+        assert all(np.allclose(r[i], want, rtol=1e-12) for r in results[1:]), i
+
+
+def test_lm_slice_follows_the_automaton(monkeypatch):
+    """A slice's arcs by place give what the automaton finds by searching, text by text."""
+    rng = np.random.default_rng(2)
+    words = np.sort(np.append(rng.integers(1, 1 << 62, 40, dtype=np.uint64), lm_scoring.END))
+    end, lengths = int(np.searchsorted(words, lm_scoring.END)), rng.integers(1, 60, 50)
+    weights = np.arange(41, 0, -1.0) ** 5
+    at = rng.choice(41, lengths.sum(), p=weights / weights.sum())
+    at[np.cumsum(lengths) - 1] = end
+    row = {"slice": 0, "words": keyed_sums.pack_sorted(words), "at": keyed_sums.pack(at), "lengths": keyed_sums.pack(lengths)}
+    own = lm_scoring.Slice(row | {"learn": keyed_sums.pack((np.arange(50) % 5 != 1).astype(np.uint64))})
+    replies = {}
+    monkeypatch.setattr(lm_scoring, "answers", lambda path, _: replies[path])
+
+    def ask(path, asked, answer):
+        replies[path] = []
+        for b, *sent in asked:
+            (blobs,), _, _ = answer(b, [{"slice": 0, "bucket": b, **dict(zip("abcd", sent))}])
+            replies[path].append({"bucket": b, **dict(zip("abc", blobs))})
+
+    ask("words", own.ask_words(64), lm_scoring.word_totals)
+    own.read_words("words")
+    ask("pairs", own.ask_pairs(64), lm_scoring.pair_totals)
+    own.read_pairs("pairs")
+    ask("triples", own.ask_triples(64), lm_scoring.context_totals)
+    own.read_triples("triples", 64, int(own.learn.sum()), 41)
+    assert (own.triple >= 0).sum() > 100 and (own.pair < 0).sum() > 10
+    assert np.allclose(own.score(), own.automaton.score(own.at, own.rank, own.first), rtol=1e-12)
+
+
+def test_lm_model_does_not_go_through_the_driver(spark, monkeypatch):
+    """Neither counts nor arcs are collected or broadcast, whatever the corpus."""
+    df = spark.createDataFrame([(i, f"a b{i % 7} c d{i}") for i in range(300)], "doc_id bigint, text string")
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("the model grows with the corpus")
+
+    monkeypatch.setattr(type(df), "toArrow", refuse)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", refuse)
+    model = lm_scoring.train(df, "text", F.lit(True))
+    out = lm_scoring.score(df, model, "text", {"doc_id": F.col("doc_id")}).agg(F.sum("base_score"), F.sum("score")).first()
+    assert out[0] < out[1] < 0
+
+
+def test_lm_answers_come_back_in_the_order_asked():
+    """Sums by key over the rows of a bucket; packing keeps every integer."""
+    keys = [np.sort(np.random.default_rng(i).integers(0, 1 << 63, 50, dtype=np.uint64)) for i in range(3)]
+    keys[2][:20] = keys[0][:20]
+    keys[2].sort()
+    asked = [{"a": keyed_sums.pack_sorted(k), "b": keyed_sums.pack(np.arange(50) + (1 << 40) * i)} for i, k in enumerate(keys)]
+    blobs, total, kinds = lm_scoring.word_totals(0, asked)
+    want = {}
+    for i, k in enumerate(keys):
+        for j, x in enumerate(k.tolist()):
+            want[x] = want.get(x, 0) + j + (1 << 40) * i
+    for k, blob in zip(keys, blobs):
+        assert keyed_sums.unpack(blob[0]).tolist() == [want[x] for x in k.tolist()]
+    assert (total, kinds) == (sum(want.values()), len(want) - (0 in want.values()))
+
+
 def test_empty_tables_and_odd_ids(spark, empty, odd):
     assert piece_codec.encode_digests(empty, model_path()).count() == 0
     assert line_dedup.dedup_lines(empty).count() == 0 and line_dedup.dedup_lines(odd, min_sites=2).count() == odd.count()
