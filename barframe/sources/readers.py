@@ -8,6 +8,9 @@ or file name), never from a loop literal.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +69,18 @@ def normalize_landed(df: DataFrame, source_col: str | None = "source", *, record
     return df.select(*out)
 
 
+@contextmanager
+def listed_in_blocks(spark: SparkSession) -> Iterator[None]:
+    """Scans made inside list their folders in a few tasks for each core, not in a task for each folder (up to 10,000)."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _with_source(df: DataFrame) -> DataFrame:
     return df.withColumn("source", F.col("_metadata.file_path"))
 
@@ -85,7 +100,8 @@ def read_bars_json(
     is what ``write_line_json`` produces — and split at ``spark.sql.files.maxPartitionBytes``.
     """
     # Folders of any layout below the path are read; they give no columns of their own.
-    raw = spark.read.schema(schema).option("multiLine", multiline).option("recursiveFileLookup", True).json(path)
+    with listed_in_blocks(spark):
+        raw = spark.read.schema(schema).option("multiLine", multiline).option("recursiveFileLookup", True).json(path)
     return normalize_landed(_with_source(raw), records_first=True)
 
 
@@ -100,10 +116,11 @@ def checked_records(spark: SparkSession, path: str | list[str], *, multiline: bo
     tells whether all five values are there.
     """
     schema = T.StructType([*LANDED_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
-    raw = (
-        spark.read.schema(schema).option("multiLine", multiline).option("recursiveFileLookup", True)
-        .option("columnNameOfCorruptRecord", _CORRUPT).json(path)
-    )
+    with listed_in_blocks(spark):
+        raw = (
+            spark.read.schema(schema).option("multiLine", multiline).option("recursiveFileLookup", True)
+            .option("columnNameOfCorruptRecord", _CORRUPT).json(path)
+        )
     source = F.col("_metadata.file_path")
     complete = F.lit(True)
     for c in VALUE_COLUMNS:
@@ -130,7 +147,8 @@ def file_report(spark: SparkSession, path: str | list[str], *, multiline: bool =
         n(F.col("problem") == "date").alias("n_no_date"),
         n(F.col("problem").isNull() & ~F.col("complete")).alias("n_incomplete"),
     )
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    with listed_in_blocks(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     listed = files.select(F.col("_metadata.file_path").alias("source"), F.col("length").alias("n_bytes"))
     out = listed.join(counts, "source", "left").na.fill(0, ["n_records", "n_malformed", "n_no_date", "n_incomplete"])
     faulty = F.col("n_malformed") + F.col("n_no_date")
@@ -148,10 +166,11 @@ def read_wrapped_json(spark: SparkSession, path: str | list[str], *, column: str
     explicit array-of-struct schema and exploded into rows; each string holds one series, so its
     size is bounded by the number of trading days.
     """
-    if text:
-        raw = spark.read.text(path).withColumnRenamed("value", column)
-    else:
-        raw = spark.read.schema(T.StructType([T.StructField(column, T.StringType())])).json(path)
+    with listed_in_blocks(spark):
+        if text:
+            raw = spark.read.text(path).withColumnRenamed("value", column)
+        else:
+            raw = spark.read.schema(T.StructType([T.StructField(column, T.StringType())])).json(path)
     raw = _with_source(raw)
     extra = [c for c in raw.columns if c not in (column, "source")]
     rows = raw.select(*extra, "source", F.explode(F.from_json(F.col(column), RAW_BAR_ARRAY_DDL)).alias("r"))

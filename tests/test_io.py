@@ -255,3 +255,22 @@ def test_file_report_names_every_fault(spark, tmp_dir):
     }
     texts = {r.record for r in checked_records(spark, f"{tmp_dir}/raw").where("problem = 'malformed'").collect()}
     assert texts == {good[:40], "{", "not json", files["TEXT"][0]}
+
+
+def test_many_folders_are_listed_in_few_tasks(spark, tmp_dir):
+    """A landing of more folders than four times the cores: the listing has no task for each, and the setting is as before."""
+    cores = spark.sparkContext.defaultParallelism
+    tickers = [f"T{i}" for i in range(4 * cores + 40)]
+    write_line_json(bars(spark, [(t, "2024-01-02", 1.0, 2.0, 0.5, 1.5, 10.0) for t in tickers]), f"{tmp_dir}/landing")
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        back = read_bars_json(spark, f"{tmp_dir}/landing")
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and max(s.numTasks for s in stages) <= 4 * cores
+    assert spark.conf.get(key) == before
+    assert sorted(r["ticker"] for r in back.select("ticker").collect()) == sorted(tickers)
